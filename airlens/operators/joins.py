@@ -17,8 +17,12 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def join_small(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``fact.join(dim)`` broadcasting ``dim`` only when its row count is proven small."""
-    if fits_broadcast(dim, max_rows):
+               max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """``fact.join(dim)`` broadcasting ``dim`` only when its row count is proven small.
+
+    ``bound`` is a cheaper frame with at least as many rows as ``dim`` (for
+    example the inputs of an aggregate), counted instead of ``dim``.
+    """
+    if fits_broadcast(bound if bound is not None else dim, max_rows):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

@@ -27,6 +27,14 @@ def epci_dimension(epci: DataFrame) -> DataFrame:
         F.split_part(F.col("code_departement").cast("string"), F.lit(","), F.lit(1)).alias("dept"))
 
 
+def _zone_rows(communes: DataFrame, epci: DataFrame) -> DataFrame:
+    c = commune_dimension(communes).select("code_zone", F.col("dept").alias("commune_dept"),
+                                           F.lit(None).cast("string").alias("epci_dept"))
+    e = epci_dimension(epci).select("code_zone", F.lit(None).cast("string").alias("commune_dept"),
+                                    F.col("dept").alias("epci_dept"))
+    return c.unionByName(e)
+
+
 def zone_lookup(communes: DataFrame, epci: DataFrame) -> DataFrame:
     """One row per zone code with its commune and EPCI département.
 
@@ -34,11 +42,7 @@ def zone_lookup(communes: DataFrame, epci: DataFrame) -> DataFrame:
     join; a code listed twice in a table keeps its smallest département, so the
     join can never multiply readings.
     """
-    c = commune_dimension(communes).select("code_zone", F.col("dept").alias("commune_dept"),
-                                           F.lit(None).cast("string").alias("epci_dept"))
-    e = epci_dimension(epci).select("code_zone", F.lit(None).cast("string").alias("commune_dept"),
-                                    F.col("dept").alias("epci_dept"))
-    return (c.unionByName(e)
+    return (_zone_rows(communes, epci)
             .groupBy("code_zone")
             .agg(F.min("commune_dept").alias("commune_dept"), F.min("epci_dept").alias("epci_dept")))
 
@@ -93,7 +97,8 @@ def air_staging(raw: DataFrame, communes: DataFrame, epci: DataFrame,
     types = {f.name: f.dataType for f in raw.schema.fields}
     lookup = zone_lookup(communes, epci)
     joined = join_small(clean_readings(raw).withColumn("code_zone", F.col("code_zone").cast("string")),
-                        lookup, "code_zone", "left", broadcast_max_rows)
+                        lookup, "code_zone", "left", broadcast_max_rows,
+                        bound=_zone_rows(communes, epci))
     code = F.col("code_zone")
     x = F.col("x_wgs84").cast("float")
     y = F.col("y_wgs84").cast("float")

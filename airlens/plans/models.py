@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType
 from airlens.functions import constants as K
 from airlens.operators import marts, monitoring, staging
 from airlens.sources import fixtures
+from airlens.sources.store import materialize
 
 
 @dataclass
@@ -24,15 +25,29 @@ class Models:
     epci: DataFrame
     raw_weather: DataFrame
     overrides: Mapping[str, str] = field(default_factory=lambda: dict(K.ZONE_OVERRIDES))
+    stored: bool = False
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
         i = fixtures.Inputs.load(spark, sf_dir)
         return cls(i.raw_air, i.communes, i.epci, i.raw_weather, dict(fixtures.FIXTURE_ZONE_OVERRIDES))
 
+    def materialized(self) -> "Models":
+        """Same models, with staging and the daily département mart written once as tables.
+
+        For consumers that read them several times (monitors use a scalar
+        subquery on the newest day, then the rows of two days): the stored
+        tables are partitioned by day, so the newest day is cheap to find and
+        the two-day filter prunes partitions.
+        """
+        return Models(self.raw_air, self.communes, self.epci, self.raw_weather, self.overrides, stored=True)
+
     @cached_property
     def stg_atmo_daily(self) -> DataFrame:
-        return staging.air_staging(self.raw_air, self.communes, self.epci, self.overrides)
+        stg = staging.air_staging(self.raw_air, self.communes, self.epci, self.overrides)
+        if self.stored:
+            stg = materialize(stg, "stg_atmo_daily", ["date_ech"], ["date_ech", "code_insee"])
+        return stg
 
     @cached_property
     def stg_meteo_daily(self) -> DataFrame:
@@ -44,7 +59,10 @@ class Models:
 
     @cached_property
     def mart_atmo_daily_departement(self) -> DataFrame:
-        return marts.daily_department(self.stg_atmo_daily)
+        dep = marts.daily_department(self.stg_atmo_daily)
+        if self.stored:
+            dep = materialize(dep, "mart_atmo_daily_departement", ["date_ech"], ["date_ech", "code_departement"])
+        return dep
 
     @cached_property
     def mart_atmo_daily_national(self) -> DataFrame:

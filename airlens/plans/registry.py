@@ -1,4 +1,9 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, and their DuckDB oracle."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame, and their DuckDB oracle.
+
+Every query starts from the driver's tables (through the adapters of
+``airlens.sources.fixtures``), runs over all their rows and returns a lazy
+DataFrame. Arrays of names are returned joined with '|'.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +11,84 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.operators import monitoring
+from airlens.functions import constants as K
+from airlens.operators import analysis as A
+from airlens.operators import monitoring, quality
 from airlens.plans import oracle as O
 from airlens.plans.models import Models, flat
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# parameters of the registered analyses, chosen for the derived data
+# (zone codes there are user ids: short numbers)
+ODD_CODE_MIN_LENGTH = 2
+ODD_CODE_EXCLUDED_PREFIX = "10"
+SEARCH_TERM = "zone 1"
+DEPARTMENT_LIST = ("20",)
+ZONE_TYPE = "EPCI"
 
-def _model(name: str) -> Query:
-    return lambda spark, sf_dir: flat(getattr(Models.from_tables(spark, sf_dir), name))
 
+def _on(fn: Callable[[Models], DataFrame], stored: bool = False) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = Models.from_tables(spark, sf_dir)
+        return flat(fn(m.materialized() if stored else m))
+    return run
 
-def _global_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_tables(spark, sf_dir)
-    return monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)
 
+def _model(name: str, stored: bool = False) -> Query:
+    return _on(lambda m: getattr(m, name), stored)
 
-def _select_all(table: str) -> str:
-    return O.with_models(f"SELECT * REPLACE ({_array_cols(table)}) FROM {table}") if _array_cols(table) \
-        else O.with_models(f"SELECT * FROM {table}")
 
+QUERIES: dict[str, Query] = {
+    # models
+    "air_staging": _model("stg_atmo_daily"),
+    "weather_staging": _model("stg_meteo_daily"),
+    "zone_profile": _model("mart_atmo_commune"),
+    "daily_department": _model("mart_atmo_daily_departement"),
+    "daily_national": _model("mart_atmo_daily_national"),
+    "daily_with_weather": _model("mart_atmo_meteo_daily_departement"),
+    # monitoring and quality
+    "zone_coverage": _model("mon_commune_coverage", stored=True),
+    "missing_departments": _model("mon_departement_manquant", stored=True),
+    "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant),
+                         stored=True),
+    "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant),
+                                    stored=True),
+    "quality_report": _on(lambda m: quality.quality_report(m.tables()), stored=True),
+    # anomalies
+    "duplicate_zone_codes": _on(lambda m: A.duplicate_zone_codes(m.mart_atmo_commune)),
+    "unnamed_zones": _on(lambda m: A.unnamed_zones(m.stg_atmo_daily)),
+    "zones_lost": _on(lambda m: A.zones_lost(m.stg_atmo_daily)),
+    "odd_codes": _on(lambda m: A.odd_codes(m.stg_atmo_daily, ODD_CODE_MIN_LENGTH, ODD_CODE_EXCLUDED_PREFIX)),
+    "zones_of_type": _on(lambda m: A.zones_of_type(m.stg_atmo_daily, ZONE_TYPE)),
+    "zones_in_departments": _on(lambda m: A.zones_in_departments(m.stg_atmo_daily, DEPARTMENT_LIST)),
+    "index_ranges": _on(lambda m: A.index_ranges(m.stg_atmo_daily)),
+    "department_centroids": _on(lambda m: A.department_centroids(m.stg_atmo_daily)),
+    # rankings and selections
+    "zone_selection": _on(lambda m: A.profile_selection(m.mart_atmo_commune)),
+    "best_zones": _on(lambda m: A.best_zones(m.mart_atmo_commune)),
+    "best_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=False)),
+    "worst_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=True)),
+    "search_zones": _on(lambda m: A.search_zones(m.mart_atmo_commune, SEARCH_TERM)),
+    "national_selection": _on(lambda m: A.national_selection(m.mart_atmo_daily_national)),
+    "department_selection": _on(lambda m: A.department_selection(m.mart_atmo_daily_departement)),
+    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(m.mart_atmo_daily_departement),
+                                    stored=True),
+    "mean_of_day": _on(lambda m: A.mean_of_day(m.mart_atmo_daily_departement), stored=True),
+    "dominant_of_day": _on(lambda m: A.dominant_of_day(m.mart_atmo_daily_departement), stored=True),
+    "headline": _on(lambda m: A.headline(m.mart_atmo_daily_national)),
+    "available_days": _on(lambda m: A.available_days(m.mart_atmo_daily_departement)),
+    # weather
+    "weather_code_profile": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement)),
+    "pm10_by_weather_code": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement, "PM10")),
+    "index_band_weather": _on(lambda m: A.index_band_weather(m.mart_atmo_meteo_daily_departement)),
+    "wind_band_index": _on(lambda m: A.wind_band_index(m.mart_atmo_meteo_daily_departement)),
+    "temperature_band_o3": _on(lambda m: A.temperature_band_o3(m.mart_atmo_meteo_daily_departement)),
+    "temperature_vs_index": _on(lambda m: A.temperature_vs_index(m.mart_atmo_meteo_daily_departement)),
+}
+
+
+# --- oracle ------------------------------------------------------------------------------
 
 _ARRAYS = {
     "stg_atmo_daily": ["polluants_declencheurs"],
@@ -36,21 +99,45 @@ _ARRAYS = {
 }
 
 
-def _array_cols(table: str) -> str:
-    return ", ".join(f"{O.arr(c)} AS {c}" for c in _ARRAYS.get(table, []))
+def _select_all(table: str) -> str:
+    arrays = ", ".join(f"{O.arr(c)} AS {c}" for c in _ARRAYS.get(table, []))
+    return O.with_models(f"SELECT * REPLACE ({arrays}) FROM {table}" if arrays else f"SELECT * FROM {table}")
 
 
-QUERIES: dict[str, Query] = {
-    "air_staging": _model("stg_atmo_daily"),
-    "weather_staging": _model("stg_meteo_daily"),
-    "zone_profile": _model("mart_atmo_commune"),
-    "daily_department": _model("mart_atmo_daily_departement"),
-    "daily_national": _model("mart_atmo_daily_national"),
-    "daily_with_weather": _model("mart_atmo_meteo_daily_departement"),
-    "zone_coverage": _model("mon_commune_coverage"),
-    "missing_departments": _model("mon_departement_manquant"),
-    "global_status": _global_status,
-}
+def _sql_values(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def _quality_sql() -> str:
+    parts = []
+    for r in quality.RULES:
+        head = f"SELECT '{r.model}' AS model, '{r.column}' AS column_name, '{r.test}' AS test, '{r.severity}' AS severity"
+        if r.test == "not_null":
+            parts.append(f"{head}, count(*) FILTER (WHERE {r.column} IS NULL) AS failures FROM {r.model}")
+        elif r.test == "accepted_values":
+            parts.append(f"{head}, count(DISTINCT CASE WHEN {r.column} NOT IN ({_sql_values(r.values)}) "
+                         f"THEN {r.column} END) AS failures FROM {r.model}")
+        else:
+            parts.append(f"{head}, count(*) AS failures FROM (SELECT {r.column} FROM {r.model} "
+                         f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} HAVING count(*) > 1)")
+    union = "\nUNION ALL\n".join(parts)
+    return O.with_models(f"""
+SELECT model, column_name, test, severity, cast(failures AS bigint) AS failures,
+  CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM ({union}) q""")
+
+
+_MD = "mart_atmo_meteo_daily_departement"
+_DEP_NEWEST = "(SELECT max(date_ech) FROM mart_atmo_daily_departement)"
+
+
+def _band_desc(col, bands, other):
+    return "CASE " + " ".join(f"WHEN {col} >= {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
+
+
+def _band_asc(col, bands, other):
+    return "CASE " + " ".join(f"WHEN {col} < {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
+
 
 ORACLE: dict[str, str] = {
     "air_staging": _select_all("stg_atmo_daily"),
@@ -58,7 +145,7 @@ ORACLE: dict[str, str] = {
     "zone_profile": _select_all("mart_atmo_commune"),
     "daily_department": _select_all("mart_atmo_daily_departement"),
     "daily_national": _select_all("mart_atmo_daily_national"),
-    "daily_with_weather": _select_all("mart_atmo_meteo_daily_departement"),
+    "daily_with_weather": _select_all(_MD),
     "zone_coverage": _select_all("mon_commune_coverage"),
     "missing_departments": _select_all("mon_departement_manquant"),
     "global_status": O.with_models("""
@@ -70,4 +157,127 @@ SELECT c.date_check, c.statut AS statut_couverture, d.statut_departements,
 FROM mon_commune_coverage c,
      (SELECT max(statut_global) AS statut_departements, max(nb_departements_manquants) AS nb_dep
       FROM mon_departement_manquant) d"""),
+    "missing_department_table": O.with_models("""
+SELECT strftime(date_check, '%Y-%m-%d') AS date_check, code_departement, statut, statut_global
+FROM mon_departement_manquant WHERE code_departement IS NOT NULL"""),
+    "quality_report": _quality_sql(),
+    "duplicate_zone_codes": O.with_models("""
+SELECT * REPLACE (array_to_string(polluants_dominants, '|') AS polluants_dominants)
+FROM mart_atmo_commune
+WHERE code_insee IN (SELECT code_insee FROM mart_atmo_commune GROUP BY code_insee HAVING count(*) > 1)"""),
+    "unnamed_zones": O.with_models("""
+SELECT code_insee, nom_commune, count(*) AS nb_lignes FROM stg_atmo_daily
+WHERE nom_commune IS NULL OR nom_commune = '' GROUP BY code_insee, nom_commune"""),
+    "zones_lost": O.with_models("""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily s1
+WHERE EXISTS (SELECT 1 FROM stg_atmo_daily s3 WHERE s3.date_ech = s1.date_ech + 1)
+  AND NOT EXISTS (SELECT 1 FROM stg_atmo_daily s2
+                  WHERE s2.date_ech = s1.date_ech + 1 AND s2.code_insee = s1.code_insee)"""),
+    "odd_codes": O.with_models(f"""
+SELECT DISTINCT code_insee, nom_commune, left(cast(code_insee AS varchar), 2) AS debut
+FROM stg_atmo_daily
+WHERE length(cast(code_insee AS varchar)) > {ODD_CODE_MIN_LENGTH}
+  AND left(cast(code_insee AS varchar), {len(ODD_CODE_EXCLUDED_PREFIX)}) != '{ODD_CODE_EXCLUDED_PREFIX}'
+ORDER BY code_insee, nom_commune NULLS LAST
+LIMIT 20"""),
+    "zones_of_type": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily WHERE type_zone = '{ZONE_TYPE}'"""),
+    "zones_in_departments": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily WHERE code_departement IN ({_sql_values(DEPARTMENT_LIST)})"""),
+    "index_ranges": O.with_models("""
+SELECT min(code_no2) AS min_no2, max(code_no2) AS max_no2, min(code_o3) AS min_o3, max(code_o3) AS max_o3,
+  min(code_pm10) AS min_pm10, max(code_pm10) AS max_pm10, min(code_pm25) AS min_pm25, max(code_pm25) AS max_pm25,
+  min(code_so2) AS min_so2, max(code_so2) AS max_so2
+FROM stg_atmo_daily"""),
+    "department_centroids": O.with_models("""
+SELECT code_departement, round(avg(longitude), 4) AS lon, round(avg(latitude), 4) AS lat
+FROM stg_atmo_daily WHERE longitude IS NOT NULL AND latitude IS NOT NULL GROUP BY code_departement"""),
+    "zone_selection": O.with_models("""
+SELECT code_insee, nom_commune, code_departement, indice_moyen, pct_jours_acceptable,
+  array_to_string(polluants_dominants, '|') AS polluants_dominants, nb_jours_mesures, premiere_date,
+  derniere_date, indice_moyen_no2, indice_moyen_o3, indice_moyen_pm10, indice_moyen_pm25, indice_moyen_so2
+FROM mart_atmo_commune WHERE nb_jours_mesures >= 2"""),
+    "best_zones": O.with_models("""
+SELECT code_insee, nom_commune, nb_jours_mesures, indice_moyen, pct_jours_acceptable
+FROM mart_atmo_commune WHERE nb_jours_mesures >= 7
+ORDER BY indice_moyen ASC NULLS LAST, code_insee, nom_commune NULLS LAST, code_departement NULLS LAST
+LIMIT 20"""),
+    "best_named_zones": O.with_models("""
+SELECT nom_commune, code_departement, indice_moyen, pct_jours_acceptable, code_insee
+FROM mart_atmo_commune
+WHERE nb_jours_mesures >= 2 AND nom_commune IS NOT NULL AND indice_moyen IS NOT NULL
+ORDER BY indice_moyen ASC, code_insee, nom_commune, code_departement NULLS LAST
+LIMIT 15"""),
+    "worst_named_zones": O.with_models("""
+SELECT nom_commune, code_departement, indice_moyen, pct_jours_acceptable, code_insee
+FROM mart_atmo_commune
+WHERE nb_jours_mesures >= 2 AND nom_commune IS NOT NULL AND indice_moyen IS NOT NULL
+ORDER BY indice_moyen DESC, code_insee, nom_commune, code_departement NULLS LAST
+LIMIT 15"""),
+    "search_zones": O.with_models(f"""
+SELECT nom_commune, code_insee, code_departement, indice_moyen, pct_jours_acceptable,
+  indice_moyen_no2, indice_moyen_o3, indice_moyen_pm10, indice_moyen_pm25
+FROM mart_atmo_commune
+WHERE nb_jours_mesures >= 2
+  AND (coalesce(regexp_matches(lower(nom_commune), '{SEARCH_TERM.lower()}'), false)
+       OR coalesce(regexp_matches(cast(code_insee AS varchar), '{SEARCH_TERM}'), false))"""),
+    "national_selection": O.with_models("""
+SELECT date_ech, indice_moyen_national, nb_communes, nb_bon, nb_mauvais_ou_pire,
+  array_to_string(polluants_dominants_national, '|') AS polluants_dominants_national
+FROM mart_atmo_daily_national"""),
+    "department_selection": O.with_models("""
+SELECT date_ech, code_departement, indice_moyen, nb_communes,
+  array_to_string(polluants_dominants_departement, '|') AS polluants_dominants_departement,
+  pct_no2_declencheur, pct_o3_declencheur, pct_pm10_declencheur, pct_pm25_declencheur, pct_so2_declencheur
+FROM mart_atmo_daily_departement"""),
+    "worst_departments_of_day": O.with_models(f"""
+SELECT date_ech, code_departement, indice_moyen, nb_communes FROM mart_atmo_daily_departement
+WHERE date_ech = {_DEP_NEWEST}
+ORDER BY indice_moyen DESC NULLS LAST, code_departement NULLS LAST LIMIT 5"""),
+    "mean_of_day": O.with_models(f"""
+SELECT date_ech, round(avg(indice_moyen), 2) AS indice_jour, count(*) AS nb_departements
+FROM mart_atmo_daily_departement WHERE date_ech = {_DEP_NEWEST} GROUP BY date_ech"""),
+    "dominant_of_day": O.with_models(f"""
+SELECT date_ech, polluant, count(*) AS nb
+FROM (SELECT date_ech, unnest(polluants_dominants_departement) AS polluant
+      FROM mart_atmo_daily_departement WHERE date_ech = {_DEP_NEWEST})
+GROUP BY date_ech, polluant ORDER BY nb DESC, polluant ASC LIMIT 1"""),
+    "headline": O.with_models("""
+SELECT date_ech, indice_moyen_national, nb_communes, nb_bon, nb_mauvais_ou_pire,
+  CASE WHEN nb_communes > 0 THEN round(100.0 * nb_bon / nb_communes, 1) ELSE 0.0 END::double AS pct_bon
+FROM mart_atmo_daily_national ORDER BY date_ech DESC NULLS LAST LIMIT 1"""),
+    "available_days": O.with_models("""
+SELECT DISTINCT date_ech, strftime(date_ech, '%Y-%m-%d') AS jour, strftime(date_ech, '%m-%d') AS mois_jour
+FROM mart_atmo_daily_departement"""),
+    "weather_code_profile": O.with_models(f"""
+SELECT weathercode, round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations,
+  round(avg(temperature_max), 1) AS temp_max_moy, round(avg(wind_speed_max), 1) AS vent_moy
+FROM {_MD} GROUP BY weathercode"""),
+    "pm10_by_weather_code": O.with_models(f"""
+SELECT weathercode, round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations,
+  round(avg(wind_speed_max), 1) AS vent_moy, round(avg(precipitation_sum), 1) AS precipitation_moy
+FROM {_MD} WHERE array_contains(polluants_dominants_departement, 'PM10') GROUP BY weathercode"""),
+    "index_band_weather": O.with_models(f"""
+SELECT {_band_desc('indice_moyen', K.INDEX_BANDS, K.INDEX_BAND_ELSE)} AS qualite,
+  round(avg(temperature_max), 1) AS temp_max_moy, round(avg(temperature_min), 1) AS temp_min_moy,
+  round(avg(wind_speed_max), 1) AS vent_moy, round(avg(precipitation_sum), 1) AS precipitation_moy,
+  count(*) AS nb_observations
+FROM {_MD} GROUP BY qualite"""),
+    "wind_band_index": O.with_models(f"""
+SELECT {_band_asc('wind_speed_max', K.WIND_BANDS, K.WIND_BAND_ELSE)} AS categorie_vent,
+  round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations
+FROM {_MD} GROUP BY categorie_vent"""),
+    "temperature_band_o3": O.with_models(f"""
+SELECT {_band_asc('temperature_max', K.TEMPERATURE_BANDS, K.TEMPERATURE_BAND_ELSE)} AS categorie_temp,
+  round(avg(indice_moyen), 2) AS indice_moyen,
+  count(*) FILTER (WHERE array_contains(polluants_dominants_departement, 'O3')) AS nb_fois_o3_dominant,
+  count(*) AS nb_observations
+FROM {_MD} GROUP BY categorie_temp"""),
+    "temperature_vs_index": O.with_models(f"""
+SELECT date_ech, round(avg(temperature_max), 1) AS temperature_max, round(avg(indice_moyen), 2) AS indice_moyen,
+  strftime(date_ech, '%m-%d') AS mois_jour
+FROM {_MD} WHERE temperature_max IS NOT NULL GROUP BY date_ech"""),
 }
