@@ -281,3 +281,157 @@ SELECT date_ech, round(avg(temperature_max), 1) AS temperature_max, round(avg(in
   strftime(date_ech, '%m-%d') AS mois_jour
 FROM {_MD} WHERE temperature_max IS NOT NULL GROUP BY date_ech"""),
 }
+
+
+# --- sources, sinks, rebuild, SQL console --------------------------------------------------
+# These write to fresh folders under ``spark.checkpoint.dir`` and read the result back.
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from airlens.plans import pipeline, sqlapi  # noqa: E402
+from airlens.session import fresh_path  # noqa: E402
+from airlens.sources import fixtures, ingest, payload  # noqa: E402
+from airlens.sources.schemas import RAW_AIR, RAW_WEATHER  # noqa: E402
+from airlens.streaming.file_ingest import stream_ingest  # noqa: E402
+
+LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerType())])
+
+# a store that already holds every day older than the newest week
+STORED_BEFORE_DAYS = 7
+USER_SQL = """
+SELECT code_departement, count(*) AS nb_jours, max(indice_moyen) AS indice_max,
+       sum(nb_communes) AS nb_lignes
+FROM mart_atmo_daily_departement
+GROUP BY code_departement;"""
+
+
+def _raw_air_columns(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) if c == "date_ech" else F.col(c) for c in RAW_AIR.fieldNames()])
+
+
+def _flatten_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weather = fixtures.raw_weather(fixtures.table(spark, sf_dir, "orders"))
+    return payload.flatten_series(fixtures.weather_payload(weather), fixtures.centroids(weather))
+
+
+def _older_days(raw: DataFrame) -> DataFrame:
+    newest = raw.select(F.max(F.col("date_ech").cast("date"))).scalar()
+    return raw.filter(F.col("date_ech").cast("date") < F.date_sub(newest, STORED_BEFORE_DAYS))
+
+
+def _new_days_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
+    root = fresh_path(spark, "store-air")
+    ingest.ingest_days(spark, _older_days(raw), root)
+    return ingest.plan_days(raw, ingest.stored_days(spark, root))
+
+
+def _parquet_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
+    root = fresh_path(spark, "store-air")
+    ingest.ingest_days(spark, _older_days(raw), root)   # first run: older days
+    ingest.ingest_days(spark, raw, root)                # second run: only the newest week is added
+    return _raw_air_columns(ingest.read_store(spark, root))
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
+    path = fresh_path(spark, "csv-air")
+    raw.write.mode("overwrite").option("header", True).csv(path)
+    return _raw_air_columns(ingest.read_raw_csv(spark, path, expected_columns=len(raw.columns)))
+
+
+def _json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weather = fixtures.raw_weather(fixtures.table(spark, sf_dir, "orders"))
+    path = fresh_path(spark, "json-weather")
+    ingest.write_json(weather, path)
+    return ingest.read_json(spark, path, RAW_WEATHER)
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events")).select(*RAW_AIR.fieldNames())
+    landing, store, ckpt = (fresh_path(spark, n) for n in ("landing", "store-air", "stream-ckpt"))
+    older = _older_days(raw)
+    older.write.mode("overwrite").partitionBy("date_ech").parquet(landing + "/drop=1")
+    stream_ingest(spark, landing, store, ckpt, LANDING_SCHEMA)
+    raw.join(older.select("date_ech").distinct(), "date_ech", "left_anti") \
+        .write.mode("overwrite").partitionBy("date_ech").parquet(landing + "/drop=2")
+    stream_ingest(spark, landing, store, ckpt, LANDING_SCHEMA)  # a re-run takes only the new files
+    return _raw_air_columns(ingest.read_store(spark, store))
+
+
+def _user_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.from_tables(spark, sf_dir)
+    sqlapi.publish({name: getattr(m, name) for name in sqlapi.PUBLISHED_VIEWS})
+    return sqlapi.read_only_sql(spark, USER_SQL)
+
+
+def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = fixtures.Inputs.load(spark, sf_dir)
+    air_root, weather_root = fresh_path(spark, "store-air"), fresh_path(spark, "store-weather")
+    ingest.ingest_days(spark, i.raw_air, air_root)
+    ingest.ingest_days(spark, i.raw_weather, weather_root)
+    tables = pipeline.run_all(spark, air_root, weather_root, i.communes, i.epci, fresh_path(spark, "rebuild"),
+                              fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    out = None
+    for name, df in tables.items():
+        part = df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("table_name"), "nb_lignes")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+QUERIES.update({
+    "flatten_series": _flatten_series,
+    "new_days_only": _new_days_only,
+    "parquet_by_day": _parquet_by_day,
+    "csv_round_trip": _csv_round_trip,
+    "json_round_trip": _json_round_trip,
+    "stream_ingest": _stream_ingest,
+    "user_sql": _user_sql,
+    "rebuild": _rebuild,
+})
+
+_RAW_AIR_SELECT = "SELECT " + ", ".join(RAW_AIR.fieldNames()) + " FROM raw_air_l"
+_OLDER = (f"cast(date_ech AS date) < (SELECT max(cast(date_ech AS date)) FROM raw_air_l) "
+          f"- INTERVAL {STORED_BEFORE_DAYS} DAY")
+
+ORACLE.update({
+    "flatten_series": O.with_models("""
+, chunks AS (
+  SELECT cast(code_departement AS integer) AS location_id, date_trunc('month', cast(date_ech AS date)) AS m,
+         min(cast(date_ech AS date)) AS lo, max(cast(date_ech AS date)) AS hi
+  FROM raw_weather GROUP BY 1, 2
+), days AS (
+  SELECT location_id, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS d FROM chunks
+), locs AS (
+  SELECT DISTINCT cast(code_departement AS integer) AS location_id, code_departement, longitude, latitude
+  FROM raw_weather
+)
+SELECT strftime(days.d, '%Y-%m-%d') AS date_ech, l.code_departement, l.latitude, l.longitude,
+  w.temperature_mean, w.temperature_max, w.temperature_min, w.rain_sum, w.wind_speed_max,
+  w.precipitation_sum, w.weathercode
+FROM days
+LEFT JOIN raw_weather w ON cast(w.code_departement AS integer) = days.location_id
+                       AND cast(w.date_ech AS date) = days.d
+LEFT JOIN locs l ON l.location_id = days.location_id"""),
+    "new_days_only": O.with_models(f"""
+SELECT date_ech, count(*) AS nb_lignes,
+  CASE WHEN {_OLDER} THEN 'skipped' ELSE 'saved' END AS action
+FROM raw_air_l GROUP BY date_ech"""),
+    "parquet_by_day": O.with_models(_RAW_AIR_SELECT),
+    "csv_round_trip": O.with_models(_RAW_AIR_SELECT),
+    "json_round_trip": O.with_models("SELECT * FROM raw_weather"),
+    "stream_ingest": O.with_models(_RAW_AIR_SELECT),
+    "user_sql": O.with_models(USER_SQL.strip().rstrip(";")),
+    "rebuild": O.with_models("""
+SELECT 'stg_atmo_daily' AS table_name, count(*) AS nb_lignes FROM stg_atmo_daily
+UNION ALL SELECT 'stg_meteo_daily', count(*) FROM stg_meteo_daily
+UNION ALL SELECT 'mart_atmo_commune', count(*) FROM mart_atmo_commune
+UNION ALL SELECT 'mart_atmo_daily_national', count(*) FROM mart_atmo_daily_national
+UNION ALL SELECT 'mart_atmo_daily_departement', count(*) FROM mart_atmo_daily_departement
+UNION ALL SELECT 'mart_atmo_meteo_daily_departement', count(*) FROM mart_atmo_meteo_daily_departement
+UNION ALL SELECT 'mon_commune_coverage', count(*) FROM mon_commune_coverage
+UNION ALL SELECT 'mon_departement_manquant', count(*) FROM mon_departement_manquant
+UNION ALL SELECT 'quality_report', """ + str(len(quality.RULES))),
+})

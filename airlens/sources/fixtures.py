@@ -147,8 +147,12 @@ def weather_payload(weather: DataFrame) -> DataFrame:
                     F.map_from_entries(F.collect_list(F.struct("day", values))).alias("by_day")))
     days = F.sequence(F.col("lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))
     cols = [F.col("location_id"), (F.unix_date("lo").cast("bigint") * 86400).alias("start_time")]
+
+    def measure_of(m: str):
+        return lambda d: F.try_element_at(F.col("by_day"), d)[m]
+
     for m in WEATHER_MEASURES:
-        cols.append(F.transform(days, lambda d, m=m: F.try_element_at(F.col("by_day"), d).getField(m)).alias(m))
+        cols.append(F.transform(days, measure_of(m)).alias(m))
     return grouped.select(*cols)
 
 
