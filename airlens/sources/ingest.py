@@ -97,9 +97,24 @@ def new_days_only(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return join_small(incoming.withColumn("date_ech", F.col("date_ech").cast("string")), days, "date_ech", "left_anti")
 
 
-def write_days(df: DataFrame, root: str, range_by: Sequence[str] = ("date_ech",)) -> None:
-    """Write rows into the store, one partition per day; only the days present are replaced."""
-    (df.repartitionByRange(*range_by).write.mode("overwrite")
+SECOND_KEYS = ("code_zone", "code_departement")
+
+
+def write_days(df: DataFrame, root: str, range_by: Sequence[str] | None = None,
+               observation: Observation | None = None, *metrics) -> None:
+    """Write rows into the store, one partition per day; only the days present are replaced.
+
+    Rows are range-partitioned on (day, zone): a day with a large share of the
+    rows is split over several tasks, and each task writes few files. An
+    observation, if given, is attached after the repartition so it counts the
+    written rows once.
+    """
+    if range_by is None:
+        range_by = ["date_ech"] + [c for c in SECOND_KEYS if c in df.columns][:1]
+    out = df.repartitionByRange(*range_by)
+    if observation is not None:
+        out = out.observe(observation, *metrics)
+    (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
      .partitionBy("date_ech").parquet(root))
 
@@ -132,7 +147,7 @@ def ingest_day(spark: SparkSession, csv_path: str, root: str, day: str,
         return {"day": day, "status": "skipped", "rows": None}
     rows = keep_day(read_raw_csv(spark, csv_path, expected_columns), day)
     obs = Observation("ingest")
-    write_days(rows.observe(obs, F.count(F.lit(1)).alias("rows")), root)
+    write_days(rows, root, None, obs, F.count(F.lit(1)).alias("rows"))
     n = obs.get["rows"]
     if n == 0:
         raise EmptyDayError(f"0 rows for {day}: check the source file")
