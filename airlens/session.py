@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # no broadcast from file-size estimates (compressed sizes can hide large
+    # tables); AQE still broadcasts a side whose measured shuffle output is small,
+    # and the engine's own broadcasts sit behind a row-count check
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",

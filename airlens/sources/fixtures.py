@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
 from airlens.sources.schemas import WEATHER_MEASURES
+from airlens.sources.store import spread
 
 # --- fixed values of the derivation ------------------------------------------
 FIRST_WEATHER_DAY = "2024-01-01"
@@ -27,8 +28,24 @@ FIXTURE_ZONE_OVERRIDES = {"200096675": "56", "105": "56"}
 # -------------------------------------------------------------------------------
 
 
+# declared schemas of the driver's tables that the adapters read (no inference)
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+# fact tables: spread over the cores when the file gives fewer splits than that
+FACT_TABLES = ("events", "orders")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _label(code: F.Column, mapping: dict) -> F.Column:

@@ -17,6 +17,7 @@ from pyspark.sql.types import IntegerType, NumericType
 from airlens.functions import constants as K
 from airlens.operators.joins import join_small
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
+from airlens.sources.store import range_keys
 
 
 class SchemaError(ValueError):
@@ -104,14 +105,15 @@ def write_days(df: DataFrame, root: str, range_by: Sequence[str] | None = None,
                observation: Observation | None = None, *metrics) -> None:
     """Write rows into the store, one partition per day; only the days present are replaced.
 
-    Rows are range-partitioned on (day, zone): a day with a large share of the
-    rows is split over several tasks, and each task writes few files. An
+    Rows are range-partitioned on (day, zone, row hash): a day, or even one
+    zone of a day, with a large share of the rows is split over several tasks,
+    and each task writes few files. An
     observation, if given, is attached after the repartition so it counts the
     written rows once.
     """
     if range_by is None:
         range_by = ["date_ech"] + [c for c in SECOND_KEYS if c in df.columns][:1]
-    out = df.repartitionByRange(*range_by)
+    out = df.repartitionByRange(*range_keys(df, range_by))
     if observation is not None:
         out = out.observe(observation, *metrics)
     (out.write.mode("overwrite")

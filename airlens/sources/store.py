@@ -5,10 +5,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airlens.session import fresh_path
 
 
+def range_keys(df: DataFrame, keys: Sequence[str]) -> list:
+    """Range keys plus a hash of the whole row as the last key.
+
+    The hash lets even a single hot key value span several partitions; being a
+    pure function of the row, a retried task gets exactly the same rows.
+    """
+    return [F.col(k) for k in keys] + [F.xxhash64(*[F.col(c) for c in df.columns])]
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cores when its scan yields fewer splits than that.
+
+    A single small or unsplittable input file (one Parquet row group, a gzipped
+    CSV) would otherwise run every narrow step before the first shuffle in one
+    task. Split inputs at scale already have many partitions and are left as
+    they are, so this never adds a shuffle to a large scan.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 range_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write ``df`` as Parquet (snappy).
@@ -17,7 +41,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     holding a large share of the rows is split over several tasks and each task
     writes few files: file count stays near the task count at any scale.
     """
-    out = df.repartitionByRange(*range_by) if range_by else df
+    out = df.repartitionByRange(*range_keys(df, range_by)) if range_by else df
     writer = out.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
