@@ -59,6 +59,18 @@ def argmax_names(values: Sequence[Column | str], names: Sequence[str] = K.POLLUT
     return F.filter(flagged, lambda x: x.isNotNull())
 
 
+def pollutant_columns(prefix: str, suffix: str = "") -> list[str]:
+    """Column names ``<prefix>_<pollutant>[_<suffix>]`` in pollutant order."""
+    tail = f"_{suffix}" if suffix else ""
+    return [f"{prefix}_{p.lower()}{tail}" for p in K.POLLUTANTS]
+
+
+def dominant(prefix: str, suffix: str = "") -> Column:
+    """Arg-max names over the five pollutant columns named by prefix and suffix
+    (``dominant("code")``, ``dominant("pct", "declencheur")``)."""
+    return argmax_names(pollutant_columns(prefix, suffix))
+
+
 def valid_pair(x: Column | str, y: Column | str) -> Column:
     """True when (x, y) is a WGS84 longitude/latitude pair."""
     lo_x, hi_x = K.LONGITUDE_RANGE

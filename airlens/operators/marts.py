@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
-from airlens.functions.expr import argmax_names, count_where, pct, round_half
+from airlens.functions.expr import count_where, dominant, pct, pollutant_columns, round_half
 
 LEVEL_SUFFIXES = ("bon", "moyen", "degrade", "mauvais", "tres_mauvais", "extremement_mauvais")
 
@@ -21,8 +21,8 @@ def _trigger_pcts():
             for p in K.POLLUTANTS]
 
 
-TRIGGER_PCT_COLUMNS = [f"pct_{p.lower()}_declencheur" for p in K.POLLUTANTS]
-MEAN_COLUMNS = [f"indice_moyen_{p.lower()}" for p in K.POLLUTANTS]
+TRIGGER_PCT_COLUMNS = pollutant_columns("pct", "declencheur")
+MEAN_COLUMNS = pollutant_columns("indice_moyen")
 
 
 def zone_profile(stg: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def zone_profile(stg: DataFrame) -> DataFrame:
         pct(F.col("code_qual") <= K.ACCEPTABLE_MAX).alias("pct_jours_acceptable"),
     )
     # dominant pollutants compare the rounded means, as published
-    return agg.withColumn("polluants_dominants", argmax_names(MEAN_COLUMNS))
+    return agg.withColumn("polluants_dominants", dominant("indice_moyen"))
 
 
 def daily_department(stg: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def daily_department(stg: DataFrame) -> DataFrame:
         pct(F.col("code_qual") <= K.ACCEPTABLE_MAX).alias("pct_acceptable"),
         *_trigger_pcts(),
     )
-    return agg.withColumn("polluants_dominants_departement", argmax_names(TRIGGER_PCT_COLUMNS))
+    return agg.withColumn("polluants_dominants_departement", dominant("pct", "declencheur"))
 
 
 NATIONAL_COLUMNS = ["date_ech", "nb_communes", "indice_moyen_national", "nb_bon", "nb_mauvais_ou_pire",
@@ -70,7 +70,7 @@ def daily_national(stg: DataFrame) -> DataFrame:
         count_where(F.col("code_qual") >= K.BAD_MIN).alias("nb_mauvais_ou_pire"),
         *_trigger_pcts(),
     )
-    return (agg.withColumn("polluants_dominants_national", argmax_names(TRIGGER_PCT_COLUMNS))
+    return (agg.withColumn("polluants_dominants_national", dominant("pct", "declencheur"))
             .select(*NATIONAL_COLUMNS))
 
 

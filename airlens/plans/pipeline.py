@@ -31,7 +31,7 @@ def _save(df: DataFrame, out_root: str, name: str) -> DataFrame:
     return read_table(df.sparkSession, path, df)
 
 
-def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFrame | str,
+def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFrame | str | None,
             communes: DataFrame, epci: DataFrame, out_root: str,
             overrides: Mapping[str, str] = K.ZONE_OVERRIDES, gate: bool = True) -> dict[str, DataFrame]:
     """Rebuild every table from all stored days and return them (read back from storage).
@@ -42,17 +42,19 @@ def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFram
     :class:`~airlens.operators.monitoring.MonitoringAlert` after everything is written.
     """
     air = read_store(spark, raw_air, RAW_AIR) if isinstance(raw_air, str) else raw_air
-    weather = read_store(spark, raw_weather, RAW_WEATHER) if isinstance(raw_weather, str) else raw_weather
     t: dict[str, DataFrame] = {}
     t["stg_atmo_daily"] = _save(staging.air_staging(air, communes, epci, overrides), out_root, "stg_atmo_daily")
-    t["stg_meteo_daily"] = _save(staging.weather_staging(weather), out_root, "stg_meteo_daily")
+    if raw_weather is not None:
+        weather = read_store(spark, raw_weather, RAW_WEATHER) if isinstance(raw_weather, str) else raw_weather
+        t["stg_meteo_daily"] = _save(staging.weather_staging(weather), out_root, "stg_meteo_daily")
     stg = t["stg_atmo_daily"]
     t["mart_atmo_commune"] = _save(marts.zone_profile(stg), out_root, "mart_atmo_commune")
     t["mart_atmo_daily_national"] = _save(marts.daily_national(stg), out_root, "mart_atmo_daily_national")
     t["mart_atmo_daily_departement"] = _save(marts.daily_department(stg), out_root, "mart_atmo_daily_departement")
-    t["mart_atmo_meteo_daily_departement"] = _save(
-        marts.daily_with_weather(t["mart_atmo_daily_departement"], t["stg_meteo_daily"]),
-        out_root, "mart_atmo_meteo_daily_departement")
+    if "stg_meteo_daily" in t:
+        t["mart_atmo_meteo_daily_departement"] = _save(
+            marts.daily_with_weather(t["mart_atmo_daily_departement"], t["stg_meteo_daily"]),
+            out_root, "mart_atmo_meteo_daily_departement")
     t["mon_commune_coverage"] = _save(monitoring.zone_coverage(stg), out_root, "mon_commune_coverage")
     t["mon_departement_manquant"] = _save(monitoring.missing_departments(t["mart_atmo_daily_departement"]),
                                           out_root, "mon_departement_manquant")
@@ -61,3 +63,14 @@ def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFram
     if gate:
         monitoring.gate(t["mon_commune_coverage"], t["mon_departement_manquant"])
     return t
+
+
+def rebuild_weather(spark: SparkSession, raw_weather: DataFrame | str, out_root: str) -> dict[str, DataFrame]:
+    """Weather staging and its join with the stored daily département mart, as it is now."""
+    weather = read_store(spark, raw_weather, RAW_WEATHER) if isinstance(raw_weather, str) else raw_weather
+    root = out_root.rstrip("/")
+    dep = spark.read.parquet(f"{root}/mart_atmo_daily_departement")
+    t = {"stg_meteo_daily": _save(staging.weather_staging(weather), out_root, "stg_meteo_daily")}
+    t["mart_atmo_meteo_daily_departement"] = _save(marts.daily_with_weather(dep, t["stg_meteo_daily"]),
+                                                   out_root, "mart_atmo_meteo_daily_departement")
+    return t

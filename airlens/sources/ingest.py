@@ -67,6 +67,28 @@ def read_raw_csv(spark: SparkSession, path: str, expected_columns: int = K.RAW_A
     return typed_raw(text, schema)
 
 
+def read_reference_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A small reference table (seed) from CSV with declared column types."""
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+def read_centroids(spark: SparkSession, path: str, max_rows: int = 10_000) -> DataFrame:
+    """Département centroids (code_departement, lon, lat) with a location id.
+
+    The weather service answers in the order of the requested locations; the
+    request lists the centroids sorted by département, so the id is that rank.
+    The table is one row per département: its size is checked before the
+    (single-partition) ranking.
+    """
+    from pyspark.sql import Window
+    from airlens.operators.joins import fits_broadcast
+    seed = read_reference_csv(spark, path, "code_departement string, lon double, lat double")
+    if not fits_broadcast(seed, max_rows):
+        raise ValueError(f"centroid table has more than {max_rows} rows")
+    rank = F.row_number().over(Window.orderBy("code_departement")) - 1
+    return seed.select(rank.cast("int").alias("location_id"), "code_departement", "lon", "lat")
+
+
 def keep_day(df: DataFrame, day: str) -> DataFrame:
     """Rows of the run day only (observed values, not forecasts); compared as ISO text."""
     return df.filter(F.col("date_ech") == F.lit(day))
@@ -161,9 +183,13 @@ def read_store(spark: SparkSession, root: str, schema=RAW_AIR) -> DataFrame:
     return spark.read.schema(schema).parquet(root)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Records as JSON Lines (one object per line)."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, by_day: bool = False) -> None:
+    """Records as JSON Lines (one object per line); ``by_day`` keeps one folder per day
+    and replaces only the days written."""
+    w = df.write.mode("overwrite")
+    if by_day:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy("date_ech")
+    w.json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema=RAW_WEATHER) -> DataFrame:
