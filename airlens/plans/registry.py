@@ -301,7 +301,7 @@ LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerT
 STORED_BEFORE_DAYS = 7
 USER_SQL = """
 SELECT code_departement, count(*) AS nb_jours, max(indice_moyen) AS indice_max,
-       sum(nb_communes) AS nb_lignes
+       CAST(sum(nb_communes) AS BIGINT) AS nb_lignes
 FROM mart_atmo_daily_departement
 GROUP BY code_departement;"""
 
