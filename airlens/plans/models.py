@@ -67,7 +67,7 @@ class Models:
     def stg_atmo_daily(self) -> DataFrame:
         stg = staging.air_staging(self.raw_air, self.communes, self.epci, self.overrides)
         if self.stored:
-            stg = materialize(stg, "stg_atmo_daily", ["date_ech"], ["date_ech", "code_insee"])
+            stg = materialize(stg, "stg_atmo_daily", ["date_ech"])
         return stg
 
     @cached_property
@@ -82,7 +82,7 @@ class Models:
     def mart_atmo_daily_departement(self) -> DataFrame:
         dep = marts.daily_department(self.stg_atmo_daily)
         if self.stored:
-            dep = materialize(dep, "mart_atmo_daily_departement", ["date_ech"], ["date_ech", "code_departement"])
+            dep = materialize(dep, "mart_atmo_daily_departement", ["date_ech"])
         return dep
 
     @cached_property

@@ -13,19 +13,14 @@ from airlens.sources.ingest import read_store
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
 from airlens.sources.store import read_table, write_table
 
-# tables written partitioned by day, and the keys their rows are range-partitioned on
-BY_DAY = {
-    "stg_atmo_daily": ["date_ech", "code_insee"],
-    "stg_meteo_daily": ["date_ech", "code_departement"],
-    "mart_atmo_daily_departement": ["date_ech", "code_departement"],
-    "mart_atmo_meteo_daily_departement": ["date_ech", "code_departement"],
-}
+# tables written partitioned by day
+BY_DAY = ("stg_atmo_daily", "stg_meteo_daily", "mart_atmo_daily_departement", "mart_atmo_meteo_daily_departement")
 
 
 def _save(df: DataFrame, out_root: str, name: str) -> DataFrame:
     path = f"{out_root.rstrip('/')}/{name}"
     if name in BY_DAY:
-        write_table(df, path, ["date_ech"], BY_DAY[name])
+        write_table(df, path, ["date_ech"])
     else:
         write_table(df, path)
     return read_table(df.sparkSession, path, df)

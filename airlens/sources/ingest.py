@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, NumericType
 
 from airlens.functions import constants as K
-from airlens.operators.joins import join_small
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
-from airlens.sources.store import range_keys
+from airlens.sources.store import rebalanced
 
 
 class SchemaError(ValueError):
@@ -105,37 +104,35 @@ def stored_days(spark: SparkSession, root: str) -> DataFrame:
 
 
 def plan_days(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Per incoming day: its row count and whether it will be saved or skipped."""
+    """Per incoming day: its row count and whether it will be saved or skipped.
+
+    Only the day column of the incoming rows is needed (column pruning), and the
+    set of stored days has one row per calendar day, so it is broadcast as is.
+    """
     per_day = incoming.groupBy(F.col("date_ech").cast("string").alias("date_ech")).agg(
         F.count(F.lit(1)).alias("nb_lignes"))
     marked = stored.select(F.col("date_ech").cast("string").alias("date_ech"), F.lit(True).alias("_stored"))
-    joined = join_small(per_day, marked, "date_ech", "left")
+    joined = per_day.join(F.broadcast(marked), "date_ech", "left")
     return joined.select("date_ech", "nb_lignes",
                          F.when(F.col("_stored"), F.lit("skipped")).otherwise(F.lit("saved")).alias("action"))
 
 
 def new_days_only(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of the incoming days that are not stored yet (a left anti join on the day)."""
+    """Rows of the incoming days that are not stored yet: a left anti join on the day
+    against the stored-day set (one row per calendar day, broadcast)."""
     days = stored.select(F.col("date_ech").cast("string").alias("date_ech"))
-    return join_small(incoming.withColumn("date_ech", F.col("date_ech").cast("string")), days, "date_ech", "left_anti")
-
-
-SECOND_KEYS = ("code_zone", "code_departement")
+    return incoming.withColumn("date_ech", F.col("date_ech").cast("string")).join(F.broadcast(days), "date_ech",
+                                                                                   "left_anti")
 
 
-def write_days(df: DataFrame, root: str, range_by: Sequence[str] | None = None,
-               observation: Observation | None = None, *metrics) -> None:
+def write_days(df: DataFrame, root: str, observation: Observation | None = None, *metrics) -> None:
     """Write rows into the store, one partition per day; only the days present are replaced.
 
-    Rows are range-partitioned on (day, zone, row hash): a day, or even one
-    zone of a day, with a large share of the rows is split over several tasks,
-    and each task writes few files. An
-    observation, if given, is attached after the repartition so it counts the
-    written rows once.
+    Rows are rebalanced on the day (AQE splits a day with a large share of the
+    rows over several tasks), so each task writes few files. An observation,
+    if given, counts the written rows.
     """
-    if range_by is None:
-        range_by = ["date_ech"] + [c for c in SECOND_KEYS if c in df.columns][:1]
-    out = df.repartitionByRange(*range_keys(df, range_by))
+    out = rebalanced(df, ["date_ech"])
     if observation is not None:
         out = out.observe(observation, *metrics)
     (out.write.mode("overwrite")
@@ -148,13 +145,11 @@ def ingest_days(spark: SparkSession, incoming: DataFrame, root: str) -> dict:
 
     One job writes all new days; the report is a small per-day aggregate.
     """
-    stored = stored_days(spark, root).cache()
-    report = plan_days(incoming, stored).collect()
-    new_rows = new_days_only(incoming, stored)
+    stored = stored_days(spark, root)
+    report = plan_days(incoming, stored).collect()    # one row per incoming day
     saved = [r["date_ech"] for r in report if r["action"] == "saved"]
     if saved:
-        write_days(new_rows, root)
-    stored.unpersist()
+        write_days(new_days_only(incoming, stored), root)
     return {"saved": len(saved), "skipped": len(report) - len(saved),
             "days": sorted((r["date_ech"], r["action"], r["nb_lignes"]) for r in report)}
 
@@ -171,7 +166,7 @@ def ingest_day(spark: SparkSession, csv_path: str, root: str, day: str,
         return {"day": day, "status": "skipped", "rows": None}
     rows = keep_day(read_raw_csv(spark, csv_path, expected_columns), day)
     obs = Observation("ingest")
-    write_days(rows, root, None, obs, F.count(F.lit(1)).alias("rows"))
+    write_days(rows, root, obs, F.count(F.lit(1)).alias("rows"))
     n = obs.get["rows"]
     if n == 0:
         raise EmptyDayError(f"0 rows for {day}: check the source file")

@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from airlens.session import fresh_path
 
 
-def range_keys(df: DataFrame, keys: Sequence[str]) -> list:
-    """Range keys plus a hash of the whole row as the last key.
+def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows regrouped for writing with the REBALANCE hint.
 
-    The hash lets even a single hot key value span several partitions; being a
-    pure function of the row, a retried task gets exactly the same rows.
+    Hash-partitioned on ``by`` (the write's partition columns), then AQE splits
+    a partition holding a large share of the rows (a hot day) into several
+    tasks and merges small ones, so tasks write few, evenly sized files. No
+    sampling pass over the input, and a retried task gets the same rows.
     """
-    return [F.col(k) for k in keys] + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    return df.hint("rebalance", *by)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -33,16 +34,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                range_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write ``df`` as Parquet (snappy).
-
-    ``range_by`` range-partitions the rows first (sampled boundaries), so a day
-    holding a large share of the rows is split over several tasks and each task
-    writes few files: file count stays near the task count at any scale.
-    """
-    out = df.repartitionByRange(*range_keys(df, range_by)) if range_by else df
-    writer = out.write.mode(mode).option("compression", "snappy")
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """Write ``df`` as Parquet (snappy), rebalanced on its partition columns."""
+    writer = rebalanced(df, partition_by).write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -53,8 +47,7 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (),
-                range_by: Sequence[str] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and return the stored table.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the
@@ -62,5 +55,5 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    write_table(df, path, partition_by, range_by)
+    write_table(df, path, partition_by)
     return read_table(spark, path, df)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.sources.schemas import RAW_AIR
-from airlens.sources.store import range_keys
+from airlens.sources.store import rebalanced
 
 
 def stream_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
@@ -29,7 +29,7 @@ def stream_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("date_ech", F.col("date_ech").cast("string"))
          .withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .transform(lambda b: b.repartitionByRange(*range_keys(b, ["date_ech"])))
+         .transform(lambda b: rebalanced(b, ["date_ech"]))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date_ech", "batch_id").parquet(store_root))
 
