@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
-from airlens.plans.pipeline import rebuild_weather, run_all
+from airlens.plans.rebuild import rebuild_weather, run_all
 from airlens.sources import ingest
 from airlens.sources.payload import flatten_series
 

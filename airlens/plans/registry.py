@@ -289,7 +289,7 @@ FROM {_MD} WHERE temperature_max IS NOT NULL GROUP BY date_ech"""),
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from airlens.plans import pipeline, sqlapi  # noqa: E402
+from airlens.plans import rebuild, sqlapi  # noqa: E402
 from airlens.session import fresh_path  # noqa: E402
 from airlens.sources import fixtures, ingest, payload  # noqa: E402
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER  # noqa: E402
@@ -372,7 +372,7 @@ def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     air_root, weather_root = fresh_path(spark, "store-air"), fresh_path(spark, "store-weather")
     ingest.ingest_days(spark, i.raw_air, air_root)
     ingest.ingest_days(spark, i.raw_weather, weather_root)
-    tables = pipeline.run_all(spark, air_root, weather_root, i.communes, i.epci, fresh_path(spark, "rebuild"),
+    tables = rebuild.run_all(spark, air_root, weather_root, i.communes, i.epci, fresh_path(spark, "rebuild"),
                               fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
     out = None
     for name, df in tables.items():

@@ -43,15 +43,30 @@ def test_headline_and_dominant_of_day(spark):
     assert len(dom) == 1
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+def _plan(df, mode="formatted"):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
 
 
 def test_staging_plan_prelimits_before_shuffle_and_broadcasts_lookup(spark):
     m = Models.from_tables(spark, SF_SMALL)
-    plan = _plan(m.stg_atmo_daily)
-    assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert "BroadcastHashJoin" in plan
+    plan = _plan(m.stg_atmo_daily, "simple")
+    partial = plan.index("row_number(), 1, Partial")
+    exchange = plan.index("Exchange hashpartitioning(code_insee")
+    assert exchange < partial          # the partial limit sits below (before) the shuffle
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
+def test_marts_aggregate_partially_and_filters_reach_the_scan(spark):
+    m = Models.from_tables(spark, SF_SMALL)
+    plan = _plan(m.mart_atmo_daily_national, "simple")
+    assert "partial_avg" in plan and "partial_count" in plan
+    scan = _plan(m.raw_air.filter("code_zone is not null"), "formatted")
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in scan
 
 
 def test_stored_staging_prunes_days_for_monitors(spark):
@@ -59,4 +74,10 @@ def test_stored_staging_prunes_days_for_monitors(spark):
     cov = m.mon_commune_coverage
     assert cov.count() == 1
     plan = _plan(cov)
-    assert "PartitionFilters" in plan or "partition" in plan.lower()
+    scans = [block for block in plan.split("\n\n") if "Scan parquet" in block and "stg_atmo_daily" in block]
+    rows = [b for b in scans if "ReadSchema: struct<code_insee:string>" in b]
+    newest = [b for b in scans if "ReadSchema: struct<>" in b]
+    # the rows of two days: partition filters on the day, one data column read
+    assert rows and all("date_ech" in b.split("PartitionFilters:")[1].split("\n")[0] for b in rows)
+    # the newest day: partition values only, no data column read
+    assert newest and len(rows) + len(newest) == len(scans)
