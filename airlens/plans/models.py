@@ -54,12 +54,14 @@ class Models:
         return self._stored_twin
 
     def _materialized(self) -> "Models":
-        """Same models, with staging and the daily département mart written once as tables.
-
-        For consumers that read them several times (monitors use a scalar
-        subquery on the newest day, then the rows of two days): the stored
-        tables are partitioned by day, so the newest day is cheap to find and
-        the two-day filter prunes partitions.
+        """Same models over staging written once as a table partitioned by day.
+
+        Every mart and analysis then reads the stored staging instead of
+        re-deriving and re-deduplicating the raw rows. The daily département
+        mart is also stored for the consumers that read it several times
+        (monitors: a scalar subquery on the newest day, then the rows of two
+        days), so the newest day is cheap to find and the two-day filter
+        prunes partitions.
         """
         return Models(self.raw_air, self.communes, self.epci, self.raw_weather, self.overrides, stored=True)
 
@@ -80,10 +82,13 @@ class Models:
 
     @cached_property
     def mart_atmo_daily_departement(self) -> DataFrame:
-        dep = marts.daily_department(self.stg_atmo_daily)
-        if self.stored:
-            dep = materialize(dep, "mart_atmo_daily_departement", ["date_ech"])
-        return dep
+        return marts.daily_department(self.stg_atmo_daily)
+
+    @cached_property
+    def daily_departement_table(self) -> DataFrame:
+        """The daily département mart, stored (partitioned by day) in the stored models."""
+        dep = self.mart_atmo_daily_departement
+        return materialize(dep, "mart_atmo_daily_departement", ["date_ech"]) if self.stored else dep
 
     @cached_property
     def mart_atmo_daily_national(self) -> DataFrame:
@@ -99,7 +104,7 @@ class Models:
 
     @cached_property
     def mon_departement_manquant(self) -> DataFrame:
-        return monitoring.missing_departments(self.mart_atmo_daily_departement)
+        return monitoring.missing_departments(self.daily_departement_table)
 
     def tables(self) -> dict[str, DataFrame]:
         """Published tables by name, in dependency order."""

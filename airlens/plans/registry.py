@@ -28,33 +28,37 @@ DEPARTMENT_LIST = ("20",)
 ZONE_TYPE = "EPCI"
 
 
-def _on(fn: Callable[[Models], DataFrame], stored: bool = False) -> Query:
+def _on(fn: Callable[[Models], DataFrame], stored: bool = True) -> Query:
+    """A query over the models of ``sf_dir``.
+
+    ``stored``: the models read staging from the table written once per data
+    set (as the rebuild does); otherwise staging is derived from the raw rows
+    inside the query.
+    """
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = Models.from_tables(spark, sf_dir)
         return flat(fn(m.materialized() if stored else m))
     return run
 
 
-def _model(name: str, stored: bool = False) -> Query:
+def _model(name: str, stored: bool = True) -> Query:
     return _on(lambda m: getattr(m, name), stored)
 
 
 QUERIES: dict[str, Query] = {
     # models
-    "air_staging": _model("stg_atmo_daily"),
-    "weather_staging": _model("stg_meteo_daily"),
+    "air_staging": _model("stg_atmo_daily", stored=False),
+    "weather_staging": _model("stg_meteo_daily", stored=False),
     "zone_profile": _model("mart_atmo_commune"),
     "daily_department": _model("mart_atmo_daily_departement"),
     "daily_national": _model("mart_atmo_daily_national"),
     "daily_with_weather": _model("mart_atmo_meteo_daily_departement"),
     # monitoring and quality
-    "zone_coverage": _model("mon_commune_coverage", stored=True),
-    "missing_departments": _model("mon_departement_manquant", stored=True),
-    "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant),
-                         stored=True),
-    "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant),
-                                    stored=True),
-    "quality_report": _on(lambda m: quality.quality_report(m.tables()), stored=True),
+    "zone_coverage": _model("mon_commune_coverage"),
+    "missing_departments": _model("mon_departement_manquant"),
+    "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)),
+    "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant)),
+    "quality_report": _on(lambda m: quality.quality_report(m.tables())),
     # anomalies
     "duplicate_zone_codes": _on(lambda m: A.duplicate_zone_codes(m.mart_atmo_commune)),
     "unnamed_zones": _on(lambda m: A.unnamed_zones(m.stg_atmo_daily)),
@@ -72,10 +76,9 @@ QUERIES: dict[str, Query] = {
     "search_zones": _on(lambda m: A.search_zones(m.mart_atmo_commune, SEARCH_TERM)),
     "national_selection": _on(lambda m: A.national_selection(m.mart_atmo_daily_national)),
     "department_selection": _on(lambda m: A.department_selection(m.mart_atmo_daily_departement)),
-    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(m.mart_atmo_daily_departement),
-                                    stored=True),
-    "mean_of_day": _on(lambda m: A.mean_of_day(m.mart_atmo_daily_departement), stored=True),
-    "dominant_of_day": _on(lambda m: A.dominant_of_day(m.mart_atmo_daily_departement), stored=True),
+    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(m.daily_departement_table)),
+    "mean_of_day": _on(lambda m: A.mean_of_day(m.daily_departement_table)),
+    "dominant_of_day": _on(lambda m: A.dominant_of_day(m.daily_departement_table)),
     "headline": _on(lambda m: A.headline(m.mart_atmo_daily_national)),
     "available_days": _on(lambda m: A.available_days(m.mart_atmo_daily_departement)),
     # weather
@@ -362,7 +365,7 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_tables(spark, sf_dir)
+    m = Models.from_tables(spark, sf_dir).materialized()
     sqlapi.publish({name: getattr(m, name) for name in sqlapi.PUBLISHED_VIEWS})
     return sqlapi.read_only_sql(spark, USER_SQL)
 
