@@ -41,6 +41,21 @@ def zone_coverage(stg: DataFrame) -> DataFrame:
     )
 
 
+def missing_zones(stg: DataFrame) -> DataFrame:
+    """Yesterday's rows whose code has no row today, marked MANQUANT.
+
+    A left anti join of yesterday's codes against today's distinct codes; both
+    sides read one day (partition pruning on a stored table). Duplicated codes
+    of yesterday stay duplicated and a null code is always missing, as with a
+    left join and a null test.
+    """
+    today, yesterday = _look_back(stg)
+    day = F.col("date_ech")
+    y = stg.filter(day == yesterday).select("code_insee")
+    t = stg.filter(day == today).select("code_insee").distinct()
+    return y.join(t, "code_insee", "left_anti").select("code_insee", F.lit(K.MISSING).alias("statut"))
+
+
 def missing_departments(dep: DataFrame) -> DataFrame:
     """``mon_departement_manquant``: départements present yesterday and absent today.
 

@@ -56,6 +56,7 @@ QUERIES: dict[str, Query] = {
     # monitoring and quality
     "zone_coverage": _model("mon_commune_coverage"),
     "missing_departments": _model("mon_departement_manquant"),
+    "missing_zones": _on(lambda m: monitoring.missing_zones(m.stg_atmo_daily)),
     "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)),
     "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant)),
     "quality_report": _on(lambda m: quality.quality_report(m.tables())),
@@ -151,6 +152,7 @@ ORACLE: dict[str, str] = {
     "daily_with_weather": _select_all(_MD),
     "zone_coverage": _select_all("mon_commune_coverage"),
     "missing_departments": _select_all("mon_departement_manquant"),
+    "missing_zones": O.with_models("SELECT code_insee, 'MANQUANT' AS statut FROM cov_missing"),
     "global_status": O.with_models("""
 SELECT c.date_check, c.statut AS statut_couverture, d.statut_departements,
   CASE WHEN c.statut = 'CRITICAL' OR d.statut_departements = 'CRITICAL' THEN 'CRITICAL'

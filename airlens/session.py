@@ -43,6 +43,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+# Cluster profile: an initial shuffle width for the largest shuffle (a year of
+# readings or a large backfill); AQE coalesces to ~128 MB partitions, so small
+# shuffles do not pay for the width, and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+}
+
+
+def cluster_session(app_name: str = "airlens", extra: dict | None = None) -> SparkSession:
+    """Session for spark-submit on a cluster (master and resources come from the submit).
+
+    ``spark.checkpoint.dir`` must name a shared folder (see :func:`shared_dir`).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**DEFAULT_CONF, **CLUSTER_CONF, **(extra or {})}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    shared_dir(spark)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
