@@ -35,8 +35,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write ``df`` as Parquet (snappy), rebalanced on its partition columns."""
-    writer = rebalanced(df, partition_by).write.mode(mode).option("compression", "snappy")
+    """Write ``df`` as Parquet (snappy); a table partitioned by day is rebalanced on it
+    first, an unpartitioned one (an aggregate) is written as its tasks produce it."""
+    out = rebalanced(df, partition_by) if partition_by else df
+    writer = out.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
