@@ -65,3 +65,42 @@ def test_read_centroids(spark, tmp_store):
         f.write("code_departement,lon,lat\n82,1.2855,44.0609\n26,5.1306,44.6938\n2A,8.9,41.9\n")
     got = [(r.location_id, r.code_departement) for r in ingest.read_centroids(spark, path).orderBy("location_id").collect()]
     assert got == [(0, "26"), (1, "2A"), (2, "82")]
+
+
+def test_daily_weather_run_saves_and_rebuilds_join(spark, tmp_store):
+    from airlens.plans.rebuild import run_all
+    communes = fx.communes(spark, [("01001", "01", "COM"), ("02001", "02", "COM")])
+    air = fx.raw_air(spark, [fx.raw_row(date="2024-03-04", code="01001"),
+                             fx.raw_row(date="2024-03-04", code="02001", qual=4, pm10=4)])
+    run_all(spark, air, None, communes, fx.epci(spark), tmp_store + "/out", gate=False)
+    res = daily_weather_run(spark, _payload(spark), _locations(spark), "2024-03-04", tmp_store + "/w",
+                            tmp_store + "/out", tmp_store + "/json")
+    assert res["status"] == "saved"
+    joined = {r.code_departement: (r.indice_moyen, r.temperature_max, r.weathercode)
+              for r in spark.read.parquet(tmp_store + "/out/mart_atmo_meteo_daily_departement").collect()}
+    assert joined == {"01": (2.0, 15.0, 61), "02": (4.0, 13.0, 1)}
+    assert ingest.stored_days(spark, tmp_store + "/w").count() == 1
+
+
+def test_cli_rebuild_and_sql(spark, tmp_store):
+    import json
+    import subprocess
+    import sys
+    import os
+    os.makedirs(tmp_store, exist_ok=True)
+    air = tmp_store + "/air"
+    ingest.ingest_days(spark, fx.raw_air(spark, [fx.raw_row(date="2024-03-04")]), air)
+    with open(tmp_store + "/communes.csv", "w") as f:
+        f.write("COM,DEP,TYPECOM\n01001,01,COM\n")
+    with open(tmp_store + "/epci.csv", "w") as f:
+        f.write("SIREN,code_departement,code_region\n200000001,27,11\n")
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    base = [sys.executable, "-m", "airlens", "--master", "local[2]"]
+    subprocess.run(base + ["rebuild", "--air-store", air, "--communes", tmp_store + "/communes.csv",
+                           "--epci", tmp_store + "/epci.csv", "--out", tmp_store + "/out"],
+                   check=True, env=env, capture_output=True, timeout=600)
+    out = subprocess.run(base + ["sql", "--out", tmp_store + "/out",
+                                 "SELECT code_departement, nb_communes FROM mart_atmo_daily_departement"],
+                         check=True, env=env, capture_output=True, timeout=600, text=True)
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["ok"] and res["rows"] == [["01", "1"]]
