@@ -61,26 +61,44 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def _failure_expr(rule: Rule) -> F.Column:
-    c = F.col(rule.column)
-    if rule.test == "not_null":
-        return F.count_if(c.isNull())
-    if rule.test == "accepted_values":
-        return F.count_distinct(F.when(~c.isin(*rule.values), c))
-    raise ValueError(rule.test)
+def _rule_rows(rules: Sequence[Rule], failures) -> F.Column:
+    """An array of report rows (one struct per rule) to ``inline`` from a one-row frame."""
+    return F.array(*[F.struct(F.lit(r.model).alias("model"), F.lit(r.column).alias("column_name"),
+                              F.lit(r.test).alias("test"), F.lit(r.severity).alias("severity"),
+                              F.lit(i).alias("rule"), failures(i, r).alias("failures"))
+                     for i, r in enumerate(rules)])
 
 
 def check_table(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Run the rules of one table: one aggregate for the column rules, one per unique rule."""
+    """Run the rules of one table.
+
+    * not_null: one aggregate pass counting nulls of every ruled column;
+    * accepted_values: each row emits a (rule, value) pair only for a value out
+      of its list (normally none), then the distinct pairs are counted per rule,
+      so no row is replicated per rule before the shuffle;
+    * unique: values seen more than once, from a partial-then-final aggregate.
+    """
     parts = []
-    single = [r for r in rules if r.test != "unique"]
-    if single:
-        counts = df.agg(*[_failure_expr(r).cast("bigint").alias(f"r{i}") for i, r in enumerate(single)])
-        rows = F.array(*[F.struct(F.lit(r.model).alias("model"), F.lit(r.column).alias("column_name"),
-                                  F.lit(r.test).alias("test"), F.lit(r.severity).alias("severity"),
-                                  F.col(f"r{i}").alias("failures"))
-                         for i, r in enumerate(single)])
-        parts.append(counts.select(F.inline(rows)))
+    nulls = [r for r in rules if r.test == "not_null"]
+    lists = [r for r in rules if r.test == "accepted_values"]
+    if nulls or lists:
+        counts = df.agg(*[F.count_if(F.col(r.column).isNull()).alias(f"n{i}") for i, r in enumerate(nulls)],
+                        F.count(F.lit(1)).alias("_rows"))
+        if nulls:
+            parts.append(counts.select(F.inline(_rule_rows(nulls, lambda i, r: F.col(f"n{i}").cast("bigint"))))
+                         .drop("rule"))
+        if lists:
+            offending = F.filter(
+                F.array(*[F.when(~F.col(r.column).isin(*r.values),
+                                 F.struct(F.lit(i).alias("rule"), F.col(r.column).cast("string").alias("value")))
+                          for i, r in enumerate(lists)]),
+                lambda x: x.isNotNull())
+            bad = (df.select(F.explode(offending).alias("b")).select("b.rule", "b.value").distinct()
+                   .groupBy("rule").agg(F.count(F.lit(1)).cast("bigint").alias("bad")))
+            listed = counts.select(F.inline(_rule_rows(lists, lambda i, r: F.lit(0).cast("bigint"))))
+            parts.append(listed.join(F.broadcast(bad), "rule", "left")   # at most one row per rule
+                         .select("model", "column_name", "test", "severity",
+                                 F.coalesce(F.col("bad"), F.lit(0)).cast("bigint").alias("failures")))
     for r in rules:
         if r.test == "unique":
             dup = (df.filter(F.col(r.column).isNotNull()).groupBy(r.column).count().filter(F.col("count") > 1)

@@ -97,3 +97,12 @@ def test_export_csv(spark, tmp_store):
 
 def test_raw_schema_is_not_mutated():
     assert len(RAW_AIR.fields) == 15
+
+
+def test_accepted_values_counts_distinct_offending_values(spark):
+    stg = spark.createDataFrame([(9, 1), (9, 1), (0, 1), (None, 1), (3, 7)], "code_qual int, code_no2 int")
+    rules = [r for r in quality.RULES if r.model == "stg_atmo_daily" and r.column in ("code_qual", "code_no2")]
+    rep = {(r.column_name, r.test): r.failures for r in quality.check_table(stg, rules).collect()}
+    assert rep[("code_qual", "accepted_values")] == 2      # 9 and 0; null is not checked
+    assert rep[("code_no2", "accepted_values")] == 1
+    assert rep[("code_qual", "not_null")] == 1
