@@ -73,17 +73,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
     On a cluster it must be set (a shared file system or object store); only a
-    local session without it gets a private folder, as in tests.
+    local session without it gets a private folder, as in tests. The setting is
+    read, never changed; a folder made here is registered as the context's
+    checkpoint folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="airlens-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="airlens-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 

@@ -81,3 +81,24 @@ def test_stored_staging_prunes_days_for_monitors(spark):
     assert rows and all("date_ech" in b.split("PartitionFilters:")[1].split("\n")[0] for b in rows)
     # the newest day: partition values only, no data column read
     assert newest and len(rows) + len(newest) == len(scans)
+
+
+def test_sentinel_filters_reach_the_store_scan(spark, tmp_store):
+    from airlens.sources import ingest
+    ingest.ingest_days(spark, fx.raw_air(spark, [fx.raw_row(), fx.raw_row(qual=7)]), tmp_store)
+    stg = air_staging(ingest.read_store(spark, tmp_store), fx.communes(spark), fx.epci(spark))
+    plan = _plan(stg)
+    scan = [b for b in plan.split("\n\n") if "Scan parquet" in b and tmp_store in b][0]
+    pushed = scan.split("PushedFilters:")[1].split("\n")[0]
+    assert "IsNotNull(code_zone)" in pushed and "Not(In(code_qual, [0,7]))" in pushed
+    assert stg.count() == 1
+
+
+def test_hot_zone_holding_a_third_of_rows(spark):
+    hot = [fx.raw_row(code="01001", qual=1 + i % 6, no2=1 + i % 6, source=f"S{i}") for i in range(300)]
+    rest = [fx.raw_row(code=f"9{i:04d}", qual=2) for i in range(600)]
+    stg = _stg(spark, hot + rest)
+    rows = {r.code_insee: r for r in stg.collect()}
+    assert len(rows) == 601 and rows["01001"].code_qual == 6
+    dep = {r.code_departement: r.nb_communes for r in marts.daily_department(stg).collect()}
+    assert dep["01"] == 1 and sum(dep.values()) == 601
