@@ -10,12 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlens.functions import constants as K
 from airlens.operators import analysis as A
 from airlens.operators import monitoring, quality
 from airlens.plans import oracle as O
+from airlens.plans import rebuild, sqlapi
 from airlens.plans.models import Models, flat
+from airlens.session import fresh_path
+from airlens.sources import fixtures, ingest, payload
+from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
+from airlens.streaming.file_ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,14 +298,6 @@ FROM {_MD} WHERE temperature_max IS NOT NULL GROUP BY date_ech"""),
 # --- sources, sinks, rebuild, SQL console --------------------------------------------------
 # These write to fresh folders under ``spark.checkpoint.dir`` and read the result back.
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from airlens.plans import rebuild, sqlapi  # noqa: E402
-from airlens.session import fresh_path  # noqa: E402
-from airlens.sources import fixtures, ingest, payload  # noqa: E402
-from airlens.sources.schemas import RAW_AIR, RAW_WEATHER  # noqa: E402
-from airlens.streaming.file_ingest import stream_ingest  # noqa: E402
 
 LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerType())])
 
