@@ -55,8 +55,10 @@ def argmax_names(values: Sequence[Column | str], names: Sequence[str] = K.POLLUT
     """
     cols = [col(v) for v in values]
     top = F.greatest(*cols)
-    flagged = F.array(*[F.when(c == top, F.lit(n)) for c, n in zip(cols, names)])
-    return F.filter(flagged, lambda x: x.isNotNull())
+    none = F.array().cast("array<string>")
+    # one-element or empty array per column, concatenated: plain code-generated
+    # expressions, no lambda evaluated per element
+    return F.concat(*[F.when(c == top, F.array(F.lit(n))).otherwise(none) for c, n in zip(cols, names)])
 
 
 def pollutant_columns(prefix: str, suffix: str = "") -> list[str]:
