@@ -104,3 +104,21 @@ def test_cli_rebuild_and_sql(spark, tmp_store):
                          check=True, env=env, capture_output=True, timeout=600, text=True)
     res = json.loads(out.stdout.strip().splitlines()[-1])
     assert res["ok"] and res["rows"] == [["01", "1"]]
+
+
+def test_stream_ingest_takes_each_file_once(spark, tmp_store):
+    from pyspark.sql import types as T
+    from airlens.sources.schemas import RAW_AIR
+    from airlens.streaming.file_ingest import stream_ingest
+    landing, store, ckpt = tmp_store + "/landing", tmp_store + "/store", tmp_store + "/ckpt"
+    schema = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerType())])
+    fx.raw_air(spark, [fx.raw_row(date="2024-03-03"), fx.raw_row(date="2024-03-04")]) \
+        .write.partitionBy("date_ech").parquet(landing + "/drop=1")
+    stream_ingest(spark, landing, store, ckpt, schema)
+    stream_ingest(spark, landing, store, ckpt, schema)          # nothing new: nothing added
+    assert ingest.read_store(spark, store).count() == 2
+    fx.raw_air(spark, [fx.raw_row(date="2024-03-04", code="x")]) \
+        .write.partitionBy("date_ech").parquet(landing + "/drop=2")
+    stream_ingest(spark, landing, store, ckpt, schema)
+    got = sorted((r.date_ech, r.code_zone) for r in ingest.read_store(spark, store).collect())
+    assert got == [("2024-03-03", "01001"), ("2024-03-04", "01001"), ("2024-03-04", "x")]
