@@ -38,6 +38,7 @@ def main(argv=None) -> int:
     for name in ("air-store", "communes", "epci", "out"):
         a.add_argument(f"--{name}", required=True)
     a.add_argument("--weather-store")
+    a.add_argument("--incremental", action="store_true", help="rebuild only what the new day changes")
 
     w = sub.add_parser("daily-weather")
     w.add_argument("--payload", required=True)
@@ -71,7 +72,7 @@ def main(argv=None) -> int:
     if args.cmd == "daily-air":
         communes, epci = _dims(spark, args)
         res = daily.daily_air_run(spark, args.csv, args.day, args.air_store, communes, epci, args.out,
-                                  args.weather_store)
+                                  args.weather_store, incremental=args.incremental)
     elif args.cmd in ("daily-weather", "backfill-weather"):
         payload = spark.read.schema(WEATHER_PAYLOAD).parquet(args.payload)
         locations = read_centroids(spark, args.centroids)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
-from airlens.plans.rebuild import rebuild_weather, run_all
+from airlens.plans.rebuild import rebuild_weather, run_all, run_day
 from airlens.sources import ingest
 from airlens.sources.payload import flatten_series
 
@@ -19,13 +19,20 @@ from airlens.sources.payload import flatten_series
 def daily_air_run(spark: SparkSession, csv_path: str, day: str, air_root: str, communes: DataFrame,
                   epci: DataFrame, out_root: str, weather_root: str | None = None,
                   overrides: Mapping[str, str] = K.ZONE_OVERRIDES,
-                  expected_columns: int = K.RAW_AIR_COLUMN_COUNT) -> dict:
+                  expected_columns: int = K.RAW_AIR_COLUMN_COUNT, incremental: bool = False) -> dict:
     """Ingest the day's file (header check, day filter, skip when stored, fail on no row),
-    rebuild every table from all stored days, then stop on a CRITICAL monitor."""
+    rebuild the tables, then stop on a CRITICAL monitor.
+
+    By default every table is rebuilt from all stored days; ``incremental``
+    rebuilds only what the new day changes (:func:`~airlens.plans.rebuild.run_day`).
+    """
     result = ingest.ingest_day(spark, csv_path, air_root, day, expected_columns)
     has_weather = weather_root is not None and ingest.stored_days(spark, weather_root).take(1)
-    tables = run_all(spark, air_root, weather_root if has_weather else None, communes, epci, out_root,
-                     overrides, gate=True)
+    weather = weather_root if has_weather else None
+    if incremental:
+        tables = run_day(spark, day, air_root, weather, communes, epci, out_root, overrides, gate=True)
+    else:
+        tables = run_all(spark, air_root, weather, communes, epci, out_root, overrides, gate=True)
     return {"ingest": result, "tables": sorted(tables)}
 
 

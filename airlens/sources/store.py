@@ -34,11 +34,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+                replace_partitions: bool = False) -> None:
     """Write ``df`` as Parquet (snappy); a table partitioned by day is rebalanced on it
-    first, an unpartitioned one (an aggregate) is written as its tasks produce it."""
+    first, an unpartitioned one (an aggregate) is written as its tasks produce it.
+
+    An overwrite replaces the whole table, or with ``replace_partitions`` only
+    the partitions present in ``df`` (dynamic partition overwrite).
+    """
     out = rebalanced(df, partition_by) if partition_by else df
-    writer = out.write.mode(mode).option("compression", "snappy")
+    writer = (out.write.mode(mode).option("compression", "snappy")
+              .option("partitionOverwriteMode", "dynamic" if replace_partitions else "static"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -122,3 +122,24 @@ def test_stream_ingest_takes_each_file_once(spark, tmp_store):
     stream_ingest(spark, landing, store, ckpt, schema)
     got = sorted((r.date_ech, r.code_zone) for r in ingest.read_store(spark, store).collect())
     assert got == [("2024-03-03", "01001"), ("2024-03-04", "01001"), ("2024-03-04", "x")]
+
+
+def test_run_day_equals_full_rebuild(spark, tmp_store):
+    from airlens.plans.rebuild import run_all, run_day
+    from tools.compare import digest
+    communes = fx.communes(spark, [("01001", "01", "COM"), ("02001", "02", "COM"), ("03001", "03", "COM")])
+    days = {"2024-03-03": [("01001", 2), ("02001", 3), ("03001", 1), ("03001", 5)],
+            "2024-03-04": [("01001", 4), ("02001", 1)],
+            "2024-03-05": [("01001", 1), ("03001", 6), ("04001", 2)]}
+    air, weather = tmp_store + "/air", tmp_store + "/weather"
+    wrows = [fx.weather_row(date=d, dept=dep, tmax=10.0 + i) for i, d in enumerate(days) for dep in ("01", "02")]
+    ingest.ingest_days(spark, fx.weather(spark, wrows), weather)
+    for d, rows in days.items():
+        raw = [fx.raw_row(date=d, code=c, qual=q, no2=q, source=f"S{i}") for i, (c, q) in enumerate(rows)]
+        ingest.ingest_days(spark, fx.raw_air(spark, raw), air)
+        inc = run_day(spark, d, air, weather, communes, fx.epci(spark), tmp_store + "/inc", gate=False)
+    full = run_all(spark, air, weather, communes, fx.epci(spark), tmp_store + "/full", gate=False)
+    assert set(inc) == set(full)
+    for name in full:
+        a, b = inc[name].collect(), full[name].select(*inc[name].columns).collect()
+        assert digest([tuple(r) for r in a], inc[name].columns)[0] == digest([tuple(r) for r in b], inc[name].columns)[0], name
