@@ -39,7 +39,8 @@ def daily_air_run(spark: SparkSession, csv_path: str, day: str, air_root: str, c
 def daily_weather_run(spark: SparkSession, payload: DataFrame, locations: DataFrame, day: str,
                       weather_root: str, out_root: str, json_root: str | None = None) -> dict:
     """Store the day's weather rows (skipped when the day is stored), keep a JSON copy of
-    the records, then rebuild weather staging and its join with the stored daily mart."""
+    the records, then replace that day in weather staging and in its join with the
+    stored daily mart."""
     if ingest.stored_days(spark, weather_root).filter(F.col("date_ech") == day).take(1):
         return {"day": day, "status": "skipped"}
     rows = ingest.keep_day(flatten_series(payload, locations), day)
@@ -47,7 +48,7 @@ def daily_weather_run(spark: SparkSession, payload: DataFrame, locations: DataFr
         ingest.write_json(rows, f"{json_root.rstrip('/')}/date_ech={day}")
     ingest.write_days(rows, weather_root)
     if ingest.stored_days(spark, f"{out_root.rstrip('/')}/mart_atmo_daily_departement").take(1):
-        rebuild_weather(spark, weather_root, out_root)
+        rebuild_weather(spark, weather_root, out_root, day)
     return {"day": day, "status": "saved"}
 
 

@@ -117,12 +117,21 @@ def run_day(spark: SparkSession, day: str, raw_air: str, raw_weather: str | None
     return t
 
 
-def rebuild_weather(spark: SparkSession, raw_weather: DataFrame | str, out_root: str) -> dict[str, DataFrame]:
-    """Weather staging and its join with the stored daily département mart, as it is now."""
+def rebuild_weather(spark: SparkSession, raw_weather: DataFrame | str, out_root: str,
+                    day: str | None = None) -> dict[str, DataFrame]:
+    """Weather staging and its join with the stored daily département mart, as it is now.
+
+    With ``day``, only that day's weather rows are read and only that day's
+    partitions of both tables are replaced.
+    """
     weather = read_store(spark, raw_weather, RAW_WEATHER) if isinstance(raw_weather, str) else raw_weather
-    root = out_root.rstrip("/")
-    dep = spark.read.parquet(f"{root}/mart_atmo_daily_departement")
-    t = {"stg_meteo_daily": _save(staging.weather_staging(weather), out_root, "stg_meteo_daily")}
-    t["mart_atmo_meteo_daily_departement"] = _save(marts.daily_with_weather(dep, t["stg_meteo_daily"]),
-                                                   out_root, "mart_atmo_meteo_daily_departement")
+    dep = spark.read.parquet(_path(out_root, "mart_atmo_daily_departement"))
+    if day is not None:
+        weather = weather.filter(F.col("date_ech").cast("string") == day)
+        dep = dep.filter(F.col("date_ech") == F.lit(day).cast("date"))
+    one_day = day is not None
+    t = {"stg_meteo_daily": _save(staging.weather_staging(weather), out_root, "stg_meteo_daily", one_day)}
+    w = t["stg_meteo_daily"].filter(F.col("date_ech") == F.lit(day).cast("date")) if one_day else t["stg_meteo_daily"]
+    t["mart_atmo_meteo_daily_departement"] = _save(marts.daily_with_weather(dep, w), out_root,
+                                                   "mart_atmo_meteo_daily_departement", one_day)
     return t
