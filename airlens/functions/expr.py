@@ -143,8 +143,3 @@ def worst_status(*statuses: Column | str) -> Column:
     return (F.when(crit, F.lit(K.STATUS_CRITICAL))
             .when(warn, F.lit(K.STATUS_WARN))
             .otherwise(F.lit(K.STATUS_OK)))
-
-
-def join_names(arr: Column | str, sep: str = "|") -> Column:
-    """Flatten a name array to text (for comparisons and CSV export)."""
-    return F.array_join(col(arr), sep)

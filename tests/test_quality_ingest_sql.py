@@ -90,7 +90,7 @@ def test_read_only_sql(spark):
 
 def test_export_csv(spark, tmp_store):
     df = spark.createDataFrame([("01", ["NO2", "O3"])], "code string, p array<string>")
-    ingest.export_csv(df, tmp_store + "/out")
+    sqlapi.export_result(df, tmp_store + "/out")
     back = spark.read.option("header", True).csv(tmp_store + "/out").collect()
     assert back[0].p == "NO2|O3"
 
