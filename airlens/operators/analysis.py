@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
@@ -20,11 +20,14 @@ from airlens.functions.expr import bands_ascending, bands_descending, count_wher
 def duplicate_zone_codes(profile: DataFrame) -> DataFrame:
     """Zone profile rows whose code appears on more than one row (shared codes, border zones).
 
-    The duplicated codes come from a partial-then-final aggregate; the semi join
-    keeps the profile rows of those codes.
+    A row count over the profile partitioned by code: the profile has one row
+    per (code, name, département), so a code's group holds a handful of rows,
+    and the profile is computed once (no second pass for a semi join). A null
+    code never qualifies, as with ``IN``.
     """
-    dup = profile.groupBy("code_insee").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return profile.join(dup.select("code_insee"), "code_insee", "left_semi")
+    n = F.count(F.lit(1)).over(Window.partitionBy("code_insee"))
+    return (profile.filter(F.col("code_insee").isNotNull())
+            .withColumn("_n", n).filter(F.col("_n") > 1).drop("_n"))
 
 
 def unnamed_zones(stg: DataFrame) -> DataFrame:
@@ -64,8 +67,9 @@ def zones_lost(stg: DataFrame, day_from=None, day_to=None) -> DataFrame:
         later = later.filter(F.col("_day") == F.lit(day_to).cast("date"))
         cond = F.col("code_insee") == F.col("_code")
         return s1.join(later, cond, "left_anti")
+    # one row per calendar day: broadcast, so staging is not shuffled by day
     days = stg.select(F.col("date_ech").alias("_d")).distinct()
-    s1 = s1.join(days, F.date_add(F.col("date_ech"), 1) == F.col("_d"), "left_semi")
+    s1 = s1.join(F.broadcast(days), F.date_add(F.col("date_ech"), 1) == F.col("_d"), "left_semi")
     cond = (F.col("code_insee") == F.col("_code")) & (F.date_add(F.col("date_ech"), 1) == F.col("_day"))
     return s1.join(later, cond, "left_anti")
 
