@@ -28,10 +28,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task. Split inputs at scale already have many partitions and are left as
     they are, so this never adds a shuffle to a large scan.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()      # planning only, no job
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): keep the scan as it is
+        return df
+    return df.repartition(want) if splits < want else df
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
