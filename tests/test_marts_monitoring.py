@@ -87,3 +87,14 @@ def test_gate_raises_on_critical_and_passes_warn(spark):
     g = monitoring.global_status(monitoring.zone_coverage(warn),
                                  monitoring.missing_departments(marts.daily_department(warn))).collect()[0]
     assert g.statut_global == "WARN"
+
+
+def test_missing_zones_keeps_duplicates_and_null_codes(spark):
+    y = spark.createDataFrame(
+        [(dt.date(2024, 3, 3), "a", "A1"), (dt.date(2024, 3, 3), "a", "A2"), (dt.date(2024, 3, 3), None, "N"),
+         (dt.date(2024, 3, 3), "b", "B"), (dt.date(2024, 3, 4), "b", "B"), (dt.date(2024, 3, 4), None, "N")],
+        "date_ech date, code_insee string, nom_commune string")
+    got = sorted((r.code_insee or "", r.statut) for r in monitoring.missing_zones(y).collect())
+    assert got == [("", "MANQUANT"), ("a", "MANQUANT"), ("a", "MANQUANT")]
+    cov = monitoring.zone_coverage(y).collect()[0]
+    assert (cov.nb_communes_manquantes, cov.nb_communes_hier, cov.statut) == (3, 4, "CRITICAL")
