@@ -20,6 +20,13 @@ def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+# at most this many partitions when spreading a single-split input: enough to use
+# a node's or a few executors' cores, without turning one small daily file into
+# thousands of near-empty tasks on a large cluster (AQE does not coalesce an
+# explicit partition count)
+MAX_SPREAD = 256
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cores when its scan yields fewer splits than that.
 
@@ -29,7 +36,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     they are, so this never adds a shuffle to a large scan.
     """
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
         splits = df.rdd.getNumPartitions()      # planning only, no job
     except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): keep the scan as it is
         return df
