@@ -74,18 +74,18 @@ def read_reference_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_centroids(spark: SparkSession, path: str, max_rows: int = 10_000) -> DataFrame:
     """Département centroids (code_departement, lon, lat) with a location id.
 
-    The weather service answers in the order of the requested locations; the
-    request lists the centroids sorted by département, so the id is that rank.
-    The table is one row per département: its size is checked before the
-    (single-partition) ranking.
+    The weather service answers in the order of the requested locations, and
+    the request lists the centroids in file order, so a location's id is its
+    row number in the file. The table has one row per département: its size is
+    checked, then it is read as a single partition, where the generated id
+    counts rows in file order from 0.
     """
-    from pyspark.sql import Window
     from airlens.operators.joins import fits_broadcast
     seed = read_reference_csv(spark, path, "code_departement string, lon double, lat double")
     if not fits_broadcast(seed, max_rows):
         raise ValueError(f"centroid table has more than {max_rows} rows")
-    rank = F.row_number().over(Window.orderBy("code_departement")) - 1
-    return seed.select(rank.cast("int").alias("location_id"), "code_departement", "lon", "lat")
+    return seed.coalesce(1).select(F.monotonically_increasing_id().cast("int").alias("location_id"),
+                                   "code_departement", "lon", "lat")
 
 
 def keep_day(df: DataFrame, day: str) -> DataFrame:
