@@ -47,3 +47,11 @@ def test_statuses(spark):
     assert [r[0] for r in d.select(departments_status("m")).collect()] == ["OK", "WARN", "CRITICAL"]
     s = spark.createDataFrame([("OK", "WARN"), ("CRITICAL", "OK"), ("OK", None)], "a string, b string")
     assert [r[0] for r in s.select(worst_status("a", "b")).collect()] == ["WARN", "CRITICAL", "OK"]
+
+
+def test_dominant_by_prefix_and_suffix(spark):
+    from airlens.functions.expr import dominant, pollutant_columns
+    assert pollutant_columns("pct", "declencheur")[0] == "pct_no2_declencheur"
+    assert pollutant_columns("code") == ["code_no2", "code_o3", "code_pm10", "code_pm25", "code_so2"]
+    df = spark.createDataFrame([(10.0, 50.0, 50.0, 0.0, 0.0)], ", ".join(f"{c} double" for c in pollutant_columns("pct", "declencheur")))
+    assert df.select(dominant("pct", "declencheur")).collect()[0][0] == ["O3", "PM10"]
