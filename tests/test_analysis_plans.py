@@ -102,3 +102,12 @@ def test_hot_zone_holding_a_third_of_rows(spark):
     assert len(rows) == 601 and rows["01001"].code_qual == 6
     dep = {r.code_departement: r.nb_communes for r in marts.daily_department(stg).collect()}
     assert dep["01"] == 1 and sum(dep.values()) == 601
+
+
+def test_search_case_rules(spark):
+    rows = [fx.raw_row(date=f"2024-03-0{d}", code=c, name=n) for d in (1, 2)
+            for c, n in [("2A004", "Ajaccio"), ("2B033", "Bastia"), ("01001", None)]]
+    prof = marts.zone_profile(_stg(spark, rows))
+    assert [r.code_insee for r in A.search_zones(prof, "AJAC").collect()] == ["2A004"]   # name: any case
+    assert [r.code_insee for r in A.search_zones(prof, "2A").collect()] == ["2A004"]     # code: exact case
+    assert A.search_zones(prof, "2a").count() == 0
