@@ -385,7 +385,22 @@ def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental daily path: the two newest days rebuilt one after the other."""
+    i = fixtures.Inputs.load(spark, sf_dir)
+    air_root, weather_root = fresh_path(spark, "store-air"), fresh_path(spark, "store-weather")
+    report = ingest.ingest_days(spark, i.raw_air, air_root)
+    ingest.ingest_days(spark, i.raw_weather, weather_root)
+    out = fresh_path(spark, "rebuild-day")
+    tables = {}
+    for day in sorted(d for d, _, _ in report["days"])[-2:]:
+        tables = rebuild.run_day(spark, day, air_root, weather_root, i.communes, i.epci, out,
+                                 fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    return flat(tables["mart_atmo_daily_departement"])
+
+
 QUERIES.update({
+    "rebuild_day": _rebuild_day,
     "flatten_series": _flatten_series,
     "new_days_only": _new_days_only,
     "parquet_by_day": _parquet_by_day,
@@ -401,6 +416,10 @@ _OLDER = (f"cast(date_ech AS date) < (SELECT max(cast(date_ech AS date)) FROM ra
           f"- INTERVAL {STORED_BEFORE_DAYS} DAY")
 
 ORACLE.update({
+    "rebuild_day": O.with_models("""
+SELECT * REPLACE (array_to_string(polluants_dominants_departement, '|') AS polluants_dominants_departement)
+FROM mart_atmo_daily_departement
+WHERE date_ech >= (SELECT max(date_ech) FROM stg_atmo_daily) - 1"""),
     "flatten_series": O.with_models("""
 , chunks AS (
   SELECT cast(code_departement AS integer) AS location_id, date_trunc('month', cast(date_ech AS date)) AS m,
