@@ -386,16 +386,14 @@ def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incremental daily path: the two newest days rebuilt one after the other."""
+    """The incremental daily path: every day stored, then the newest day rebuilt alone
+    (its raw partition only) into a fresh folder."""
     i = fixtures.Inputs.load(spark, sf_dir)
-    air_root, weather_root = fresh_path(spark, "store-air"), fresh_path(spark, "store-weather")
+    air_root = fresh_path(spark, "store-air")
     report = ingest.ingest_days(spark, i.raw_air, air_root)
-    ingest.ingest_days(spark, i.raw_weather, weather_root)
-    out = fresh_path(spark, "rebuild-day")
-    tables = {}
-    for day in sorted(d for d, _, _ in report["days"])[-2:]:
-        tables = rebuild.run_day(spark, day, air_root, weather_root, i.communes, i.epci, out,
-                                 fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    newest = max(d for d, _, _ in report["days"])
+    tables = rebuild.run_day(spark, newest, air_root, None, i.communes, i.epci, fresh_path(spark, "rebuild-day"),
+                             fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
     return flat(tables["mart_atmo_daily_departement"])
 
 
@@ -419,7 +417,7 @@ ORACLE.update({
     "rebuild_day": O.with_models("""
 SELECT * REPLACE (array_to_string(polluants_dominants_departement, '|') AS polluants_dominants_departement)
 FROM mart_atmo_daily_departement
-WHERE date_ech >= (SELECT max(date_ech) FROM stg_atmo_daily) - 1"""),
+WHERE date_ech = (SELECT max(date_ech) FROM stg_atmo_daily)"""),
     "flatten_series": O.with_models("""
 , chunks AS (
   SELECT cast(code_departement AS integer) AS location_id, date_trunc('month', cast(date_ech AS date)) AS m,
