@@ -5,9 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality_bands, toxicity
+from . import bpe, chat_format, mixing, quality_bands, topk_blocks, toxicity, url_cascade
 from .common import read_table
 
+URL_RULES = (
+    url_cascade.Rule("allow", "com", "/"),
+    url_cascade.Rule("block", "example.com", "/en/"),
+    url_cascade.Rule("allow", "www.example.com", "/en/"),
+    url_cascade.Rule("block", "net", "/es/"),
+    url_cascade.Rule("block", "net", "/fr/"),
+)
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
@@ -15,19 +22,44 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"))
+
+
+def op4_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_blocks.top_scores(read_table(spark, sf_dir, "embeddings"))
+
+
+def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(read_table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE),
                             public_tokenizers.PATTERN)
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
+    "op4_topk_blocks": op4_topk_blocks,
+    "op5_url_cascade": op5_url_cascade,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_chat_format": op8_chat_format,
     "op9_quality_bands": op9_quality_bands,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_mixing": mixing.oracle_sql(),
+    "op4_topk_blocks": topk_blocks.ORACLE_SQL,
+    "op5_url_cascade": url_cascade.ORACLE_SQL,
+    "op8_chat_format": chat_format.ORACLE_SQL,
+}
