@@ -12,7 +12,7 @@ Targets default to the present shares raised to ``temper`` (a power below 1 move
 from the large to the small); a table of targets (margin, value, share) replaces them.
 
 Only DataFrame functions run. The text is read once; raking works on the cells, whose number does
-not grow with the documents, and every sweep cuts its lineage with ``checkpoint``.
+not grow with the documents, and every sweep cuts its lineage by storing them.
 
 Cases: null sources and languages are values of their own; null and empty texts have no tokens, so
 they weigh nothing and are drawn with their cell's probability (a cell without any tokens is kept
@@ -24,10 +24,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_PATTERN, free_name, scratch_path, whole
+from .common import WORD_PATTERN, free_name, whole, written
 
-SWEEPS = 12
-TEMPER = 0.7
+SWEEPS = 8
+TEMPER = 0.9
 SEED = 17
 MARGINS = ("source", "lang", "topic")
 #: (topic, substrings); the first topic of which the text holds a substring, else "prose"
@@ -80,7 +80,6 @@ def rake(cells: DataFrame, targets: DataFrame, sweeps: int = SWEEPS) -> DataFram
     After a sweep the last margin (topic) holds exactly, the others as nearly as the sweeps allow.
     Values without a target get no weight.
     """
-    scratch_path(cells.sparkSession, "rake")  # so that a checkpoint folder is set, in tests too
     work = cells.where("tokens > 0").withColumn("weight", F.col("tokens"))
     for _ in range(sweeps):
         for m in MARGINS:
@@ -88,7 +87,7 @@ def rake(cells: DataFrame, targets: DataFrame, sweeps: int = SWEEPS) -> DataFram
             now = work.groupBy(m).agg(F.sum("weight").alias("now")).join(goal, m).where("now > 0").select(
                 m, (F.col("share") / F.col("now")).alias("scale"))
             work = work.join(now, m).select(*MARGINS, "tokens", (F.col("weight") * F.col("scale")).alias("weight"))
-        work = work.checkpoint()
+        work = written(work, "rake")
     return work
 
 
@@ -107,8 +106,8 @@ def draw(key: Column, text: Column, seed: int = SEED) -> Column:
 
 def drawn(docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id") -> tuple[DataFrame, list[str]]:
     """``docs`` with source, lang, topic, p and the draw under free names, which are returned too."""
-    cells = cells_of(docs).checkpoint() if scratch_path(docs.sparkSession, "cells") else None
-    raked = rake(cells, tempered_targets(cells).checkpoint() if targets is None else targets)
+    cells = written(cells_of(docs), "cells")
+    raked = rake(cells, written(tempered_targets(cells) if targets is None else targets, "targets"))
     names = [free_name(docs, f"mix_{m}") for m in (*MARGINS, "p", "draw")]
     # as many rows as there are cells, whatever the number of documents
     p = probabilities(raked).select(*[F.col(m).alias(n) for m, n in zip((*MARGINS, "p"), names)])

@@ -35,7 +35,7 @@ BLOCK_ROWS = 64
 SHARD_ROWS = 4096
 GROUP_QUERIES = 512
 SIGN_BITS = 24
-LEAST = np.iinfo(np.int64).min
+LEAST = np.iinfo(np.int64).min + 1  # its negative is a number, too
 LAST = np.iinfo(np.int64).max
 
 
