@@ -60,3 +60,15 @@ def groups(texts: list[str], chars: int = 1 << 21) -> Iterator[list[str]]:
         size += len(text)
     if group:
         yield group
+
+
+def roughly_in(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, buckets: int = 1 << 19) -> DataFrame:
+    """Rows of ``df`` whose key's bucket holds a wanted key: all wanted rows and a few others.
+
+    What is broadcast has at most ``buckets`` integers, however many keys are wanted; an exact join
+    that follows then shuffles little. Null keys are never wanted.
+    """
+    name = free_name(df, "bucket")
+    bucket = lambda k: F.pmod(F.xxhash64(k), F.lit(buckets)).cast("int").alias(name)
+    few = wanted.where(wanted_key.isNotNull()).select(bucket(wanted_key)).distinct()
+    return df.withColumn(name, bucket(key)).join(F.broadcast(few), name, "left_semi").drop(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, mixing, quality_bands, topk_blocks, toxicity, url_cascade
+from . import bpe, chat_format, line_templates, minmax_dedup, mixing, quality_bands, topk_blocks, toxicity, url_cascade
 from .common import read_table
 
 URL_RULES = (
@@ -39,6 +39,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_report(read_table(spark, sf_dir, "conversations"))
 
@@ -47,14 +51,20 @@ def op9_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.line_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op4_topk_blocks": op4_topk_blocks,
     "op5_url_cascade": op5_url_cascade,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_minmax_dedup": op7_minmax_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_quality_bands": op9_quality_bands,
+    "op10_line_templates": op10_line_templates,
 }
 
 ORACLE: dict[str, str] = {
