@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, line_templates, minmax_dedup, mixing, quality_bands, topk_blocks, toxicity, url_cascade
+from . import (
+    bpe, chat_format, line_templates, minmax_dedup, mixing, pii_bootstrap, quality_bands, topk_blocks, toxicity,
+    url_cascade,
+)
 from .common import read_table
 
 URL_RULES = (
@@ -26,6 +29,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op4_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_blocks.top_scores(read_table(spark, sf_dir, "embeddings"))
 
@@ -58,6 +65,7 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_pii_bootstrap": op3_pii_bootstrap,
     "op4_topk_blocks": op4_topk_blocks,
     "op5_url_cascade": op5_url_cascade,
     "op6_byte_bpe": op6_byte_bpe,
