@@ -50,10 +50,10 @@ class Settings:
     stride: int = 8
     per_class: int = 2500
     max_words: int = 1500
-    prior: float = 0.25
+    prior: float = 0.35
     epochs: int = 60
     rate: float = 0.05
-    decay: float = 1e-6
+    decay: float = 3e-5
     seed: int = 7
     threshold: float = 0.3
 
