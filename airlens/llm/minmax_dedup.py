@@ -9,9 +9,11 @@ hash evaluations give the same signature length, with less variance. Bands of
 
 Documents with one set are one node, named by the smallest id. In each group of nodes with a
 common key all are compared with the smallest, on full sets; nodes that the confirmed links
-join already need no more. Only where a group still falls into several components, its nodes are
-compared across these, so a link that does not touch the smallest is not lost, and large groups
-of copies cost one comparison for each member.
+join already need no more, so large groups of copies cost one comparison for each member. Where a
+group still falls into several components, a link that does not touch the smallest could be missing: all
+nodes of such groups that overlap are joined by their full sets, across components, in blocks of
+about ``CELL_SHINGLES`` shingles. A task takes two blocks, finds common shingles through postings and
+returns links only, never pairs that fail.
 
 Cases: null and empty texts have an empty set and link with nothing; texts with fewer words than
 ``width`` have one shingle; rows that repeat an id are one document (its texts are linked through it); a null id links
@@ -21,16 +23,15 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import WORD, roughly_in, whole, written
+from .common import WORD, ranges, roughly_in, whole, written
 
 PERMUTATIONS = 64
 ROWS = 4
@@ -38,6 +39,7 @@ WIDTH = 4
 PERCENT = 80
 CHUNK = 1 << 14
 CACHED = 300_000
+CELL_SHINGLES = 1 << 19
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TO_LOWER = str.maketrans(UPPER, LOWER)
 _RANDOM = np.random.default_rng(20_240_607)
@@ -134,18 +136,77 @@ def sizes_allow(n_a: Column, n_b: Column, percent: int = PERCENT) -> Column:
     return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
 
 
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, s: the sets of ``nodes`` (distinct); ``docs`` has node, text."""
+    texts = roughly_in(docs, F.col("node"), nodes, F.col("node")).join(nodes, "node", "left_semi")
+    return written(texts.select("node", _sets(F.col("text")).alias("s")), "sets")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The distinct ``pairs`` (a, b) of node ids whose full sets are similar enough; ``docs`` has node, text."""
     pairs = written(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    texts = roughly_in(docs, F.col("node"), nodes, F.col("node")).join(nodes, "node", "left_semi")
-    sets = written(texts.select("node", _sets(F.col("text")).alias("s")), "sets")
+    sets = full_sets(docs, pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct())
     x = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a")
     x = x.join(sets.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
     good = x.where(alike(F.col("s_a"), F.col("s_b"), F.size("s_a"), F.size("s_b")))
     return written(good.select("a", "b").distinct(), "links")
 
 
+def links_in_cell(node: np.ndarray, component: np.ndarray, block: np.ndarray, sets: list[np.ndarray]) -> list[tuple]:
+    """Links between nodes of different components (and blocks, if the cell has two): one for each node and component.
+
+    One end of such a link lies outside the cell's largest component, so only those nodes look for the other.
+    """
+    size = np.array([len(s) for s in sets])
+    shingle, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    held = np.bincount(code, minlength=len(shingle))
+    posting = owner[np.argsort(code, kind="stable")]
+    start = np.cumsum(held) - held
+    first = np.cumsum(size) - size
+    names, members = np.unique(component, return_counts=True)
+    largest, two = names[members.argmax()], block.min() != block.max()
+    out = []
+    for x in np.flatnonzero(component != largest):
+        codes = code[first[x]:first[x] + size[x]]
+        codes = codes[held[codes] > 1]
+        both = np.bincount(posting[ranges(start[codes], held[codes])], minlength=len(sets))
+        good = (100 * both >= PERCENT * (size[x] + size - both)) & (both > 0) & (component != component[x])
+        if two:
+            good &= block != block[x]
+        found = np.flatnonzero(good)
+        for y in found[np.unique(component[found], return_index=True)[1]]:
+            out.append((min(node[x], node[y]), max(node[x], node[y])))
+    return out
+
+
+def links_across(open_: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between components among the nodes of groups (key, node, n, component) that hold several.
+
+    Groups that share nodes form one cluster, so that each node's set is there once for each of the
+    cluster's blocks.
+    """
+    hubs = open_.groupBy("key").agg(F.min("node").alias("a"))
+    cluster = components(open_.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b"))).select(
+        "node", F.col("component").alias("cluster"))
+    nodes = open_.select("node", "n", "component").distinct().join(cluster, "node")
+    parts = nodes.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.sum("n") / CELL_SHINGLES), F.lit(1)).cast("int").alias("parts"))
+    nodes = written(nodes.join(parts, "cluster").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "clusters")
+    placed = nodes.join(full_sets(docs, nodes.select("node").distinct()), "node").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = placed.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                          "node", "component", "block", "s")
+
+    def cell(rows: pd.DataFrame) -> pd.DataFrame:
+        found = links_in_cell(rows["node"].to_numpy(np.int64), rows["component"].to_numpy(np.int64),
+                              rows["block"].to_numpy(np.int64), [np.asarray(s, np.int64) for s in rows["s"]])
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return written(cells.groupBy("cluster", "low", "high").applyInPandas(cell, "a long, b long").distinct(), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (smallest node reachable) for every node of the undirected ``links`` (a, b).
 
@@ -189,17 +250,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = confirmed(starred.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), texts)
     labels = components(links)
 
-    # groups that the links did not join: their nodes across components, but for the pairs just compared
+    # groups that the links did not join; of two nodes, the pair has just been compared
     placed = groups.where("members > 2").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("key")
-    open_ = written(placed.join(split, "key", "left_semi").select("key", "node", "n", "hub", "component"), "open")
-    a, b = open_.alias("a"), open_.alias("b")
-    crossing = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-                      & (F.col("a.node") < F.col("b.node")) & (F.col("a.node") != F.col("a.hub.node"))
-                      & sizes_allow(F.col("a.n"), F.col("b.n")))
-    more = confirmed(crossing.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), texts)
+    open_ = written(placed.join(split, "key", "left_semi").select("key", "node", "n", "component"), "open")
+    more = links_across(open_, texts)
 
     # an id with several texts is one document
     shared = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")

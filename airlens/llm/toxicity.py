@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_PATTERN, groups, whole
+from .common import WORD_PATTERN, groups, ranges, whole
 
 #: Words as the model sees them: letters and digits, lower-cased.
 TOKEN = re.compile(r"[^\W_]+")
@@ -140,11 +140,6 @@ class Model:
         return float(self.scores([text])[0])
 
 
-def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers start, ..., start + size - 1 of each range, one after another."""
-    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-
-
 class _Adam:
     def __init__(self, shape, rate: float):
         self.m, self.v, self.t, self.rate = np.zeros(shape), np.zeros(shape), 0, rate
