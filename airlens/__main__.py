@@ -61,6 +61,7 @@ def main(argv=None) -> int:
 
     q = sub.add_parser("sql")
     q.add_argument("--out", required=True)
+    q.add_argument("--csv", help="write the whole result there instead of printing it")
     q.add_argument("query")
 
     args = p.parse_args(argv)
@@ -94,9 +95,13 @@ def main(argv=None) -> int:
                 if "PATH_NOT_FOUND" not in str(e):
                     raise
         sqlapi.publish(tables)
-        out = sqlapi.run_console(spark, args.query, max_rows=1000)
-        res = {k: out[k] for k in ("ok", "columns", "n_rows", "n_columns", "truncated", "error")}
-        res["rows"] = [list(map(str, r)) for r in out["rows"]]
+        out = sqlapi.run_console(spark, args.query)
+        res = {k: out[k] for k in ("ok", "columns", "n_rows", "n_columns", "error")}
+        if out["ok"] and args.csv:
+            sqlapi.export_result(out["data"], args.csv)
+        elif out["ok"]:   # every row, one partition at a time
+            for row in out["data"].toLocalIterator():
+                print(json.dumps(list(map(str, row))))
     print(json.dumps(res, default=str))
     return 0
 

@@ -52,26 +52,22 @@ def zones_in_departments(stg: DataFrame, departments: Sequence[str]) -> DataFram
     return stg.filter(F.col("code_departement").isin(*departments))
 
 
-def zones_lost(stg: DataFrame, day_from=None, day_to=None) -> DataFrame:
+def zones_lost(stg: DataFrame, day_from=None, day_to=None, today=None) -> DataFrame:
     """Readings of a day whose code has no reading on the later day.
 
     With two days given, the rows of ``day_from`` absent on ``day_to``; with
-    none, every day against the next calendar day, over the whole table (the
-    next day must exist: the last day is not compared with a day never seen).
+    none, every day but the newest against the next calendar day, over the whole table. If
+    the next day has no row at all, all zones of the day are lost.
     A correlated NOT EXISTS, planned as a left anti join on (code, day).
     """
-    s1 = stg
     later = stg.select(F.col("code_insee").alias("_code"), F.col("date_ech").alias("_day")).distinct()
     if day_from is not None:
-        s1 = s1.filter(F.col("date_ech") == F.lit(day_from).cast("date"))
         later = later.filter(F.col("_day") == F.lit(day_to).cast("date"))
-        cond = F.col("code_insee") == F.col("_code")
-        return s1.join(later, cond, "left_anti")
-    # one row per calendar day: broadcast, so staging is not shuffled by day
-    days = stg.select(F.col("date_ech").alias("_d")).distinct()
-    s1 = s1.join(F.broadcast(days), F.date_add(F.col("date_ech"), 1) == F.col("_d"), "left_semi")
+        return stg.filter(F.col("date_ech") == F.lit(day_from).cast("date")).join(
+            later, F.col("code_insee") == F.col("_code"), "left_anti")
+    newest = newest_day(stg) if today is None else today
     cond = (F.col("code_insee") == F.col("_code")) & (F.date_add(F.col("date_ech"), 1) == F.col("_day"))
-    return s1.join(later, cond, "left_anti")
+    return stg.filter(F.col("date_ech") < newest).join(later, cond, "left_anti")
 
 
 def odd_codes(stg: DataFrame, min_length: int = 5, excluded_prefix: str = "2000", n: int = 20) -> DataFrame:
@@ -184,7 +180,8 @@ def dominant_of_day(dep: DataFrame, day=None) -> DataFrame:
 
 
 def headline(national: DataFrame) -> DataFrame:
-    """Figures of the newest national day; percent good is 0 when the day has no rows."""
+    """Figures of the newest of the given national days (give that day's rows alone where it is known);
+    percent good is 0 when the day has no rows."""
     top = national.orderBy(F.col("date_ech").desc_nulls_last()).limit(1)
     n = F.col("nb_communes")
     return top.select(

@@ -1,28 +1,24 @@
-"""Joins against small reference tables, with the broadcast behind a size check."""
+"""Joins against reference tables, with the broadcast behind a check of its bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A reference table is broadcast only up to this many rows (a zone lookup row is
-# three short strings, so this stays well under 100 MB on every executor).
-# Above it the join is a shuffle join, which AQE may still split when skewed.
-BROADCAST_MAX_ROWS = 500_000
+#: A side is broadcast if its estimate, times this allowance for compression, ...
+EXPANSION = 8
+#: ... stays within these bytes. Beyond, the join shuffles, and AQE splits skewed partitions.
+BROADCAST_MAX_BYTES = 128 << 20
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows of ``dim``: a bounded job on a small table."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (of the files read, for a scan); planning only, no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_small(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """``fact.join(dim)`` broadcasting ``dim`` only when its row count is proven small.
-
-    ``bound`` is a cheaper frame with at least as many rows as ``dim`` (for
-    example the inputs of an aggregate), counted instead of ``dim``.
-    """
-    if fits_broadcast(bound if bound is not None else dim, max_rows):
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``fact.join(dim)``, broadcasting ``dim`` if its estimated bytes allow it; the rows are the same either way."""
+    if EXPANSION * estimated_bytes(dim) <= max_bytes:
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

@@ -28,14 +28,13 @@ MEAN_COLUMNS = pollutant_columns("indice_moyen")
 def zone_profile(stg: DataFrame) -> DataFrame:
     """``mart_atmo_commune``: one row per (code, name, département) over the whole period.
 
-    The distinct day count makes Spark aggregate in two levels, (group, day) then
-    group, each with a map-side partial aggregate, so a zone with a large share
-    of the rows never lands unreduced on one task.
+    Staging has one row per (code, name, day), and the département follows from the code,
+    so the rows of a group are its days: a plain count, one partial aggregate and one shuffle.
     """
     agg = stg.groupBy("code_insee", "nom_commune", "code_departement").agg(
         F.min("date_ech").alias("premiere_date"),
         F.max("date_ech").alias("derniere_date"),
-        F.count_distinct("date_ech").alias("nb_jours_mesures"),
+        F.count("date_ech").alias("nb_jours_mesures"),
         *_level_counts("nb_jours_"),
         round_half(F.avg("code_qual"), 2).alias("indice_moyen"),
         *[round_half(F.avg(c), 2).alias(m) for c, m in zip(K.SUB_INDEX_COLUMNS, MEAN_COLUMNS)],

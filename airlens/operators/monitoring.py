@@ -9,20 +9,27 @@ from airlens.functions import constants as K
 from airlens.functions.expr import coverage_status, departments_status, worst_status
 
 
-def _look_back(df: DataFrame):
-    """Newest day and the calendar day before it, as scalar subqueries (one tiny job each)."""
-    today = df.select(F.max("date_ech")).scalar()
+def _look_back(df: DataFrame, today):
+    """The newest day and the calendar day before it.
+
+    ``today`` comes from the caller, who knows it from the partitions of a stored table
+    or from the raw rows; without it the newest day is the maximum over all rows of ``df``.
+    """
+    if today is None:
+        today = df.select(F.max("date_ech")).scalar()
+    elif not isinstance(today, F.Column):
+        today = F.lit(today).cast("date")
     return today, F.date_sub(today, 1)
 
 
-def zone_coverage(stg: DataFrame) -> DataFrame:
+def zone_coverage(stg: DataFrame, today=None) -> DataFrame:
     """``mon_commune_coverage``: rows today, rows yesterday, yesterday's rows whose code is absent today.
 
     One pass over the two days: a per-code aggregate (partial on each task,
     shuffled on the code) and a global sum. "Yesterday" is the newest day minus
     one calendar day; if it has no rows nothing is missing.
     """
-    today, yesterday = _look_back(stg)
+    today, yesterday = _look_back(stg, today)
     day = F.col("date_ech")
     per_code = (stg.filter((day == today) | (day == yesterday))
                 .groupBy("code_insee")
@@ -41,7 +48,7 @@ def zone_coverage(stg: DataFrame) -> DataFrame:
     )
 
 
-def missing_zones(stg: DataFrame) -> DataFrame:
+def missing_zones(stg: DataFrame, today=None) -> DataFrame:
     """Yesterday's rows whose code has no row today, marked MANQUANT.
 
     A left anti join of yesterday's codes against today's distinct codes; both
@@ -49,20 +56,20 @@ def missing_zones(stg: DataFrame) -> DataFrame:
     of yesterday stay duplicated and a null code is always missing, as with a
     left join and a null test.
     """
-    today, yesterday = _look_back(stg)
+    today, yesterday = _look_back(stg, today)
     day = F.col("date_ech")
     y = stg.filter(day == yesterday).select("code_insee")
     t = stg.filter(day == today).select("code_insee").distinct()
     return y.join(t, "code_insee", "left_anti").select("code_insee", F.lit(K.MISSING).alias("statut"))
 
 
-def missing_departments(dep: DataFrame) -> DataFrame:
+def missing_departments(dep: DataFrame, today=None) -> DataFrame:
     """``mon_departement_manquant``: départements present yesterday and absent today.
 
     One row per missing département with the global count and status, or a
     single OK row when none is missing.
     """
-    today, yesterday = _look_back(dep)
+    today, yesterday = _look_back(dep, today)
     day = F.col("date_ech")
     per_dept = (dep.filter((day == today) | (day == yesterday))
                 .groupBy("code_departement")
@@ -74,8 +81,8 @@ def missing_departments(dep: DataFrame) -> DataFrame:
         F.lit(K.MISSING).alias("statut"),
         n_missing.cast("bigint").alias("nb_departements_manquants"),
         departments_status(n_missing).alias("statut_global"))
-    summary = (dep.agg(F.max("date_ech").alias("date_check"))
-               .select("date_check", F.date_sub("date_check", 1).alias("date_reference"),
+    summary = (per_dept.agg(F.count(F.lit(1)))   # one row, also without any département
+               .select(today.alias("date_check"), yesterday.alias("date_reference"),
                        F.lit(None).cast("string").alias("code_departement"),
                        F.lit(K.STATUS_OK).alias("statut"),
                        F.lit(0).cast("bigint").alias("nb_departements_manquants"),
@@ -109,21 +116,20 @@ class MonitoringAlert(RuntimeError):
     """Raised by :func:`gate` when a monitor is CRITICAL."""
 
 
-def gate(coverage: DataFrame, departments: DataFrame) -> list[str]:
-    """Stop the run when either monitor is CRITICAL; WARN passes.
+def gate_alerts(coverage: DataFrame, departments: DataFrame) -> DataFrame:
+    """One row for each CRITICAL monitor: its name, status, what is missing, and of how many (null: not known)."""
+    def of(monitor: DataFrame, name: str, status: str, missing: str, of_rows: F.Column) -> DataFrame:
+        return (monitor.groupBy(F.lit(name).alias("moniteur"), F.col(status).alias("statut"))
+                .agg(F.max(missing).cast("bigint").alias("nb_manquants"), F.max(of_rows).cast("bigint").alias("nb_reference"))
+                .where(F.col("statut") == K.STATUS_CRITICAL))
 
-    Brings back at most two one-row results; returns the alert-free message list.
-    """
-    alerts = []
-    cov = coverage.select("statut", "nb_communes_manquantes", "nb_communes_hier").take(1)
-    if cov and cov[0]["statut"] == K.STATUS_CRITICAL:
-        alerts.append(f"zone coverage CRITICAL: {int(cov[0]['nb_communes_manquantes'])} missing "
-                      f"against yesterday ({int(cov[0]['nb_communes_hier'])})")
-    dep = (departments.filter(F.col("statut_global") != K.STATUS_OK)
-           .select("statut_global", "nb_departements_manquants").take(1))
-    if dep and dep[0]["statut_global"] == K.STATUS_CRITICAL:
-        alerts.append(f"missing départements CRITICAL: {int(dep[0]['nb_departements_manquants'])} "
-                      "absent against yesterday")
+    return of(coverage, "zone coverage", "statut", "nb_communes_manquantes", F.col("nb_communes_hier")).unionByName(
+        of(departments, "missing départements", "statut_global", "nb_departements_manquants", F.lit(None)))
+
+
+def gate(coverage: DataFrame, departments: DataFrame) -> list:
+    """Stop the run if a monitor alerts; without alerts an empty list. WARN passes."""
+    alerts = gate_alerts(coverage, departments).collect()   # at most one row per monitor
     if alerts:
-        raise MonitoringAlert("air quality monitoring:\n" + "\n".join(alerts))
+        raise MonitoringAlert("; ".join(f"{a.moniteur} {a.statut}: {a.nb_manquants} missing" for a in alerts))
     return alerts

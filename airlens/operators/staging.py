@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
 from airlens.functions.expr import argmax_names, round_float, to_small_int, valid_pair
-from airlens.operators.joins import BROADCAST_MAX_ROWS, join_small
+from airlens.operators.joins import BROADCAST_MAX_BYTES, join_small
 
 
 def commune_dimension(communes: DataFrame) -> DataFrame:
@@ -79,6 +79,16 @@ def clean_readings(raw: DataFrame) -> DataFrame:
     return raw.filter(cond)
 
 
+def newest_day(raw: DataFrame) -> F.Column:
+    """The newest day of staging, from the raw rows: the dedupe never removes a day."""
+    return clean_readings(raw).select(F.max(F.col("date_ech").cast("date"))).scalar()
+
+
+def days(raw: DataFrame) -> DataFrame:
+    """The days of staging (one row each), from the raw rows."""
+    return clean_readings(raw).select(F.col("date_ech").cast("date").alias("date_ech")).distinct()
+
+
 def dedupe_worst(df: DataFrame, keys=("code_insee", "nom_commune", "date_ech"), order=None) -> DataFrame:
     """Keep the worst reading of each (code, name, day).
 
@@ -92,13 +102,12 @@ def dedupe_worst(df: DataFrame, keys=("code_insee", "nom_commune", "date_ech"),
 
 def air_staging(raw: DataFrame, communes: DataFrame, epci: DataFrame,
                 overrides: Mapping[str, str] = K.ZONE_OVERRIDES,
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``stg_atmo_daily``: typed readings, département resolved, worst reading per (code, name, day)."""
     types = {f.name: f.dataType for f in raw.schema.fields}
     lookup = zone_lookup(communes, epci)
     joined = join_small(clean_readings(raw).withColumn("code_zone", F.col("code_zone").cast("string")),
-                        lookup, "code_zone", "left", broadcast_max_rows,
-                        bound=_zone_rows(communes, epci))
+                        lookup, "code_zone", "left", broadcast_max_bytes)
     code = F.col("code_zone")
     x = F.col("x_wgs84").cast("float")
     y = F.col("y_wgs84").cast("float")

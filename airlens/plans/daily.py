@@ -14,6 +14,8 @@ from airlens.functions import constants as K
 from airlens.plans.rebuild import rebuild_weather, run_all, run_day
 from airlens.sources import ingest
 from airlens.sources.payload import flatten_series
+from airlens.sources.schemas import RAW_WEATHER
+from airlens.sources.store import partition_days
 
 
 def daily_air_run(spark: SparkSession, csv_path: str, day: str, air_root: str, communes: DataFrame,
@@ -27,7 +29,7 @@ def daily_air_run(spark: SparkSession, csv_path: str, day: str, air_root: str, c
     rebuilds only what the new day changes (:func:`~airlens.plans.rebuild.run_day`).
     """
     result = ingest.ingest_day(spark, csv_path, air_root, day, expected_columns)
-    has_weather = weather_root is not None and ingest.stored_days(spark, weather_root).take(1)
+    has_weather = weather_root is not None and partition_days(spark, weather_root)
     weather = weather_root if has_weather else None
     if incremental:
         tables = run_day(spark, day, air_root, weather, communes, epci, out_root, overrides, gate=True)
@@ -41,15 +43,15 @@ def daily_weather_run(spark: SparkSession, payload: DataFrame, locations: DataFr
     """Store the day's weather rows (skipped when the day is stored), keep a JSON copy of
     the records, then replace that day in weather staging and in its join with the
     stored daily mart."""
-    if ingest.stored_days(spark, weather_root).filter(F.col("date_ech") == day).take(1):
+    if day in partition_days(spark, weather_root):
         return {"day": day, "status": "skipped"}
-    rows = ingest.keep_day(flatten_series(payload, locations), day)
+    saved = ingest.store_day(ingest.keep_day(flatten_series(payload, locations), day), weather_root, day)
     if json_root is not None:
-        ingest.write_json(rows, f"{json_root.rstrip('/')}/date_ech={day}")
-    ingest.write_days(rows, weather_root)
-    if ingest.stored_days(spark, f"{out_root.rstrip('/')}/mart_atmo_daily_departement").take(1):
+        stored = ingest.read_store(spark, weather_root, RAW_WEATHER).filter(F.col("date_ech") == day)
+        ingest.write_json(stored, json_root, by_day=True)
+    if partition_days(spark, f"{out_root.rstrip('/')}/mart_atmo_daily_departement"):
         rebuild_weather(spark, weather_root, out_root, day)
-    return {"day": day, "status": "saved"}
+    return {"day": day, "status": saved["status"]}
 
 
 def backfill_weather(spark: SparkSession, payload: DataFrame, locations: DataFrame, weather_root: str,

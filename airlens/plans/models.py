@@ -26,44 +26,26 @@ class Models:
     raw_weather: DataFrame
     overrides: Mapping[str, str] = field(default_factory=lambda: dict(K.ZONE_OVERRIDES))
     stored: bool = False
-    _stored_twin: "Models | None" = field(default=None, repr=False, compare=False)
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        """Models over the driver's tables in ``sf_dir``.
+    def from_tables(cls, spark: SparkSession, sf_dir: str, stored: bool = False) -> "Models":
+        """New models over the driver's tables in ``sf_dir``; nothing is shared between calls.
 
-        The lazy plans are built once per (session, folder) and shared by the
-        queries: building them is driver-side work (hundreds of expression
-        objects and one size check) that does not depend on the data. Nothing
-        is cached: every query still runs its whole plan from the tables.
+        ``stored``: staging and the daily département mart are written once, for a query that reads
+        them several times, and then read from there.
         """
-        key = (id(spark), sf_dir.rstrip("/"))
-        hit = _BUILT.get(key)
-        if hit is not None and hit[0] is spark:
-            return hit[1]
         i = fixtures.Inputs.load(spark, sf_dir)
-        m = cls(i.raw_air, i.communes, i.epci, i.raw_weather, dict(fixtures.FIXTURE_ZONE_OVERRIDES))
-        _BUILT[key] = (spark, m)
-        return m
+        return cls(i.raw_air, i.communes, i.epci, i.raw_weather, dict(fixtures.FIXTURE_ZONE_OVERRIDES), stored)
 
-    def materialized(self) -> "Models":
-        if self.stored:
-            return self
-        if self._stored_twin is None:
-            self._stored_twin = self._materialized()
-        return self._stored_twin
-
-    def _materialized(self) -> "Models":
-        """Same models over staging written once as a table partitioned by day.
-
-        Every mart and analysis then reads the stored staging instead of
-        re-deriving and re-deduplicating the raw rows. The daily département
-        mart is also stored for the consumers that read it several times
-        (monitors: a scalar subquery on the newest day, then the rows of two
-        days), so the newest day is cheap to find and the two-day filter
-        prunes partitions.
-        """
-        return Models(self.raw_air, self.communes, self.epci, self.raw_weather, self.overrides, stored=True)
+    @cached_property
+    def today(self):
+        """The newest day, from the raw rows."""
+        return staging.newest_day(self.raw_air)
+
+    @property
+    def stg_today(self) -> DataFrame:
+        """Staging of the newest day alone: the filter reaches the raw rows."""
+        return self.stg_atmo_daily.filter(F.col("date_ech") == self.today)
 
     @cached_property
     def stg_atmo_daily(self) -> DataFrame:
@@ -82,12 +64,7 @@ class Models:
 
     @cached_property
     def mart_atmo_daily_departement(self) -> DataFrame:
-        return marts.daily_department(self.stg_atmo_daily)
-
-    @cached_property
-    def daily_departement_table(self) -> DataFrame:
-        """The daily département mart, stored (partitioned by day) in the stored models."""
-        dep = self.mart_atmo_daily_departement
+        dep = marts.daily_department(self.stg_atmo_daily)
         return materialize(dep, "mart_atmo_daily_departement", ["date_ech"]) if self.stored else dep
 
     @cached_property
@@ -100,19 +77,17 @@ class Models:
 
     @cached_property
     def mon_commune_coverage(self) -> DataFrame:
-        return monitoring.zone_coverage(self.stg_atmo_daily)
+        return monitoring.zone_coverage(self.stg_atmo_daily, self.today)
 
     @cached_property
     def mon_departement_manquant(self) -> DataFrame:
-        return monitoring.missing_departments(self.daily_departement_table)
+        return monitoring.missing_departments(self.mart_atmo_daily_departement, self.today)
 
     def tables(self) -> dict[str, DataFrame]:
         """Published tables by name, in dependency order."""
         return {name: getattr(self, name) for name in PUBLISHED}
 
 
-_BUILT: dict = {}
-
 PUBLISHED = ("stg_atmo_daily", "stg_meteo_daily", "mart_atmo_commune", "mart_atmo_daily_national",
              "mart_atmo_daily_departement", "mart_atmo_meteo_daily_departement",
              "mon_commune_coverage", "mon_departement_manquant")

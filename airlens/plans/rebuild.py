@@ -20,7 +20,7 @@ from airlens.operators import marts, monitoring, quality, staging
 from airlens.plans.sqlapi import publish
 from airlens.sources.ingest import read_store
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
-from airlens.sources.store import read_table, write_table
+from airlens.sources.store import partition_days, read_table, replace_day, write_table
 
 # tables written partitioned by day
 BY_DAY = ("stg_atmo_daily", "stg_meteo_daily", "mart_atmo_daily_departement", "mart_atmo_daily_national",
@@ -31,16 +31,37 @@ def _path(out_root: str, name: str) -> str:
     return f"{out_root.rstrip('/')}/{name}"
 
 
-def _save(df: DataFrame, out_root: str, name: str, day_only: bool = False) -> DataFrame:
-    """Write a table (whole, or only the days present with ``day_only``) and read it back whole."""
+def _save(df: DataFrame, out_root: str, name: str, day: str | None = None) -> DataFrame:
+    """Write a table whole, or make ``df`` the whole partition of ``day`` (no rows: the day goes); read it back."""
     path = _path(out_root, name)
-    if name in BY_DAY:
-        write_table(df, path, ["date_ech"], replace_partitions=day_only)
-    else:
-        write_table(df, path)
+    if day is not None:
+        return replace_day(df, path, day)
+    write_table(df, path, ["date_ech"] if name in BY_DAY else ())
     return read_table(df.sparkSession, path, df)
 
 
+def _newest(spark: SparkSession, out_root: str, name: str):
+    """The newest stored day of a table, from its partitions; null if it has none."""
+    days = partition_days(spark, _path(out_root, name))
+    return F.lit(days[-1] if days else None).cast("date")
+
+
+def _finish(t: dict[str, DataFrame], spark: SparkSession, out_root: str, gate: bool) -> dict[str, DataFrame]:
+    """Monitors and quality report over the stored tables, views, then the gate."""
+    t["mon_commune_coverage"] = _save(
+        monitoring.zone_coverage(t["stg_atmo_daily"], _newest(spark, out_root, "stg_atmo_daily")),
+        out_root, "mon_commune_coverage")
+    t["mon_departement_manquant"] = _save(
+        monitoring.missing_departments(t["mart_atmo_daily_departement"],
+                                       _newest(spark, out_root, "mart_atmo_daily_departement")),
+        out_root, "mon_departement_manquant")
+    t["quality_report"] = _save(quality.quality_report(dict(t)), out_root, "quality_report")
+    publish(t)
+    if gate:
+        monitoring.gate(t["mon_commune_coverage"], t["mon_departement_manquant"])
+    return t
+
+
 def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFrame | str | None,
             communes: DataFrame, epci: DataFrame, out_root: str,
             overrides: Mapping[str, str] = K.ZONE_OVERRIDES, gate: bool = True) -> dict[str, DataFrame]:
@@ -65,14 +86,7 @@ def run_all(spark: SparkSession, raw_air: DataFrame | str, raw_weather: DataFram
         t["mart_atmo_meteo_daily_departement"] = _save(
             marts.daily_with_weather(t["mart_atmo_daily_departement"], t["stg_meteo_daily"]),
             out_root, "mart_atmo_meteo_daily_departement")
-    t["mon_commune_coverage"] = _save(monitoring.zone_coverage(stg), out_root, "mon_commune_coverage")
-    t["mon_departement_manquant"] = _save(monitoring.missing_departments(t["mart_atmo_daily_departement"]),
-                                          out_root, "mon_departement_manquant")
-    t["quality_report"] = _save(quality.quality_report(dict(t)), out_root, "quality_report")
-    publish(t)
-    if gate:
-        monitoring.gate(t["mon_commune_coverage"], t["mon_departement_manquant"])
-    return t
+    return _finish(t, spark, out_root, gate)
 
 
 def run_day(spark: SparkSession, day: str, raw_air: str, raw_weather: str | None,
@@ -91,30 +105,23 @@ def run_day(spark: SparkSession, day: str, raw_air: str, raw_weather: str | None
     air = read_store(spark, raw_air, RAW_AIR).filter(F.col("date_ech") == day)
     t: dict[str, DataFrame] = {}
     stg_day = staging.air_staging(air, communes, epci, overrides)
-    t["stg_atmo_daily"] = _save(stg_day, out_root, "stg_atmo_daily", day_only=True)
+    t["stg_atmo_daily"] = _save(stg_day, out_root, "stg_atmo_daily", day=day)
     stg = t["stg_atmo_daily"]
     today = stg.filter(F.col("date_ech") == d)
     if raw_weather is not None:
         weather = read_store(spark, raw_weather, RAW_WEATHER).filter(F.col("date_ech") == day)
-        t["stg_meteo_daily"] = _save(staging.weather_staging(weather), out_root, "stg_meteo_daily", day_only=True)
+        t["stg_meteo_daily"] = _save(staging.weather_staging(weather), out_root, "stg_meteo_daily", day=day)
     t["mart_atmo_commune"] = _save(marts.zone_profile(stg), out_root, "mart_atmo_commune")
     t["mart_atmo_daily_national"] = _save(marts.daily_national(today), out_root, "mart_atmo_daily_national",
-                                          day_only=True)
+                                          day=day)
     t["mart_atmo_daily_departement"] = _save(marts.daily_department(today), out_root,
-                                             "mart_atmo_daily_departement", day_only=True)
+                                             "mart_atmo_daily_departement", day=day)
     if "stg_meteo_daily" in t:
         dep_day = t["mart_atmo_daily_departement"].filter(F.col("date_ech") == d)
         w_day = t["stg_meteo_daily"].filter(F.col("date_ech") == d)
         t["mart_atmo_meteo_daily_departement"] = _save(marts.daily_with_weather(dep_day, w_day), out_root,
-                                                       "mart_atmo_meteo_daily_departement", day_only=True)
-    t["mon_commune_coverage"] = _save(monitoring.zone_coverage(stg), out_root, "mon_commune_coverage")
-    t["mon_departement_manquant"] = _save(monitoring.missing_departments(t["mart_atmo_daily_departement"]),
-                                          out_root, "mon_departement_manquant")
-    t["quality_report"] = _save(quality.quality_report(dict(t)), out_root, "quality_report")
-    publish(t)
-    if gate:
-        monitoring.gate(t["mon_commune_coverage"], t["mon_departement_manquant"])
-    return t
+                                                       "mart_atmo_meteo_daily_departement", day=day)
+    return _finish(t, spark, out_root, gate)
 
 
 def rebuild_weather(spark: SparkSession, raw_weather: DataFrame | str, out_root: str,
@@ -129,9 +136,8 @@ def rebuild_weather(spark: SparkSession, raw_weather: DataFrame | str, out_root:
     if day is not None:
         weather = weather.filter(F.col("date_ech").cast("string") == day)
         dep = dep.filter(F.col("date_ech") == F.lit(day).cast("date"))
-    one_day = day is not None
-    t = {"stg_meteo_daily": _save(staging.weather_staging(weather), out_root, "stg_meteo_daily", one_day)}
-    w = t["stg_meteo_daily"].filter(F.col("date_ech") == F.lit(day).cast("date")) if one_day else t["stg_meteo_daily"]
+    t = {"stg_meteo_daily": _save(staging.weather_staging(weather), out_root, "stg_meteo_daily", day)}
+    w = t["stg_meteo_daily"].filter(F.col("date_ech") == F.lit(day).cast("date")) if day is not None else t["stg_meteo_daily"]
     t["mart_atmo_meteo_daily_departement"] = _save(marts.daily_with_weather(dep, w), out_root,
-                                                   "mart_atmo_meteo_daily_departement", one_day)
+                                                   "mart_atmo_meteo_daily_departement", day)
     return t

@@ -1,8 +1,8 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, and their DuckDB oracle.
 
 Every query starts from the driver's tables (through the adapters of
-``airlens.sources.fixtures``), runs over all their rows and returns a lazy
-DataFrame. Arrays of names are returned joined with '|'.
+``airlens.sources.fixtures``) and runs over all their rows; those that read staging several
+times, and the ingest queries, write tables first. Arrays of names are returned joined with '|'.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 
 from airlens.functions import constants as K
 from airlens.operators import analysis as A
-from airlens.operators import monitoring, quality
+from airlens.operators import marts, monitoring, quality, staging
 from airlens.plans import oracle as O
 from airlens.plans import rebuild, sqlapi
 from airlens.plans.models import Models, flat
 from airlens.session import fresh_path
 from airlens.sources import fixtures, ingest, payload
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
+from airlens.sources.store import partition_days
 from airlens.streaming.file_ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,29 +34,28 @@ ODD_CODE_EXCLUDED_PREFIX = "10"
 SEARCH_TERM = "zone 1"
 DEPARTMENT_LIST = ("20",)
 ZONE_TYPE = "EPCI"
+HISTORY_CODE = "7"
+LOST_BETWEEN = ("2024-01-02", "2024-01-03")
 
 
-def _on(fn: Callable[[Models], DataFrame], stored: bool = True) -> Query:
-    """A query over the models of ``sf_dir``.
+def _on(fn: Callable[[Models], DataFrame], stored: bool = False) -> Query:
+    """A query over new models of ``sf_dir``: each call derives what it needs from the tables.
 
-    ``stored``: the models read staging from the table written once per data
-    set (as the rebuild does); otherwise staging is derived from the raw rows
-    inside the query.
+    ``stored``: for queries that read staging several times, which then write it first.
     """
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = Models.from_tables(spark, sf_dir)
-        return flat(fn(m.materialized() if stored else m))
+        return flat(fn(Models.from_tables(spark, sf_dir, stored)))
     return run
 
 
-def _model(name: str, stored: bool = True) -> Query:
-    return _on(lambda m: getattr(m, name), stored)
+def _model(name: str) -> Query:
+    return _on(lambda m: getattr(m, name))
 
 
 QUERIES: dict[str, Query] = {
     # models
-    "air_staging": _model("stg_atmo_daily", stored=False),
-    "weather_staging": _model("stg_meteo_daily", stored=False),
+    "air_staging": _model("stg_atmo_daily"),
+    "weather_staging": _model("stg_meteo_daily"),
     "zone_profile": _model("mart_atmo_commune"),
     "daily_department": _model("mart_atmo_daily_departement"),
     "daily_national": _model("mart_atmo_daily_national"),
@@ -63,14 +63,17 @@ QUERIES: dict[str, Query] = {
     # monitoring and quality
     "zone_coverage": _model("mon_commune_coverage"),
     "missing_departments": _model("mon_departement_manquant"),
-    "missing_zones": _on(lambda m: monitoring.missing_zones(m.stg_atmo_daily)),
+    "missing_zones": _on(lambda m: monitoring.missing_zones(m.stg_atmo_daily, m.today)),
     "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)),
     "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant)),
-    "quality_report": _on(lambda m: quality.quality_report(m.tables())),
+    "gate_alerts": _on(lambda m: monitoring.gate_alerts(m.mon_commune_coverage, m.mon_departement_manquant)),
+    "quality_report": _on(lambda m: quality.quality_report(m.tables()), stored=True),
     # anomalies
     "duplicate_zone_codes": _on(lambda m: A.duplicate_zone_codes(m.mart_atmo_commune)),
     "unnamed_zones": _on(lambda m: A.unnamed_zones(m.stg_atmo_daily)),
-    "zones_lost": _on(lambda m: A.zones_lost(m.stg_atmo_daily)),
+    "zones_lost": _on(lambda m: A.zones_lost(m.stg_atmo_daily, today=m.today), stored=True),
+    "zones_lost_between": _on(lambda m: A.zones_lost(m.stg_atmo_daily, *LOST_BETWEEN), stored=True),
+    "zone_history": _on(lambda m: A.zone_history(m.stg_atmo_daily, HISTORY_CODE)),
     "odd_codes": _on(lambda m: A.odd_codes(m.stg_atmo_daily, ODD_CODE_MIN_LENGTH, ODD_CODE_EXCLUDED_PREFIX)),
     "zones_of_type": _on(lambda m: A.zones_of_type(m.stg_atmo_daily, ZONE_TYPE)),
     "zones_in_departments": _on(lambda m: A.zones_in_departments(m.stg_atmo_daily, DEPARTMENT_LIST)),
@@ -84,11 +87,11 @@ QUERIES: dict[str, Query] = {
     "search_zones": _on(lambda m: A.search_zones(m.mart_atmo_commune, SEARCH_TERM)),
     "national_selection": _on(lambda m: A.national_selection(m.mart_atmo_daily_national)),
     "department_selection": _on(lambda m: A.department_selection(m.mart_atmo_daily_departement)),
-    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(m.daily_departement_table)),
-    "mean_of_day": _on(lambda m: A.mean_of_day(m.daily_departement_table)),
-    "dominant_of_day": _on(lambda m: A.dominant_of_day(m.daily_departement_table)),
-    "headline": _on(lambda m: A.headline(m.mart_atmo_daily_national)),
-    "available_days": _on(lambda m: A.available_days(m.mart_atmo_daily_departement)),
+    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(marts.daily_department(m.stg_today), m.today)),
+    "mean_of_day": _on(lambda m: A.mean_of_day(marts.daily_department(m.stg_today), m.today)),
+    "dominant_of_day": _on(lambda m: A.dominant_of_day(marts.daily_department(m.stg_today), m.today)),
+    "headline": _on(lambda m: A.headline(marts.daily_national(m.stg_today))),
+    "available_days": _on(lambda m: A.available_days(staging.days(m.raw_air))),
     # weather
     "weather_code_profile": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement)),
     "pm10_by_weather_code": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement, "PM10")),
@@ -150,6 +153,19 @@ def _band_asc(col, bands, other):
     return "CASE " + " ".join(f"WHEN {col} < {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
 
 
+_WEATHER_MEANS = {"temp_max_moy": "temperature_max", "temp_min_moy": "temperature_min", "vent_moy": "wind_speed_max",
+                  "precipitation_moy": "precipitation_sum"}
+
+
+def _weather_by(key: str, *means: str, index: bool = True, only: str | None = None, extra: str | None = None) -> str:
+    """Rows and rounded means of the weather join for each value of ``key``."""
+    picked = [key, "count(*) AS nb_observations"]
+    picked += ["round(avg(indice_moyen), 2) AS indice_moyen"] if index else []
+    picked += [f"round(avg({_WEATHER_MEANS[m]}), 1) AS {m}" for m in means] + ([extra] if extra else [])
+    where = f" WHERE list_contains(polluants_dominants_departement, '{only}')" if only else ""
+    return O.with_models(f"SELECT {', '.join(picked)} FROM {_MD}{where} GROUP BY ALL")
+
+
 ORACLE: dict[str, str] = {
     "air_staging": _select_all("stg_atmo_daily"),
     "weather_staging": _select_all("stg_meteo_daily"),
@@ -183,9 +199,164 @@ WHERE nom_commune IS NULL OR nom_commune = '' GROUP BY code_insee, nom_commune""
     "zones_lost": O.with_models("""
 SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
 FROM stg_atmo_daily s1
-WHERE EXISTS (SELECT 1 FROM stg_atmo_daily s3 WHERE s3.date_ech = s1.date_ech + 1)
+WHERE s1.date_ech < (SELECT max(date_ech) FROM stg_atmo_daily)
   AND NOT EXISTS (SELECT 1 FROM stg_atmo_daily s2
                   WHERE s2.date_ech = s1.date_ech + 1 AND s2.code_insee = s1.code_insee)"""),
+    "zones_lost_between": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
+WHERE date_ech = DATE '{LOST_BETWEEN[0]}' AND (code_insee IS NULL OR code_insee NOT IN (
+  SELECT code_insee FROM stg_atmo_daily WHERE date_ech = DATE '{LOST_BETWEEN[1]}' AND code_insee IS NOT NULL))"""),
+    "zone_history": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
+WHERE code_insee = '{HISTORY_CODE}'"""),
+    "gate_alerts": O.with_models("""
+SELECT 'zone coverage' AS moniteur, statut, nb_communes_manquantes::bigint AS nb_manquants,
+       nb_communes_hier::bigint AS nb_reference
+FROM mon_commune_coverage WHERE statut = 'CRITICAL'
+UNION ALL
+SELECT DISTINCT 'missing départements', statut_global, nb_departements_manquants::bigint, NULL::bigint
+FROM mon_departement_manquant WHERE statut_global = 'CRITICAL'"""),
+    "odd_codes": O.with_models(f"""
+SELECT DISTINCT code_insee, nom_commune, left(cast(code_insee AS varchar), 2) AS debut
+FROM stg_atmo_daily
+WHERE length(cast(code_insee AS varchar)) > {ODD_CODE_MIN_LENGTH}
+  AND left(cast(code_insee AS varchar), {len(ODD_CODE_EXCLUDED_PREFIX)}) != '{ODD_CODE_EXCLUDED_PREFIX}'
+ORDER BY code_insee, nom_commune NULLS LAST
+LIMIT 20"""),
+    "zones_of_type": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily WHERE type_zone = '{ZONE_TYPE}'"""),
+    "zones_in_departments": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily WHERE code_departement IN ({_sql_values(DEPARTMENT_LIST)})"""),
+    "index_ranges": O.with_models(f"""
+SELECT {', '.join(f"{fn}({c}) AS {fn}_{c.removeprefix('code_')}" for c in K.SUB_INDEX_COLUMNS for fn in ('min', 'max'))}
+FROM stg_atmo_daily"""),
+    "department_centroids": _on(lambda m: A.department_centroids(m.stg_atmo_daily)),
+    # rankings and selections
+    "zone_selection": _on(lambda m: A.profile_selection(m.mart_atmo_commune)),
+    "best_zones": _on(lambda m: A.best_zones(m.mart_atmo_commune)),
+    "best_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=False)),
+    "worst_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=True)),
+    "search_zones": _on(lambda m: A.search_zones(m.mart_atmo_commune, SEARCH_TERM)),
+    "national_selection": _on(lambda m: A.national_selection(m.mart_atmo_daily_national)),
+    "department_selection": _on(lambda m: A.department_selection(m.mart_atmo_daily_departement)),
+    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(marts.daily_department(m.stg_today), m.today)),
+    "mean_of_day": _on(lambda m: A.mean_of_day(marts.daily_department(m.stg_today), m.today)),
+    "dominant_of_day": _on(lambda m: A.dominant_of_day(marts.daily_department(m.stg_today), m.today)),
+    "headline": _on(lambda m: A.headline(marts.daily_national(m.stg_today))),
+    "available_days": _on(lambda m: A.available_days(staging.days(m.raw_air))),
+    # weather
+    "weather_code_profile": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement)),
+    "pm10_by_weather_code": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement, "PM10")),
+    "index_band_weather": _on(lambda m: A.index_band_weather(m.mart_atmo_meteo_daily_departement)),
+    "wind_band_index": _on(lambda m: A.wind_band_index(m.mart_atmo_meteo_daily_departement)),
+    "temperature_band_o3": _on(lambda m: A.temperature_band_o3(m.mart_atmo_meteo_daily_departement)),
+    "temperature_vs_index": _on(lambda m: A.temperature_vs_index(m.mart_atmo_meteo_daily_departement)),
+}
+
+
+# --- oracle ------------------------------------------------------------------------------
+
+_ARRAYS = {
+    "stg_atmo_daily": ["polluants_declencheurs"],
+    "mart_atmo_commune": ["polluants_dominants"],
+    "mart_atmo_daily_departement": ["polluants_dominants_departement"],
+    "mart_atmo_daily_national": ["polluants_dominants_national"],
+    "mart_atmo_meteo_daily_departement": ["polluants_dominants_departement"],
+}
+
+
+def _select_all(table: str) -> str:
+    arrays = ", ".join(f"{O.arr(c)} AS {c}" for c in _ARRAYS.get(table, []))
+    return O.with_models(f"SELECT * REPLACE ({arrays}) FROM {table}" if arrays else f"SELECT * FROM {table}")
+
+
+def _sql_values(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def _quality_sql() -> str:
+    parts = []
+    for r in quality.RULES:
+        head = f"SELECT '{r.model}' AS model, '{r.column}' AS column_name, '{r.test}' AS test, '{r.severity}' AS severity"
+        if r.test == "not_null":
+            parts.append(f"{head}, count(*) FILTER (WHERE {r.column} IS NULL) AS failures FROM {r.model}")
+        elif r.test == "accepted_values":
+            parts.append(f"{head}, count(DISTINCT CASE WHEN {r.column} NOT IN ({_sql_values(r.values)}) "
+                         f"THEN {r.column} END) AS failures FROM {r.model}")
+        else:
+            parts.append(f"{head}, count(*) AS failures FROM (SELECT {r.column} FROM {r.model} "
+                         f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} HAVING count(*) > 1)")
+    union = "\nUNION ALL\n".join(parts)
+    return O.with_models(f"""
+SELECT model, column_name, test, severity, cast(failures AS bigint) AS failures,
+  CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM ({union}) q""")
+
+
+_MD = "mart_atmo_meteo_daily_departement"
+_DEP_NEWEST = "(SELECT max(date_ech) FROM mart_atmo_daily_departement)"
+
+
+def _band_desc(col, bands, other):
+    return "CASE " + " ".join(f"WHEN {col} >= {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
+
+
+def _band_asc(col, bands, other):
+    return "CASE " + " ".join(f"WHEN {col} < {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
+
+
+ORACLE: dict[str, str] = {
+    "air_staging": _select_all("stg_atmo_daily"),
+    "weather_staging": _select_all("stg_meteo_daily"),
+    "zone_profile": _select_all("mart_atmo_commune"),
+    "daily_department": _select_all("mart_atmo_daily_departement"),
+    "daily_national": _select_all("mart_atmo_daily_national"),
+    "daily_with_weather": _select_all(_MD),
+    "zone_coverage": _select_all("mon_commune_coverage"),
+    "missing_departments": _select_all("mon_departement_manquant"),
+    "missing_zones": O.with_models("SELECT code_insee, 'MANQUANT' AS statut FROM cov_missing"),
+    "global_status": O.with_models("""
+SELECT c.date_check, c.statut AS statut_couverture, d.statut_departements,
+  CASE WHEN c.statut = 'CRITICAL' OR d.statut_departements = 'CRITICAL' THEN 'CRITICAL'
+       WHEN c.statut = 'WARN' OR d.statut_departements = 'WARN' THEN 'WARN' ELSE 'OK' END AS statut_global,
+  c.nb_communes_aujourd_hui, c.nb_communes_hier, c.nb_communes_manquantes,
+  coalesce(d.nb_dep, 0)::bigint AS nb_departements_manquants
+FROM mon_commune_coverage c,
+     (SELECT max(statut_global) AS statut_departements, max(nb_departements_manquants) AS nb_dep
+      FROM mon_departement_manquant) d"""),
+    "missing_department_table": O.with_models("""
+SELECT strftime(date_check, '%Y-%m-%d') AS date_check, code_departement, statut, statut_global
+FROM mon_departement_manquant WHERE code_departement IS NOT NULL"""),
+    "quality_report": _quality_sql(),
+    "duplicate_zone_codes": O.with_models("""
+SELECT * REPLACE (array_to_string(polluants_dominants, '|') AS polluants_dominants)
+FROM mart_atmo_commune
+WHERE code_insee IN (SELECT code_insee FROM mart_atmo_commune GROUP BY code_insee HAVING count(*) > 1)"""),
+    "unnamed_zones": O.with_models("""
+SELECT code_insee, nom_commune, count(*) AS nb_lignes FROM stg_atmo_daily
+WHERE nom_commune IS NULL OR nom_commune = '' GROUP BY code_insee, nom_commune"""),
+    "zones_lost": O.with_models("""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
+FROM stg_atmo_daily s1
+WHERE s1.date_ech < (SELECT max(date_ech) FROM stg_atmo_daily)
+  AND NOT EXISTS (SELECT 1 FROM stg_atmo_daily s2
+                  WHERE s2.date_ech = s1.date_ech + 1 AND s2.code_insee = s1.code_insee)"""),
+    "zones_lost_between": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
+WHERE date_ech = DATE '{LOST_BETWEEN[0]}' AND (code_insee IS NULL OR code_insee NOT IN (
+  SELECT code_insee FROM stg_atmo_daily WHERE date_ech = DATE '{LOST_BETWEEN[1]}' AND code_insee IS NOT NULL))"""),
+    "zone_history": O.with_models(f"""
+SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
+WHERE code_insee = '{HISTORY_CODE}'"""),
+    "gate_alerts": O.with_models("""
+SELECT 'zone coverage' AS moniteur, statut, nb_communes_manquantes::bigint AS nb_manquants,
+       nb_communes_hier::bigint AS nb_reference
+FROM mon_commune_coverage WHERE statut = 'CRITICAL'
+UNION ALL
+SELECT DISTINCT 'missing départements', statut_global, nb_departements_manquants::bigint, NULL::bigint
+FROM mon_departement_manquant WHERE statut_global = 'CRITICAL'"""),
     "odd_codes": O.with_models(f"""
 SELECT DISTINCT code_insee, nom_commune, left(cast(code_insee AS varchar), 2) AS debut
 FROM stg_atmo_daily
@@ -264,34 +435,19 @@ FROM mart_atmo_daily_national ORDER BY date_ech DESC NULLS LAST LIMIT 1"""),
     "available_days": O.with_models("""
 SELECT DISTINCT date_ech, strftime(date_ech, '%Y-%m-%d') AS jour, strftime(date_ech, '%m-%d') AS mois_jour
 FROM mart_atmo_daily_departement"""),
-    "weather_code_profile": O.with_models(f"""
-SELECT weathercode, round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations,
-  round(avg(temperature_max), 1) AS temp_max_moy, round(avg(wind_speed_max), 1) AS vent_moy
-FROM {_MD} GROUP BY weathercode"""),
-    "pm10_by_weather_code": O.with_models(f"""
-SELECT weathercode, round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations,
-  round(avg(wind_speed_max), 1) AS vent_moy, round(avg(precipitation_sum), 1) AS precipitation_moy
-FROM {_MD} WHERE array_contains(polluants_dominants_departement, 'PM10') GROUP BY weathercode"""),
-    "index_band_weather": O.with_models(f"""
-SELECT {_band_desc('indice_moyen', K.INDEX_BANDS, K.INDEX_BAND_ELSE)} AS qualite,
-  round(avg(temperature_max), 1) AS temp_max_moy, round(avg(temperature_min), 1) AS temp_min_moy,
-  round(avg(wind_speed_max), 1) AS vent_moy, round(avg(precipitation_sum), 1) AS precipitation_moy,
-  count(*) AS nb_observations
-FROM {_MD} GROUP BY qualite"""),
-    "wind_band_index": O.with_models(f"""
-SELECT {_band_asc('wind_speed_max', K.WIND_BANDS, K.WIND_BAND_ELSE)} AS categorie_vent,
-  round(avg(indice_moyen), 2) AS indice_moyen, count(*) AS nb_observations
-FROM {_MD} GROUP BY categorie_vent"""),
-    "temperature_band_o3": O.with_models(f"""
-SELECT {_band_asc('temperature_max', K.TEMPERATURE_BANDS, K.TEMPERATURE_BAND_ELSE)} AS categorie_temp,
-  round(avg(indice_moyen), 2) AS indice_moyen,
-  count(*) FILTER (WHERE array_contains(polluants_dominants_departement, 'O3')) AS nb_fois_o3_dominant,
-  count(*) AS nb_observations
-FROM {_MD} GROUP BY categorie_temp"""),
+    "weather_code_profile": _weather_by("weathercode", "temp_max_moy", "vent_moy"),
+    "pm10_by_weather_code": _weather_by("weathercode", "vent_moy", "precipitation_moy", only="PM10"),
+    "index_band_weather": _weather_by(
+        _band_desc("indice_moyen", K.INDEX_BANDS, K.INDEX_BAND_ELSE) + " AS qualite",
+        "temp_max_moy", "temp_min_moy", "vent_moy", "precipitation_moy", index=False),
+    "wind_band_index": _weather_by(_band_asc("wind_speed_max", K.WIND_BANDS, K.WIND_BAND_ELSE) + " AS categorie_vent"),
+    "temperature_band_o3": _weather_by(
+        _band_asc("temperature_max", K.TEMPERATURE_BANDS, K.TEMPERATURE_BAND_ELSE) + " AS categorie_temp",
+        extra="sum(list_contains(polluants_dominants_departement, 'O3')::int)::bigint AS nb_fois_o3_dominant"),
     "temperature_vs_index": O.with_models(f"""
-SELECT date_ech, round(avg(temperature_max), 1) AS temperature_max, round(avg(indice_moyen), 2) AS indice_moyen,
-  strftime(date_ech, '%m-%d') AS mois_jour
-FROM {_MD} WHERE temperature_max IS NOT NULL GROUP BY date_ech"""),
+SELECT *, strftime(date_ech, '%m-%d') AS mois_jour FROM (
+  SELECT date_ech, round(avg(temperature_max), 1) AS temperature_max, round(avg(indice_moyen), 2) AS indice_moyen
+  FROM (SELECT * FROM {_MD} WHERE temperature_max IS NOT NULL) GROUP BY ALL)"""),
 }
 
 
@@ -303,6 +459,8 @@ LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerT
 
 # a store that already holds every day older than the newest week
 STORED_BEFORE_DAYS = 7
+# as many of the newest days are built one at a time
+REBUILT_DAYS = 2
 USER_SQL = """
 SELECT code_departement, count(*) AS nb_jours, max(indice_moyen) AS indice_max,
        CAST(sum(nb_communes) AS BIGINT) AS nb_lignes
@@ -342,7 +500,7 @@ def _parquet_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
     path = fresh_path(spark, "csv-air")
-    raw.write.mode("overwrite").option("header", True).csv(path)
+    raw.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return _raw_air_columns(ingest.read_raw_csv(spark, path, expected_columns=len(raw.columns)))
 
 
@@ -366,7 +524,7 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_tables(spark, sf_dir).materialized()
+    m = Models.from_tables(spark, sf_dir)
     sqlapi.publish({name: getattr(m, name) for name in sqlapi.PUBLISHED_VIEWS})
     return sqlapi.read_only_sql(spark, USER_SQL)
 
@@ -385,20 +543,70 @@ def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _rebuild_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone profiles that a full rebuild from the two stores leaves."""
+    i = fixtures.Inputs.load(spark, sf_dir)
+    air_root, weather_root = fresh_path(spark, "store-air"), fresh_path(spark, "store-weather")
+    ingest.ingest_days(spark, i.raw_air, air_root)
+    ingest.ingest_days(spark, i.raw_weather, weather_root)
+    return flat(rebuild.run_all(spark, air_root, weather_root, i.communes, i.epci, fresh_path(spark, "rebuild"),
+                                fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)["mart_atmo_commune"])
+
+
 def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incremental daily path: every day stored, then the newest day rebuilt alone
-    (its raw partition only) into a fresh folder."""
+    """All days but the newest week built in full, then each day of that week ingested and built alone."""
     i = fixtures.Inputs.load(spark, sf_dir)
-    air_root = fresh_path(spark, "store-air")
-    report = ingest.ingest_days(spark, i.raw_air, air_root)
-    newest = max(d for d, _, _ in report["days"])
-    tables = rebuild.run_day(spark, newest, air_root, None, i.communes, i.epci, fresh_path(spark, "rebuild-day"),
-                             fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    air_root, out = fresh_path(spark, "store-air"), fresh_path(spark, "rebuild-day")
+    ingest.ingest_days(spark, _older_days(i.raw_air), air_root)
+    before = set(partition_days(spark, air_root))
+    tables = rebuild.run_all(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    ingest.ingest_days(spark, i.raw_air, air_root)
+    for day in sorted(set(partition_days(spark, air_root)) - before)[-REBUILT_DAYS:]:
+        tables = rebuild.run_day(spark, day, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES,
+                                 gate=False)
     return flat(tables["mart_atmo_daily_departement"])
 
 
+def _ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the daily ingest says of one file: wrong column count, a day without rows, a new day, a stored day."""
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
+    path, root = fresh_path(spark, "csv-air"), fresh_path(spark, "store-air")
+    raw.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    day = raw.agg(F.max("date_ech")).first()[0]
+    out = []
+    for name, when, columns in (("header", day, K.RAW_AIR_COLUMN_COUNT), ("no_row", "1900-01-01", len(raw.columns)),
+                                ("new_day", day, len(raw.columns)), ("stored_day", day, len(raw.columns))):
+        try:
+            r = ingest.ingest_day(spark, path, root, when, columns)
+            out.append((name, r["status"], r["rows"]))
+        except (ingest.SchemaError, ingest.EmptyDayError) as e:
+            out.append((name, type(e).__name__, None))
+    return spark.createDataFrame(out, "verification string, statut string, nb_lignes long")
+
+
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings exported as CSV, names with quotes and commas, and read back."""
+    raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
+    path = fresh_path(spark, "csv-export")
+    ingest.export_csv(raw.select("event_id", F.concat(F.lit('L "'), "lib_zone", F.lit('", nord')).alias("nom")), path)
+    return ingest.read_csv_text(spark, path).select(F.col("event_id").cast("long").alias("event_id"), "nom")
+
+
+def _centroid_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations numbered by their place in the file (one row per département)."""
+    weather = fixtures.raw_weather(fixtures.table(spark, sf_dir, "orders"))
+    path = fresh_path(spark, "centroids")
+    (fixtures.centroids(weather).select("code_departement", "lon", "lat").orderBy(F.desc("code_departement"))
+     .coalesce(1).write.mode("overwrite").option("header", True).csv(path))
+    return ingest.read_centroids(spark, path)
+
+
 QUERIES.update({
     "rebuild_day": _rebuild_day,
+    "rebuild_values": _rebuild_values,
+    "ingest_outcomes": _ingest_outcomes,
+    "csv_export": _csv_export,
+    "centroid_positions": _centroid_positions,
     "flatten_series": _flatten_series,
     "new_days_only": _new_days_only,
     "parquet_by_day": _parquet_by_day,
@@ -414,10 +622,23 @@ _OLDER = (f"cast(date_ech AS date) < (SELECT max(cast(date_ech AS date)) FROM ra
           f"- INTERVAL {STORED_BEFORE_DAYS} DAY")
 
 ORACLE.update({
-    "rebuild_day": O.with_models("""
+    "rebuild_day": O.with_models(f"""
 SELECT * REPLACE (array_to_string(polluants_dominants_departement, '|') AS polluants_dominants_departement)
 FROM mart_atmo_daily_departement
-WHERE date_ech = (SELECT max(date_ech) FROM stg_atmo_daily)"""),
+WHERE date_ech IN (SELECT date_ech FROM (SELECT DISTINCT date_ech FROM stg_atmo_daily) ORDER BY date_ech DESC
+                   LIMIT {REBUILT_DAYS})
+   OR date_ech < (SELECT max(cast(date_ech AS date)) FROM raw_air_l) - INTERVAL {STORED_BEFORE_DAYS} DAY"""),
+    "rebuild_values": _select_all("mart_atmo_commune"),
+    "ingest_outcomes": O.with_models("""
+SELECT * FROM (VALUES ('header', 'SchemaError', NULL), ('no_row', 'EmptyDayError', NULL), ('stored_day', 'skipped', NULL))
+  v(verification, statut, nb_lignes)
+UNION ALL
+SELECT 'new_day', 'saved', count(*)::bigint FROM raw_air_l WHERE date_ech = (SELECT max(date_ech) FROM raw_air_l)"""),
+    "csv_export": O.with_models("""SELECT event_id, 'L "' || lib_zone || '", nord' AS nom FROM raw_air_l"""),
+    "centroid_positions": O.with_models("""
+SELECT (row_number() OVER (ORDER BY code_departement DESC) - 1)::integer AS location_id, code_departement,
+       longitude AS lon, latitude AS lat
+FROM (SELECT DISTINCT code_departement, longitude, latitude FROM raw_weather)"""),
     "flatten_series": O.with_models("""
 , chunks AS (
   SELECT cast(code_departement AS integer) AS location_id, date_trunc('month', cast(date_ech AS date)) AS m,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from airlens.sources.ingest import export_csv
 
-# tables a user may query by name
+# fixed values: tables a user may query by name
 PUBLISHED_VIEWS = ("stg_atmo_daily", "stg_meteo_daily", "mart_atmo_commune", "mart_atmo_daily_national",
                    "mart_atmo_daily_departement", "mart_atmo_meteo_daily_departement")
 
@@ -20,8 +21,30 @@ def publish(tables: Mapping[str, DataFrame]) -> list[str]:
     return list(tables)
 
 
+class NotAllowed(ValueError):
+    """The query reads something else than the published tables, or calls Java."""
+
+
+_JAVA = re.compile(r"\b(try_reflect|reflect|java_method)\b", re.IGNORECASE)
+_RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
+_CTE = re.compile(r"^\W*CTE \[([^\]]*)\]", re.MULTILINE)
+
+
+def check_query(spark: SparkSession, text: str, allowed: Sequence[str] = PUBLISHED_VIEWS) -> None:
+    """Parse a query (nothing is analysed or run) and refuse any relation but ``allowed`` and its own CTEs."""
+    if _JAVA.search(text):
+        raise NotAllowed("Java calls are not allowed")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    own = {n.strip().strip("`").lower() for names in _CTE.findall(plan) for n in names.split(",")}
+    for name in _RELATION.findall(plan):
+        if name.strip("`").lower() not in own | {a.lower() for a in allowed}:
+            raise NotAllowed(f"not a published table: {name}")
+    if "UnresolvedTableValuedFunction" in plan:
+        raise NotAllowed("table functions are not allowed")
+
+
 def read_only_sql(spark: SparkSession, text: str) -> DataFrame:
-    """Run a user's query as a subquery, so only a query can run.
+    """Run a user's query as a subquery, so only a query can run, over the published tables alone.
 
     A trailing ';' is dropped; the text is wrapped as ``SELECT * FROM (<text>)``
     on its own lines (a final comment cannot swallow the parenthesis). DDL,
@@ -30,18 +53,19 @@ def read_only_sql(spark: SparkSession, text: str) -> DataFrame:
     q = text.strip()
     while q.endswith(";"):
         q = q[:-1].rstrip()
-    return spark.sql(f"SELECT * FROM (\n{q}\n)")
+    wrapped = f"SELECT * FROM (\n{q}\n)"
+    check_query(spark, wrapped)
+    return spark.sql(wrapped)
 
 
-def run_console(spark: SparkSession, text: str, max_rows: int = 10_000) -> dict:
-    """Result of a console query: up to ``max_rows`` rows, the counts, or the error text."""
+def run_console(spark: SparkSession, text: str) -> dict:
+    """A console query: its DataFrame (all rows, for display by page or export), the exact counts, or the error text."""
     try:
         df = read_only_sql(spark, text)
-        rows = df.limit(max_rows + 1).collect()
-        return {"ok": True, "columns": df.columns, "rows": rows[:max_rows], "n_rows": min(len(rows), max_rows),
-                "n_columns": len(df.columns), "truncated": len(rows) > max_rows, "error": None}
+        return {"ok": True, "columns": df.columns, "data": df, "n_rows": df.count(), "n_columns": len(df.columns),
+                "error": None}
     except Exception as e:  # noqa: BLE001 - the console shows any error as text
-        return {"ok": False, "columns": [], "rows": [], "n_rows": 0, "n_columns": 0, "truncated": False,
+        return {"ok": False, "columns": [], "data": None, "n_rows": 0, "n_columns": 0,
                 "error": f"{type(e).__name__}: {e}"}
 
 

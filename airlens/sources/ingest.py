@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, NumericType
 
 from airlens.functions import constants as K
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
-from airlens.sources.store import rebalanced
+from airlens.sources.store import partition_days, rebalanced
 
 
 class SchemaError(ValueError):
@@ -56,36 +56,51 @@ def typed_raw(df: DataFrame, schema=RAW_AIR) -> DataFrame:
     return df.select(*cols)
 
 
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV files with a header as text columns; quotes inside a field are doubled.
+
+    The first file's header gives the columns; every other file must have the same header in the same
+    order, else the job fails (instead of reading values into wrong columns). ``multi_line`` allows
+    line ends inside quotes, at the price of one task per file.
+    """
+    reader = spark.read.option("header", True).option("sep", ",").option("encoding", "UTF-8").option("escape", '"')
+    columns = reader.csv(path).columns
+    text = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+    return (reader.schema(text).option("enforceSchema", False).option("mode", "FAILFAST")
+            .option("multiLine", multi_line).csv(path))
+
+
 def read_raw_csv(spark: SparkSession, path: str, expected_columns: int = K.RAW_AIR_COLUMN_COUNT,
                  schema=RAW_AIR) -> DataFrame:
-    """Read a raw daily CSV: header row, comma separated, every column as text (the zone code
-    keeps its leading zeros), header checked, then the used columns typed."""
-    text = (spark.read.option("header", True).option("sep", ",").option("mode", "FAILFAST")
-            .option("encoding", "UTF-8").csv(path))
+    """Read raw daily CSV: every column as text (the zone code keeps its leading zeros),
+    header checked, then the used columns typed."""
+    text = read_csv_text(spark, path)
     check_header(text.columns, expected_columns, schema.fieldNames())
     return typed_raw(text, schema)
 
 
 def read_reference_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A small reference table (seed) from CSV with declared column types."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """A reference table (seed) from CSV with declared column types."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
+            .option("mode", "FAILFAST").csv(path))
 
 
-def read_centroids(spark: SparkSession, path: str, max_rows: int = 10_000) -> DataFrame:
-    """Département centroids (code_departement, lon, lat) with a location id.
+def read_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """Département centroids (location_id, code_departement, lon, lat).
 
-    The weather service answers in the order of the requested locations, and
-    the request lists the centroids in file order, so a location's id is its
-    row number in the file. The table has one row per département: its size is
-    checked, then it is read as a single partition, where the generated id
-    counts rows in file order from 0.
+    The weather service answers in the order of the requested locations, and the request lists
+    the centroids in file order, so a location's id is its row number in the file: the place
+    within its split plus the rows of the splits before.
     """
-    from airlens.operators.joins import fits_broadcast
     seed = read_reference_csv(spark, path, "code_departement string, lon double, lat double")
-    if not fits_broadcast(seed, max_rows):
-        raise ValueError(f"centroid table has more than {max_rows} rows")
-    return seed.coalesce(1).select(F.monotonically_increasing_id().cast("int").alias("location_id"),
-                                   "code_departement", "lon", "lat")
+    placed = seed.withColumn("_at", F.monotonically_increasing_id()).select(
+        "*", F.shiftright("_at", 33).alias("_split"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row"))
+    splits = placed.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per split of the file
+    earlier = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return placed.join(before, "_split").select(
+        (F.col("_before") + F.col("_row")).cast("int").alias("location_id"), "code_departement", "lon", "lat")
 
 
 def keep_day(df: DataFrame, day: str) -> DataFrame:
@@ -94,13 +109,17 @@ def keep_day(df: DataFrame, day: str) -> DataFrame:
 
 
 def stored_days(spark: SparkSession, root: str) -> DataFrame:
-    """Days already in the store (a projection on the partition column: no data column is read)."""
-    try:
-        return spark.read.parquet(root).select(F.col("date_ech").cast("string").alias("date_ech")).distinct()
-    except Exception as e:  # noqa: BLE001 - an absent or empty store holds no day
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "date_ech string")
-        raise
+    """Days already in the store, from its partition names (no row is read)."""
+    return spark.createDataFrame([(d,) for d in partition_days(spark, root)], "date_ech string")
+
+
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
+
+
+def is_day(day: F.Column) -> F.Column:
+    """Is the text a calendar day in ISO form? Null is not."""
+    text = day.cast("string")
+    return F.coalesce(text.rlike(ISO_DAY) & F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))
 
 
 def plan_days(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -141,16 +160,21 @@ def write_days(df: DataFrame, root: str, observation: Observation | None = None,
 
 
 def ingest_days(spark: SparkSession, incoming: DataFrame, root: str) -> dict:
-    """Store every incoming day not stored yet (a backfill); report saved and skipped days.
+    """Store every incoming day not stored yet (a backfill); report saved, skipped and rejected.
 
-    One job writes all new days; the report is a small per-day aggregate.
+    The plan needs the day column only; one job then writes all new days. Rows without a
+    proper day are not written; they are counted as ``rejected``.
     """
     stored = stored_days(spark, root)
-    report = plan_days(incoming, stored).collect()    # one row per incoming day
+    good = is_day(F.col("date_ech"))
+    # one row per calendar day, and one for all rows without one
+    days = plan_days(incoming.select(F.when(good, F.col("date_ech").cast("string")).alias("date_ech")), stored).collect()
+    report = [r for r in days if r["date_ech"] is not None]
     saved = [r["date_ech"] for r in report if r["action"] == "saved"]
     if saved:
-        write_days(new_days_only(incoming, stored), root)
+        write_days(new_days_only(incoming.where(good), stored), root)
     return {"saved": len(saved), "skipped": len(report) - len(saved),
+            "rejected": sum(r["nb_lignes"] for r in days if r["date_ech"] is None),
             "days": sorted((r["date_ech"], r["action"], r["nb_lignes"]) for r in report)}
 
 
@@ -162,14 +186,18 @@ def ingest_day(spark: SparkSession, csv_path: str, root: str, day: str,
     The row count is observed during the write itself (no second pass); with no
     row nothing is written, so the failure leaves the store unchanged.
     """
-    if stored_days(spark, root).filter(F.col("date_ech") == day).take(1):
+    if day in partition_days(spark, root):
         return {"day": day, "status": "skipped", "rows": None}
-    rows = keep_day(read_raw_csv(spark, csv_path, expected_columns), day)
+    return store_day(keep_day(read_raw_csv(spark, csv_path, expected_columns), day), root, day)
+
+
+def store_day(rows: DataFrame, root: str, day: str) -> dict:
+    """Write the rows of one day and count them on the way; no row is an error."""
     obs = Observation("ingest")
     write_days(rows, root, obs, F.count(F.lit(1)).alias("rows"))
     n = obs.get["rows"]
     if n == 0:
-        raise EmptyDayError(f"0 rows for {day}: check the source file")
+        raise EmptyDayError(f"0 rows for {day}: check the source")
     return {"day": day, "status": "saved", "rows": n}
 
 
@@ -180,10 +208,11 @@ def read_store(spark: SparkSession, root: str, schema=RAW_AIR) -> DataFrame:
 
 def write_json(df: DataFrame, path: str, by_day: bool = False) -> None:
     """Records as JSON Lines (one object per line); ``by_day`` keeps one folder per day
-    and replaces only the days written."""
+    (``day=...``; the records hold ``date_ech``, too) and replaces only the days written."""
     w = df.write.mode("overwrite")
     if by_day:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy("date_ech")
+        w = (df.withColumn("day", F.col("date_ech").cast("string")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("day"))
     w.json(path)
 
 
@@ -194,4 +223,5 @@ def read_json(spark: SparkSession, path: str, schema=RAW_WEATHER) -> DataFrame:
 def export_csv(df: DataFrame, path: str) -> None:
     """A result as CSV with a header (UTF-8); arrays of names are joined with '|'."""
     from airlens.plans.models import flat
-    flat(df).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    (flat(df).write.mode("overwrite").option("header", True).option("encoding", "UTF-8")
+     .option("escape", '"').csv(path))   # a quote inside a field is doubled

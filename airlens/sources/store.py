@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from airlens.session import fresh_path
 
@@ -20,27 +24,34 @@ def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-# at most this many partitions when spreading a single-split input: enough to use
-# a node's or a few executors' cores, without turning one small daily file into
-# thousands of near-empty tasks on a large cluster (AQE does not coalesce an
-# explicit partition count)
-MAX_SPREAD = 256
+_DAY = re.compile(r"/date_ech=([^/]+)/[^/]*$")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cores when its scan yields fewer splits than that.
+def partition_days(spark: SparkSession, root: str) -> list[str]:
+    """The days of a stored table, from the names of its files: no row is read.
 
-    A single small or unsplittable input file (one Parquet row group, a gzipped
-    CSV) would otherwise run every narrow step before the first shuffle in one
-    task. Split inputs at scale already have many partitions and are left as
-    they are, so this never adds a shuffle to a large scan.
+    The list has one entry per calendar day. An absent or empty table holds no day.
     """
     try:
-        want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-        splits = df.rdd.getNumPartitions()      # planning only, no job
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): keep the scan as it is
-        return df
-    return df.repartition(want) if splits < want else df
+        files = spark.read.parquet(root).inputFiles()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return []
+        raise
+    found = {m[1] for m in map(_DAY.search, files) if m}
+    return sorted(unquote(d) for d in found if d != "__HIVE_DEFAULT_PARTITION__")
+
+
+def replace_day(df: DataFrame, path: str, day: str) -> DataFrame:
+    """Make ``df`` (rows of ``day`` only) the whole partition of that day; without rows the day goes."""
+    spark, folder = df.sparkSession, f"{path.rstrip('/')}/date_ech={day}"
+    written = Observation("day")
+    (rebalanced(df.drop("date_ech").observe(written, F.count(F.lit(1)).alias("rows"))).write.mode("overwrite")
+     .option("compression", "snappy").parquet(folder))
+    if not written.get["rows"]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return read_table(spark, path, df)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",

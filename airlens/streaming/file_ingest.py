@@ -2,41 +2,61 @@
 
 Raw day files land in a folder; a file stream with ``availableNow`` processes
 every file not seen before and stops. The checkpoint (in the shared folder)
-records the files already taken, so a re-run takes nothing twice. Each
-micro-batch is written under (day, batch id) partitions with dynamic
-overwrite: a batch retried after a failure rewrites exactly its own files, and
-a day whose files span several batches keeps the rows of all of them.
+records the files already taken, so a re-run takes nothing twice. The store has the batch
+ingest's layout, one partition per day; the batch a row came with is a data column (null for rows
+of the batch ingest). A micro-batch replaces the days it holds by what they held before plus its own
+rows, from a copy staged beside the checkpoint: a batch retried after a failure, even in the midst of
+the write, finds the copy and writes the same rows again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from airlens.sources.ingest import is_day, write_days
 from airlens.sources.schemas import RAW_AIR
-from airlens.sources.store import rebalanced
+from airlens.sources.store import partition_days
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Was a write into the folder committed?"""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
 
 def stream_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
-                  schema=RAW_AIR, file_format: str = "parquet", max_files_per_trigger: int = 1000) -> int:
-    """Move every new landed file into the day-partitioned store; returns the batches run."""
-    src = (spark.readStream.format(file_format).schema(schema)
-           .option("maxFilesPerTrigger", max_files_per_trigger))
+                  schema=RAW_AIR, file_format: str = "parquet", max_files_per_trigger: int | None = None) -> int:
+    """Move every new landed file into the day-partitioned store; returns the number of batches that stored rows."""
+    src = spark.readStream.format(file_format).schema(schema)
+    if max_files_per_trigger is not None:
+        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_format == "csv":
         src = src.option("header", True)
     stream = src.load(landing)
 
+    batches = []
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("date_ech", F.col("date_ech").cast("string"))
-         .withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .transform(lambda b: rebalanced(b, ["date_ech"]))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date_ech", "batch_id").parquet(store_root))
+        session = batch.sparkSession
+        staged = f"{checkpoint.rstrip('/')}-staged/batch-{batch_id}"
+        rows = (batch.withColumn("date_ech", F.col("date_ech").cast("string")).where(is_day(F.col("date_ech")))
+                .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        if not _complete(session, staged):
+            days = [r[0] for r in rows.select("date_ech").distinct().collect()]   # calendar days
+            if set(days) & set(partition_days(session, store_root)):
+                stored = session.read.schema(rows.schema).parquet(store_root).where(F.col("date_ech").isin(days))
+                rows = rows.unionByName(stored.where(F.coalesce(F.col("batch_id") != batch_id, F.lit(True))))
+            rows.write.mode("overwrite").parquet(staged)
+        out = session.read.schema(rows.schema).parquet(staged)
+        written = Observation(f"batch-{batch_id}")
+        write_days(out, store_root, written, F.count_if(F.col("batch_id") == batch_id).alias("n"))
+        if written.get["n"]:
+            batches.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    progress = query.recentProgress
-    return sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+    return len(batches)

@@ -18,7 +18,8 @@ def test_zones_lost_between_two_days_and_all_days(spark):
     stg = _stg(spark, rows)
     assert [r.code_insee for r in A.zones_lost(stg, "2024-03-03", "2024-03-04").collect()] == ["b"]
     got = sorted((r.code_insee, r.date_ech) for r in A.zones_lost(stg).collect())
-    assert got == [("b", dt.date(2024, 3, 3))]   # 03-04 -> 03-05 has no next day: not compared
+    # 03-05 has no row at all, so all of 03-04 is lost; the newest day has nothing to be compared with
+    assert got == [("a", dt.date(2024, 3, 4)), ("b", dt.date(2024, 3, 3))]
 
 
 def test_zone_history_search_and_rankings(spark):
@@ -70,17 +71,50 @@ def test_marts_aggregate_partially_and_filters_reach_the_scan(spark):
 
 
 def test_stored_staging_prunes_days_for_monitors(spark):
-    m = Models.from_tables(spark, SF_SMALL).materialized()
+    m = Models.from_tables(spark, SF_SMALL, stored=True)
     cov = m.mon_commune_coverage
     assert cov.count() == 1
-    plan = _plan(cov)
-    scans = [block for block in plan.split("\n\n") if "Scan parquet" in block and "stg_atmo_daily" in block]
-    rows = [b for b in scans if "ReadSchema: struct<code_insee:string>" in b]
-    newest = [b for b in scans if "ReadSchema: struct<>" in b]
-    # the rows of two days: partition filters on the day, one data column read
-    assert rows and all("date_ech" in b.split("PartitionFilters:")[1].split("\n")[0] for b in rows)
-    # the newest day: partition values only, no data column read
-    assert newest and len(rows) + len(newest) == len(scans)
+    scans = [b for b in _plan(cov).split("\n\n") if "Scan parquet" in b and "stg_atmo_daily" in b]
+    # the rows of two days only: partition filters on the day, one data column read; the newest day needs no scan of it
+    assert scans and all("date_ech" in b.split("PartitionFilters:")[1].split("\n")[0]
+                         and "ReadSchema: struct<code_insee:string>" in b for b in scans)
+
+
+def test_newest_day_comes_from_partition_names(spark, tmp_store):
+    from airlens.plans import rebuild
+    from airlens.sources.store import partition_days
+    stg = _stg(spark, [fx.raw_row(date=f"2024-03-0{d}") for d in (1, 2, 3)])
+    rebuild._save(stg, tmp_store, "stg_atmo_daily")
+    assert partition_days(spark, tmp_store + "/stg_atmo_daily") == ["2024-03-01", "2024-03-02", "2024-03-03"]
+    assert partition_days(spark, tmp_store + "/absent") == []
+
+
+def test_zone_profile_needs_one_shuffle(spark):
+    stg = spark.createDataFrame([], _stg(spark, [fx.raw_row()]).schema)
+    assert _plan(marts.zone_profile(stg), "simple").count("Exchange") == 1
+
+
+def test_queries_see_replaced_files(spark, tmp_store):
+    """Nothing of an earlier call is reused: a folder's new files give the new answer."""
+    import os
+    import shutil
+    from airlens.plans.registry import QUERIES
+    folder = tmp_store.removeprefix("file:")
+    shutil.copytree(SF_SMALL, folder)
+    os.chmod(folder, 0o755)
+    total = lambda: QUERIES["daily_national"](spark, folder).agg({"nb_communes": "sum"}).first()[0]
+    before = total()
+    half = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_id % 2 = 0")
+    os.remove(f"{folder}/events.parquet")
+    half.write.parquet(f"{folder}/events.parquet")
+    assert total() < before
+
+
+def test_join_is_the_same_with_and_without_broadcast(spark):
+    raw = fx.raw_air(spark, [fx.raw_row(code=c) for c in ("01001", "02001", "zz")])
+    plain = air_staging(raw, fx.communes(spark), fx.epci(spark), broadcast_max_bytes=0)
+    assert "BroadcastHashJoin" not in _plan(plain, "simple").split("Initial Plan")[0]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, air_staging(raw, fx.communes(spark), fx.epci(spark)).collect()))
 
 
 def test_sentinel_filters_reach_the_store_scan(spark, tmp_store):

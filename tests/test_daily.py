@@ -103,7 +103,8 @@ def test_cli_rebuild_and_sql(spark, tmp_store):
                                  "SELECT code_departement, nb_communes FROM mart_atmo_daily_departement"],
                          check=True, env=env, capture_output=True, timeout=600, text=True)
     res = json.loads(out.stdout.strip().splitlines()[-1])
-    assert res["ok"] and res["rows"] == [["01", "1"]]
+    assert res["ok"] and res["n_rows"] == 1
+    assert json.loads(out.stdout.strip().splitlines()[-2]) == ["01", "1"]
 
 
 def test_stream_ingest_takes_each_file_once(spark, tmp_store):
@@ -122,6 +123,50 @@ def test_stream_ingest_takes_each_file_once(spark, tmp_store):
     stream_ingest(spark, landing, store, ckpt, schema)
     got = sorted((r.date_ech, r.code_zone) for r in ingest.read_store(spark, store).collect())
     assert got == [("2024-03-03", "01001"), ("2024-03-04", "01001"), ("2024-03-04", "x")]
+    # the batch ingest shares the store: stored days are skipped, a new one is added
+    more = fx.raw_air(spark, [fx.raw_row(date="2024-03-04", code="y"), fx.raw_row(date="2024-03-05", code="z")])
+    assert ingest.ingest_days(spark, more, store)["saved"] == 1
+    assert sorted(r.code_zone for r in ingest.read_store(spark, store).collect()) == ["01001", "01001", "x", "z"]
+
+
+def test_stream_batches_can_be_retried(spark, tmp_store):
+    """A batch whose commit was lost runs again, with the same rows, over the store it already wrote."""
+    from pyspark.sql import types as T
+    from airlens.sources.schemas import RAW_AIR
+    from airlens.streaming.file_ingest import stream_ingest
+    import shutil
+    landing, store, ckpt = tmp_store + "/landing", tmp_store + "/store", tmp_store + "/ckpt"
+    schema = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerType())])
+    fx.raw_air(spark, [fx.raw_row(date="2024-03-03"), fx.raw_row(date="2024-03-04")]) \
+        .write.partitionBy("date_ech").parquet(landing + "/drop=1")
+    assert stream_ingest(spark, landing, store, ckpt, schema) == 1
+    shutil.rmtree((ckpt + "/commits").removeprefix("file:"))
+    assert stream_ingest(spark, landing, store, ckpt, schema) == 1
+    assert ingest.read_store(spark, store).count() == 2
+
+
+def test_run_day_replaces_and_empties_days(spark, tmp_store):
+    """A corrected day loses its old rows; a day left with sentinel rows only disappears."""
+    from airlens.plans.rebuild import run_all, run_day
+    communes, epci = fx.communes(spark), fx.epci(spark)
+    air = tmp_store + "/air"
+    ingest.write_days(fx.raw_air(spark, [fx.raw_row(date=f"2024-03-0{d}", code=c) for d in (3, 4, 5)
+                                         for c in ("01001", "02001")]), air)
+    run_all(spark, air, None, communes, epci, tmp_store + "/inc", gate=False)
+    ingest.write_days(fx.raw_air(spark, [fx.raw_row(date="2024-03-04", code="01001", qual=5),
+                                         fx.raw_row(date="2024-03-05", qual=7)]), air)
+    for day in ("2024-03-04", "2024-03-05"):
+        inc = run_day(spark, day, air, None, communes, epci, tmp_store + "/inc", gate=False)
+    full = run_all(spark, air, None, communes, epci, tmp_store + "/full", gate=False)
+    for name in full:
+        assert sorted(map(str, inc[name].collect())) == sorted(map(str, full[name].collect())), name
+    assert inc["stg_atmo_daily"].count() == 3
+
+
+def test_empty_weather_day_is_an_error(spark, tmp_store):
+    with pytest.raises(ingest.EmptyDayError):
+        daily_weather_run(spark, _payload(spark), _locations(spark), "1990-01-01", tmp_store + "/w", tmp_store + "/out")
+    assert ingest.stored_days(spark, tmp_store + "/w").count() == 0
 
 
 def test_run_day_equals_full_rebuild(spark, tmp_store):

@@ -88,6 +88,43 @@ def test_read_only_sql(spark):
     assert ok["ok"] and ok["n_rows"] == 2 and ok["n_columns"] == 1
 
 
+def test_console_returns_and_counts_every_row(spark):
+    spark.range(25_000).selectExpr("id AS n").createOrReplaceTempView("mart_atmo_commune")
+    res = sqlapi.run_console(spark, "SELECT n FROM mart_atmo_commune")
+    assert res["ok"] and res["n_rows"] == 25_000 and res["data"].count() == 25_000
+
+
+def test_console_reads_published_tables_only(spark):
+    spark.range(3).selectExpr("id AS n").createOrReplaceTempView("mart_atmo_commune")
+    spark.range(3).createOrReplaceTempView("private_view")
+    for bad in ["SELECT reflect('java.lang.System', 'getProperty', 'user.name')", "SELECT * FROM text.`/etc/passwd`",
+                "SELECT java_method('java.util.UUID', 'randomUUID')", "SELECT * FROM private_view",
+                "SELECT n FROM mart_atmo_commune WHERE n IN (SELECT id FROM private_view)",
+                "WITH t AS (SELECT * FROM private_view) SELECT * FROM t", "SELECT * FROM range(3)"]:
+        res = sqlapi.run_console(spark, bad)
+        assert not res["ok"] and "NotAllowed" in res["error"], bad
+    assert sqlapi.run_console(spark, "WITH t AS (SELECT n FROM mart_atmo_commune) SELECT max(n) FROM t")["ok"]
+
+
+def test_csv_headers_of_all_files_are_checked(spark, tmp_store):
+    import os
+    os.makedirs(tmp_store)
+    with open(tmp_store + "/a.csv", "w") as f:
+        f.write('code_no2,code_o3,nom\n1,2,"L ""Est"", nord"\n')
+    assert ingest.read_csv_text(spark, tmp_store).collect()[0].nom == 'L "Est", nord'
+    with open(tmp_store + "/b.csv", "w") as f:
+        f.write("code_o3,code_no2,nom\n2,1,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.read_csv_text(spark, tmp_store).collect()
+
+
+def test_rows_without_a_day_are_rejected_and_counted(spark, tmp_store):
+    rows = fx.raw_air(spark, [fx.raw_row(date=d) for d in ("2024-03-01", None, "soon", "2024-13-45")])
+    rep = ingest.ingest_days(spark, rows, tmp_store)
+    assert (rep["saved"], rep["skipped"], rep["rejected"]) == (1, 0, 3)
+    assert ingest.read_store(spark, tmp_store).count() == 1
+
+
 def test_export_csv(spark, tmp_store):
     df = spark.createDataFrame([("01", ["NO2", "O3"])], "code string, p array<string>")
     sqlapi.export_result(df, tmp_store + "/out")
