@@ -40,6 +40,7 @@ MIN_DOCS = 3
 MIN_CONSTANT = 3
 LEAF_LINES = 2048
 BITMAP = 1 << 23
+SALTS = 32
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"[0-9]")
 _LINES = "t1 long, t2 long, line_no int, leaf long, line long, body long"
@@ -189,7 +190,10 @@ def boilerplate(texts: DataFrame) -> DataFrame:
         F.count("*").alias("n_bodies"))
     dropped = n_texts.join(n_bodies, "template").where(
         (F.col("n_texts") >= MIN_DOCS) & (F.col("n_bodies") >= MIN_DOCS) & (2 * F.col("n_bodies") >= F.col("n_texts")))
-    return found.where("body <> 0").join(dropped.select("template"), "template", "left_semi").select("t1", "t2", "line_no")
+    # a common template's lines are dealt over SALTS tasks
+    salts = dropped.select("template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    lines = found.where("body <> 0").withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int"))
+    return lines.join(salts, ["template", "salt"], "left_semi").select("t1", "t2", "line_no")
 
 
 def text_key(text: Column) -> list[Column]:
