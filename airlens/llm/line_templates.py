@@ -8,10 +8,11 @@ template; the positions at which they differ are variable, too. A leaf that hold
 again, so no task holds more.
 
 A template is boilerplate, and all its lines are dropped, if it has ``MIN_CONSTANT`` constant tokens and
-recurs in ``MIN_DOCS`` distinct texts with different bodies: the body of a line is the longest other line of its document,
-and at least half as many bodies as texts must be distinct. So copies of one document, exact or
-lightly edited, do not make each other's lines boilerplate (near-duplicate removal is there for them), and
-a document of a single line keeps it.
+recurs in ``MIN_DOCS`` distinct texts with different bodies, at least half as many as texts. A line's body
+is the smallest hash of the ``WINDOW``-byte windows in the other lines of its document: copies of one document, exact or
+edited, mostly share it, with the probability of their resemblance, unrelated documents do not. So
+copies do not make each other's lines boilerplate (near-duplicate removal is there for them), and a document
+of a single line keeps it.
 
 The texts are read twice: for 64-bit keys of all lines, then for the words of those lines whose
 leaf recurs; a fixed-size bitmap (``BITMAP`` bits, whatever the input) tells the second pass which they are,
@@ -41,6 +42,8 @@ MIN_CONSTANT = 3
 LEAF_LINES = 2048
 BITMAP = 1 << 23
 SALTS = 32
+WINDOW = 24
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"[0-9]")
 _LINES = "t1 long, t2 long, line_no int, leaf long, line long, body long"
@@ -66,13 +69,34 @@ def parsed_lines(text: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
-def bodies(lines: list[tuple[int, int, int, str]]) -> list[int]:
-    """For each line the key of the longest other line of its document (0: there is none)."""
+def window_hashes(raw: bytes) -> np.ndarray:
+    """A hash of the ``WINDOW`` bytes from each byte of ``raw`` on (zeros follow its end); the largest number for the end."""
+    padded = raw + bytes(WINDOW + 8)
+    word = np.empty(len(padded) - 8, np.uint64)  # the eight bytes from each byte on
+    for k in range(8):
+        part = np.frombuffer(padded, "<u8", (len(word) - k + 7) // 8, k)
+        word[k::8] = part
+    n = len(raw) + 1
+    h = np.full(n, _ODD)
+    for k in range(0, WINDOW, 8):
+        h = (h ^ word[k:k + n]) * _ODD
+        h ^= h >> np.uint64(29)
+    h *= _ODD
+    h[-1] = np.uint64(2**64 - 1)
+    return h
+
+
+def bodies(text: str, lines: list[tuple[int, int, int, str]]) -> list[int]:
+    """For each line the smallest window hash of its document's other lines (0: there are none)."""
     if len(lines) < 2:
         return [0] * len(lines)
-    order = sorted(range(len(lines)), key=lambda k: (-len(lines[k][3]), k))
-    longest, next_ = order[0], order[1]
-    return [lines[next_ if k == longest else longest][2] for k in range(len(lines))]
+    raw = text.encode("utf-8")
+    starts = np.append(0, np.flatnonzero(np.frombuffer(raw, np.uint8) == 10) + 1)
+    least = np.minimum.reduceat(window_hashes(raw), starts)[[line[0] for line in lines]]
+    first, second = np.argsort(least, kind="stable")[:2]
+    out = [int(least[first])] * len(lines)
+    out[first] = int(least[second])
+    return out
 
 
 def _signed(values: list[int]) -> np.ndarray:
@@ -85,7 +109,7 @@ def _line_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in f["text"]:
             found = parsed_lines(text)
             size.append(len(found))
-            body += bodies(found)
+            body += bodies(text, found)
             for a, b, c, _ in found:
                 no.append(a)
                 leaf.append(b)
