@@ -3,9 +3,10 @@
 A line is parsed as log parsers do: split at white space, tokens that hold a digit become the variable
 ``<*>``, and the line goes down a tree of fixed depth, by its number of tokens and its first
 ``DEPTH`` tokens. In a leaf, lines whose tokens agree at ``SIMILAR`` of the positions or more share a
-template; the positions at which they differ are variable, too. A leaf that holds more than
-``LEAF_LINES`` distinct lines is parsed one level deeper (twice as many leading tokens), again and
-again, so no task holds more.
+template; the positions at which they differ are variable, too. The lines of a leaf that holds more than
+``LEAF_LINES`` distinct ones are dealt over parts of that size, and templates start in rounds: one task takes
+the first ``LEAF_LINES`` lines without a template, every part compares its lines with the templates these
+start, and the next round takes what is left. This gives the templates one task would find, at any ``LEAF_LINES``.
 
 A template is boilerplate, and all its lines are dropped, if it has ``MIN_CONSTANT`` constant tokens and
 recurs in ``MIN_DOCS`` distinct texts with different bodies, at least half as many as texts. A line's body
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import free_name, whole, written
 
@@ -147,52 +148,114 @@ def _wanted_lines(texts: DataFrame, leaves: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(pick, "leaf long, line long, masked string")
 
 
-def grow_templates(lines: list[str], similar: float = SIMILAR) -> list[tuple[str, int]]:
-    """(template, constant tokens) of each of a leaf's masked lines (all with as many tokens).
+def _token_ids(*texts: list[str]) -> list[np.ndarray]:
+    """A matrix of token numbers for each list of lines (all with as many tokens)."""
+    words: dict[str, int] = {}
+    return [np.array([[words.setdefault(t, len(words)) for t in line.split(" ")] for line in lines], np.int64)
+            for lines in texts]
 
-    The most common lines come first: the first line without a template starts one, and takes the lines similar to it.
+
+def start_templates(lines: list[str], similar: float = SIMILAR) -> list[int]:
+    """For each of a leaf's masked lines (in order) the number of the line whose template takes it.
+
+    The first line without a template starts one, and takes the lines similar to it.
     """
-    words: dict[str, int] = {VARIABLE: 0}
-    rows = np.array([[words.setdefault(t, len(words)) for t in line.split(" ")] for line in lines], np.int64)
-    out: list = [None] * len(lines)
-    todo = np.arange(len(lines))
+    rows = _token_ids(lines)[0]
+    out, todo = np.zeros(len(lines), np.int64), np.arange(len(lines))
     while len(todo):
         same = (rows[todo] == rows[todo[0]]).mean(axis=1) >= similar
         same[0] = True
-        members, todo = todo[same], todo[~same]
-        fixed = (rows[members] == rows[members[0]]).all(axis=0)
-        tokens = [t if ok else VARIABLE for t, ok in zip(lines[members[0]].split(" "), fixed)]
-        told = " ".join(tokens), sum(t != VARIABLE for t in tokens)
+        out[todo[same]] = todo[0]
+        todo = todo[~same]
+    return out.tolist()
+
+
+def grow_templates(lines: list[str], similar: float = SIMILAR) -> list[str]:
+    """The template of each of a leaf's masked lines (all with as many tokens), the most common lines first."""
+    rows, seeds = _token_ids(lines)[0], np.array(start_templates(lines, similar))
+    out: list = [None] * len(lines)
+    for seed in np.unique(seeds):
+        members = np.flatnonzero(seeds == seed)
+        fixed = (rows[members] == rows[seed]).all(axis=0)
+        told = " ".join(t if ok else VARIABLE for t, ok in zip(lines[seed].split(" "), fixed))
         for k in members:
             out[k] = told
     return out
 
 
+def _small_leaf(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["n_texts", "masked"], ascending=[False, True])
+    return rows[["leaf", "line"]].assign(told=grow_templates(rows["masked"].tolist()))
+
+
+def _seeds(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("place")
+    first = np.unique(start_templates(rows["masked"].tolist()))
+    return rows.iloc[first][["leaf", "place", "masked"]].rename(columns={"place": "seed", "masked": "said"})
+
+
+def _near_seeds(lines: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
+    """Lines of a part with the first seed they are similar to (-1: none) and the positions at which they differ."""
+    seeds = seeds.sort_values("seed")
+    rows, first = _token_ids(lines["masked"].tolist(), seeds["said"].tolist())
+    seed, vary = np.full(len(rows), -1, np.int64), [[] for _ in range(len(rows))]
+    todo = np.arange(len(rows))
+    for number, tokens in zip(seeds["seed"], first):
+        equal = rows[todo] == tokens
+        same = equal.mean(axis=1) >= SIMILAR
+        for k, row in zip(todo[same], equal[same]):
+            seed[k], vary[k] = number, np.flatnonzero(~row).tolist()
+        todo = todo[~same]
+    return lines.assign(seed=seed, vary=vary)
+
+
+def _full_leaves(lines: DataFrame) -> DataFrame:
+    """leaf, line, told of leaves with more than ``LEAF_LINES`` lines; no task holds more than that of a leaf."""
+    # places follow the order of the leaf's lines; a part is a run of places
+    left = written(lines.orderBy("leaf", F.desc("n_texts"), "masked").withColumn(
+        "place", F.monotonically_increasing_id()), "places").select(
+        "leaf", F.expr(f"place div {LEAF_LINES}").alias("part"), "place", "line", "masked")
+    schema, done = "leaf long, part long, place long, line long, masked string, seed long, vary array<int>", None
+    while not left.isEmpty():
+        parts = written(left.groupBy("leaf", "part").count().withColumn(
+            "upto", F.sum("count").over(Window.partitionBy("leaf").orderBy("part"))), "parts")
+        front = parts.where(F.col("upto") <= LEAF_LINES).select("leaf", "part")
+        seeds = written(left.join(front, ["leaf", "part"], "left_semi").groupBy("leaf").applyInPandas(
+            _seeds, "leaf long, seed long, said string"), "seeds")
+        dealt = parts.select("leaf", "part").join(seeds, "leaf")
+        near = written(left.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part")).applyInPandas(
+            _near_seeds, schema), "near")
+        left = near.where("seed < 0").select("leaf", "part", "place", "line", "masked")
+        near = near.where("seed >= 0")
+        done = near if done is None else done.unionByName(near)
+    vary = done.select("leaf", "seed", F.explode("vary").alias("at")).distinct().groupBy("leaf", "seed").agg(
+        F.collect_set("at").alias("at"))
+    told = done.where("place = seed").select("leaf", "seed", "masked").join(vary, ["leaf", "seed"], "left").select(
+        "leaf", "seed", F.array_join(F.transform(F.split("masked", " "), lambda t, k: F.when(
+            F.array_contains(F.coalesce("at", F.array().cast("array<int>")), k), VARIABLE).otherwise(t)), " ").alias("told"))
+    told = done.select("leaf", "seed", "part").distinct().join(told, ["leaf", "seed"])
+    return done.join(told, ["leaf", "seed", "part"]).select("leaf", "line", "told")
+
+
 def templates_of(lines: DataFrame) -> DataFrame:
     """line, template (key), constants for distinct lines (leaf, line, masked, n_texts)."""
-    work = lines.withColumns({"deep": F.lit(DEPTH), "node": F.col("leaf")})
-    while True:
-        full = work.groupBy("node").count().where(F.col("count") > LEAF_LINES).select("node")
-        if full.isEmpty():
-            break
-        full = written(full, "full").withColumn("over", F.lit(True))
-        deeper = F.xxhash64("leaf", F.expr("substring_index(masked, ' ', deep * 2)"))
-        work = written(
-            work.join(full, "node", "left").withColumns({
-                "node": F.when(F.col("over"), deeper).otherwise(F.col("node")),
-                "deep": F.when(F.col("over"), F.col("deep") * 2).otherwise(F.col("deep"))}).drop("over"), "deeper")
-
-    def leaf(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_texts", "masked"], ascending=[False, True])
-        told = grow_templates(rows["masked"].tolist())
-        node = int(rows["node"].iloc[0])
-        return pd.DataFrame({
-            "line": rows["line"].to_numpy(np.int64),
-            "template": _signed([xxhash.xxh3_64_intdigest(f"{node} {t}") for t, _ in told]),
-            "constants": np.array([c for _, c in told], np.int32)})
-
-    return work.select("node", "line", "masked", "n_texts").groupBy("node").applyInPandas(
-        leaf, "line long, template long, constants int")
+    tokens = F.size(F.split("masked", " "))
+    alone = (tokens - 1) / tokens < SIMILAR  # similar to equal lines only
+    longer = lines.where(~alone)
+    full = written(longer.groupBy("leaf").count().where(F.col("count") > LEAF_LINES).select("leaf"), "full")
+    told = lines.where(alone).select("leaf", "line", F.col("masked").alias("told"))
+    if full.isEmpty():
+        small = longer
+    else:
+        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        salted = longer.withColumn("salt", F.pmod("line", F.lit(SALTS)).cast("int"))
+        full = full.select("leaf", salt)
+        small = salted.join(full, ["leaf", "salt"], "left_anti").drop("salt")
+        told = told.unionByName(_full_leaves(salted.join(full, ["leaf", "salt"], "left_semi").drop("salt")))
+    told = told.unionByName(small.groupBy("leaf").applyInPandas(_small_leaf, "leaf long, line long, told string"))
+    return told.select(
+        "line", F.xxhash64("leaf", "told").alias("template"),
+        F.size(F.filter(F.split("told", " "), lambda t: t != VARIABLE)).alias("constants"))
 
 
 def boilerplate(texts: DataFrame) -> DataFrame:

@@ -219,6 +219,25 @@ def test_full_leaves_are_parsed_deeper(spark, monkeypatch):
     assert len(got) == 15 and len(set(got.values())) == 15  # five lines below each a b c x: deeper still
 
 
+def test_templates_are_the_same_at_any_leaf_size(spark, monkeypatch):
+    """Also where the variable word is early, and where templates chain."""
+    r = random.Random(41)
+    lines = {f"Posted by user {w} in the forum" for w in prose(42, 60).split()}
+    lines |= {" ".join(["a", "b", "c"] + [r.choice("xyz") for _ in range(r.choice((4, 7)))]) for _ in range(150)}
+    lines |= {f"a b c {w}" for w in "pqrstuvw"}
+    lines = [(f"{len(x.split())}{x[:5]}", x) for x in sorted(lines)]
+    leaf = {name: k for k, name in enumerate(sorted({name for name, _ in lines}))}
+    rows = spark.createDataFrame([(leaf[name], k, x, 1 + k % 3) for k, (name, x) in enumerate(lines)],
+                                 "leaf long, line long, masked string, n_texts long")
+    told = []
+    for size in (2048, 50, 7):
+        monkeypatch.setattr(line_templates, "LEAF_LINES", size)
+        told.append(sorted(tuple(x) for x in line_templates.templates_of(rows).collect()))
+    assert told[0] == told[1] == told[2] and len(told[0]) == len(lines)
+    posted = {t for k, t, _ in told[2] if lines[k][1].startswith("Posted")}
+    assert len(posted) == 1 and len({t for _, t, _ in told[0]}) > 12
+
+
 # --- top-k search ---
 
 def plain_top(vectors, queries, k):
