@@ -9,14 +9,14 @@ the first ``LEAF_LINES`` lines without a template, every part compares its lines
 start, and the next round takes what is left. This gives the templates one task would find, at any ``LEAF_LINES``.
 
 A template is boilerplate, and all its lines are dropped, if it has ``MIN_CONSTANT`` constant tokens and
-recurs in ``MIN_DOCS`` distinct texts with different bodies, at least half as many as texts. A line's body
-is the smallest hash of the ``WINDOW``-byte windows in the other lines of its document: copies of one document, exact or
-edited, mostly share it, with the probability of their resemblance, unrelated documents do not. So
-copies do not make each other's lines boilerplate (near-duplicate removal is there for them), and a document
-of a single line keeps it.
-
-The texts are read twice: for 64-bit keys of all lines, then for the words of those lines whose
-leaf recurs; a fixed-size bitmap (``BITMAP`` bits, whatever the input) tells the second pass which they are,
+recurs in ``MIN_DOCS`` texts of which no two are copies, however many copies each has. Two texts are copies, exact or edited,
+if their other lines (all but those equal to the template's line) resemble each other by ``COPIES`` or more; the resemblance
+of the sets of their ``WINDOW``-byte windows is estimated from sketches of ``BUCKETS`` values. So
+copies do not make each other's lines boilerplate (near-duplicate removal is there for them), while a block of several
+lines goes as long as it is not most of the text; and a document of a single line keeps it.
+
+The texts are read twice: for 64-bit keys of all leaves, then for the lines whose
+leaf recurs, with their words and sketches; a fixed-size bitmap (``BITMAP`` bits, whatever the input) tells the second pass which they are,
 and an exact join follows.
 
 Cases: null and empty texts have no lines; white-space lines are never dropped; a document that loses
@@ -44,10 +44,12 @@ LEAF_LINES = 2048
 BITMAP = 1 << 23
 SALTS = 32
 WINDOW = 24
+BUCKETS = 128
+COPIES = 0.6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"[0-9]")
-_LINES = "t1 long, t2 long, line_no int, leaf long, line long, body long"
+_LINES = "t1 long, t2 long, line_no int, leaf long, line long, masked string, sketch binary"
 
 
 def parse(line: str) -> list[str]:
@@ -87,37 +89,53 @@ def window_hashes(raw: bytes) -> np.ndarray:
     return h
 
 
-def bodies(text: str, lines: list[tuple[int, int, int, str]]) -> list[int]:
-    """For each line the smallest window hash of its document's other lines (0: there are none)."""
-    if len(lines) < 2:
-        return [0] * len(lines)
+def sketches(text: str, lines: list[tuple[int, int, int, str]]) -> dict[int, bytes | None]:
+    """For each line key a sketch of the document without the lines of that key (None: nothing is left).
+
+    The window hashes fall into ``BUCKETS`` by their first bits; a byte tells each bucket's smallest (0: it is empty).
+    """
+    keys = [line[2] for line in lines]
+    if len(set(keys)) < 2:
+        return dict.fromkeys(keys)
     raw = text.encode("utf-8")
     starts = np.append(0, np.flatnonzero(np.frombuffer(raw, np.uint8) == 10) + 1)
-    least = np.minimum.reduceat(window_hashes(raw), starts)[[line[0] for line in lines]]
-    first, second = np.argsort(least, kind="stable")[:2]
-    out = [int(least[first])] * len(lines)
-    out[first] = int(least[second])
-    return out
+    numbers = {k: n for n, k in enumerate(dict.fromkeys(keys))}
+    owner = np.full(len(starts), -1)
+    owner[[line[0] for line in lines]] = [numbers[k] for k in keys]
+    h = window_hashes(raw)[:-1]
+    owner = np.repeat(owner, np.diff(np.append(starts, len(raw) + 1)))[:-1]
+    h, owner = h[owner >= 0], owner[owner >= 0]
+    order = np.argsort(h)
+    h, owner = h[order], owner[order]
+    bucket = (h // np.uint64(2**64 // BUCKETS)).astype(np.int64)
+    told = ((h & np.uint64(0xFFFF)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    least, whose = np.zeros(BUCKETS, np.uint8), np.full(BUCKETS, -1)
+    least[bucket[first]], whose[bucket[first]] = told[first], owner[first]
+    # the smallest of the bucket's other lines stands in for a line that holds its smallest
+    others = np.flatnonzero(owner != whose[bucket])
+    second = others[np.flatnonzero(np.diff(bucket[others], prepend=-1))]
+    spare = np.zeros(BUCKETS, np.uint8)
+    spare[bucket[second]] = told[second]
+    return {k: np.where(whose == n, spare, least).tobytes() for k, n in numbers.items()}
+
+
+def resemblance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated resemblance for each row of two matrices of sketches."""
+    return ((a == b) & (a > 0)).sum(axis=1) / np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
 
 
 def _signed(values: list[int]) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
-def _line_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _leaf_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        size, no, leaf, line, body = [], [], [], [], []
-        for text in f["text"]:
-            found = parsed_lines(text)
-            size.append(len(found))
-            body += bodies(text, found)
-            for a, b, c, _ in found:
-                no.append(a)
-                leaf.append(b)
-                line.append(c)
+        found = [sorted({line[1] for line in parsed_lines(text)}) for text in f["text"]]
+        size = [len(x) for x in found]
         yield pd.DataFrame({
             "t1": np.repeat(f["t1"].to_numpy(np.int64), size), "t2": np.repeat(f["t2"].to_numpy(np.int64), size),
-            "line_no": np.array(no, np.int32), "leaf": _signed(leaf), "line": _signed(line), "body": _signed(body)})
+            "leaf": _signed([k for x in found for k in x])})
 
 
 def bitmap_of(leaves: DataFrame) -> np.ndarray:
@@ -130,22 +148,27 @@ def bitmap_of(leaves: DataFrame) -> np.ndarray:
 
 
 def _wanted_lines(texts: DataFrame, leaves: DataFrame) -> DataFrame:
-    """leaf, line, masked of lines in ``leaves`` (and a few others), each once per task."""
+    """The lines in ``leaves`` (and a few others) with sketches; equal texts and equal lines' words once per batch."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap_of(leaves))
 
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(shared.value.view(np.uint8), bitorder="little")
         for f in frames:
-            rows = {}
-            for text in f["text"]:
-                for _, leaf, line, masked in parsed_lines(text):
-                    if bits[leaf % BITMAP]:
-                        rows[leaf, line] = masked
+            rows, said = [], set()
+            for t1, t2, text in f.drop_duplicates(["t1", "t2"])[["t1", "t2", "text"]].itertuples(index=False):
+                found = parsed_lines(text)
+                wanted = [x for x in found if bits[x[1] % BITMAP]]
+                sketch = sketches(text, found) if wanted else {}
+                for no, leaf, line, masked in wanted:
+                    rows.append((t1, t2, no, leaf, line, None if (leaf, line) in said else masked, sketch[line]))
+                    said.add((leaf, line))
             if rows:
-                yield pd.DataFrame({"leaf": _signed([k[0] for k in rows]), "line": _signed([k[1] for k in rows]),
-                                    "masked": list(rows.values())})
+                t1, t2, no, leaf, line, masked, sketch = zip(*rows)
+                yield pd.DataFrame({
+                    "t1": np.array(t1, np.int64), "t2": np.array(t2, np.int64), "line_no": np.array(no, np.int32),
+                    "leaf": _signed(leaf), "line": _signed(line), "masked": masked, "sketch": sketch})
 
-    return texts.select("text").mapInPandas(pick, "leaf long, line long, masked string")
+    return texts.mapInPandas(pick, _LINES)
 
 
 def _token_ids(*texts: list[str]) -> list[np.ndarray]:
@@ -258,29 +281,51 @@ def templates_of(lines: DataFrame) -> DataFrame:
         F.size(F.filter(F.split("told", " "), lambda t: t != VARIABLE)).alias("constants"))
 
 
+def _unlike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        if len(f):
+            a, b = (np.frombuffer(b"".join(f[c]), np.uint8).reshape(-1, BUCKETS) for c in ("sketch", "leader"))
+            yield f.loc[resemblance(a, b) < COPIES, ["template", "t1", "t2", "sketch"]]
+
+
+def _salted(templates: DataFrame) -> DataFrame:
+    """Each row for every salt: a common template's lines are dealt over SALTS tasks."""
+    return templates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+
+
+def spread_templates(votes: DataFrame) -> DataFrame:
+    """template: those with ``MIN_DOCS`` texts of which no two are copies (votes: template, t1, t2, sketch).
+
+    The first text leads; those unlike it stay, the first of them leads, and so on.
+    """
+    for _ in range(MIN_DOCS - 1):
+        leader = votes.groupBy("template").agg(F.min_by("sketch", F.struct("t1", "t2")).alias("leader"))
+        votes = written(
+            votes.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int")).join(_salted(leader), ["template", "salt"])
+            .select("template", "t1", "t2", "sketch", "leader")
+            .mapInPandas(_unlike, "template long, t1 long, t2 long, sketch binary"), "unlike")
+    return votes.select("template").distinct()
+
+
 def boilerplate(texts: DataFrame) -> DataFrame:
     """t1, t2, line_no of all lines to drop from ``texts`` (t1, t2: the text's key, text)."""
-    keys = written(texts.mapInPandas(_line_keys, _LINES), "line-keys")
+    keys = texts.mapInPandas(_leaf_keys, "t1 long, t2 long, leaf long")
     recurring = keys.groupBy("leaf", "t1", "t2").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(
         F.col("count") >= MIN_DOCS)
     leaves = written(recurring.select("leaf"), "leaves")
-    known = written(keys.join(leaves, "leaf", "left_semi"), "candidates")
+    known = written(_wanted_lines(texts, leaves).join(leaves, "leaf", "left_semi"), "candidates")
     texts_of = known.groupBy("line", "t1", "t2").agg(F.lit(1).alias("one")).groupBy("line").agg(
         F.count("*").alias("n_texts"))
-    said = _wanted_lines(texts, leaves).groupBy("leaf", "line").agg(F.min("masked").alias("masked"))
+    said = known.where(F.col("masked").isNotNull()).groupBy("leaf", "line").agg(F.min("masked").alias("masked"))
     told = written(templates_of(written(said.join(texts_of, "line"), "said")), "templates")
-    found = written(known.join(told.where(F.col("constants") >= MIN_CONSTANT), "line").select(
-        "t1", "t2", "line_no", "template", "body"), "found")
-    n_texts = found.groupBy("template", "t1", "t2").agg(F.lit(1).alias("one")).groupBy("template").agg(
-        F.count("*").alias("n_texts"))
-    n_bodies = found.where("body <> 0").groupBy("template", "body").agg(F.lit(1).alias("one")).groupBy("template").agg(
-        F.count("*").alias("n_bodies"))
-    dropped = n_texts.join(n_bodies, "template").where(
-        (F.col("n_texts") >= MIN_DOCS) & (F.col("n_bodies") >= MIN_DOCS) & (2 * F.col("n_bodies") >= F.col("n_texts")))
-    # a common template's lines are dealt over SALTS tasks
-    salts = dropped.select("template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    lines = found.where("body <> 0").withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int"))
-    return lines.join(salts, ["template", "salt"], "left_semi").select("t1", "t2", "line_no")
+    # a document without other lines keeps its own
+    found = written(known.where(F.col("sketch").isNotNull()).join(
+        told.where(F.col("constants") >= MIN_CONSTANT), "line").select(
+        "t1", "t2", "line_no", "template", "sketch"), "found")
+    votes = found.groupBy("template", "t1", "t2").agg(F.min_by("sketch", "line_no").alias("sketch"))
+    lines = found.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int"))
+    return lines.join(_salted(spread_templates(votes)), ["template", "salt"], "left_semi").select(
+        "t1", "t2", "line_no").distinct()
 
 
 def text_key(text: Column) -> list[Column]:

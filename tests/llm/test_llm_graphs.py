@@ -238,6 +238,19 @@ def test_templates_are_the_same_at_any_leaf_size(spark, monkeypatch):
     assert len(posted) == 1 and len({t for _, t, _ in told[0]}) > 12
 
 
+def test_blocks_of_lines_go_from_unrelated_documents(spark):
+    """Header and footer lines of half and of two thirds of the text, whichever window hash is smallest."""
+    texts, expected = [], []
+    for block in range(12):
+        header = [f"{prose(1000 + 10 * block + k, 12 if block % 2 else 24)} block" for k in range(4)]
+        for k in range(6):
+            own = prose(2000 + 10 * block + k, 48)
+            texts.append("\n".join(header[:2] + [own] + header[2:]))
+            expected.append("0,1,3,4")
+    got = {x.doc_id: x.dropped for x in line_templates.line_report(frame(spark, texts, list(range(len(texts))))).collect()}
+    assert [got[k] for k in range(len(texts))] == expected
+
+
 # --- top-k search ---
 
 def plain_top(vectors, queries, k):
