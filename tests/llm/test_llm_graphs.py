@@ -251,6 +251,21 @@ def test_blocks_of_lines_go_from_unrelated_documents(spark):
     assert [got[k] for k in range(len(texts))] == expected
 
 
+def test_a_large_copy_group_does_not_hide_a_footer(spark):
+    """A footer of unrelated documents goes from all of them and from 150 edited copies of one, whose lines stay."""
+    r, footer = random.Random(51), "Read the terms of use before you go on"
+    base = [prose(3000 + k, 40) for k in range(8)]
+    texts = [prose(3100 + k, 60) + "\n" + prose(3200 + k, 60) + "\n" + footer for k in range(20)]
+    for _ in range(150):
+        words = [line.split() for line in base]
+        for _ in range(3):
+            line = r.choice(words)
+            line[r.randrange(len(line))] = f"edit{chr(97 + r.randrange(26))}{chr(97 + r.randrange(26))}"
+        texts.append("\n".join([*(" ".join(w) for w in words), footer]))
+    got = {x.doc_id: x.dropped for x in line_templates.line_report(frame(spark, texts, list(range(170)))).collect()}
+    assert [got[k] for k in range(170)] == ["2"] * 20 + ["8"] * 150
+
+
 # --- top-k search ---
 
 def plain_top(vectors, queries, k):
