@@ -8,7 +8,7 @@ template; the positions at which they differ are variable, too. The lines of a l
 the first ``LEAF_LINES`` lines without a template, every part compares its lines with the templates these
 start, and the next round takes what is left. This gives the templates one task would find, at any ``LEAF_LINES``.
 
-A template is boilerplate, and all its lines are dropped, if it has ``MIN_CONSTANT`` constant tokens and
+A template is boilerplate, and all its lines are dropped, if it has no variable position or ``MIN_CONSTANT`` constant tokens and
 recurs in ``MIN_DOCS`` texts of which no two are copies, however many copies each has. Two texts are copies, exact or edited,
 if their other lines (all but those equal to the template's line) resemble each other by ``COPIES`` or more; the resemblance
 of the sets of their ``WINDOW``-byte windows is estimated from sketches of ``BUCKETS`` values. So
@@ -261,7 +261,7 @@ def _full_leaves(lines: DataFrame) -> DataFrame:
 
 
 def templates_of(lines: DataFrame) -> DataFrame:
-    """line, template (key), constants for distinct lines (leaf, line, masked, n_texts)."""
+    """line, template (key), constants, varies (has a variable) for distinct lines (leaf, line, masked, n_texts)."""
     tokens = F.size(F.split("masked", " "))
     alone = (tokens - 1) / tokens < SIMILAR  # similar to equal lines only
     longer = lines.where(~alone)
@@ -278,7 +278,8 @@ def templates_of(lines: DataFrame) -> DataFrame:
     told = told.unionByName(small.groupBy("leaf").applyInPandas(_small_leaf, "leaf long, line long, told string"))
     return told.select(
         "line", F.xxhash64("leaf", "told").alias("template"),
-        F.size(F.filter(F.split("told", " "), lambda t: t != VARIABLE)).alias("constants"))
+        F.size(F.filter(F.split("told", " "), lambda t: t != VARIABLE)).alias("constants"),
+        F.array_contains(F.split("told", " "), VARIABLE).alias("varies"))
 
 
 def _unlike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,7 +321,7 @@ def boilerplate(texts: DataFrame) -> DataFrame:
     told = written(templates_of(written(said.join(texts_of, "line"), "said")), "templates")
     # a document without other lines keeps its own
     found = written(known.where(F.col("sketch").isNotNull()).join(
-        told.where(F.col("constants") >= MIN_CONSTANT), "line").select(
+        told.where(~F.col("varies") | (F.col("constants") >= MIN_CONSTANT)), "line").select(
         "t1", "t2", "line_no", "template", "sketch"), "found")
     votes = found.groupBy("template", "t1", "t2").agg(F.min_by("sketch", "line_no").alias("sketch"))
     lines = found.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int"))

@@ -234,8 +234,8 @@ def test_templates_are_the_same_at_any_leaf_size(spark, monkeypatch):
         monkeypatch.setattr(line_templates, "LEAF_LINES", size)
         told.append(sorted(tuple(x) for x in line_templates.templates_of(rows).collect()))
     assert told[0] == told[1] == told[2] and len(told[0]) == len(lines)
-    posted = {t for k, t, _ in told[2] if lines[k][1].startswith("Posted")}
-    assert len(posted) == 1 and len({t for _, t, _ in told[0]}) > 12
+    posted = {t for k, t, *_ in told[2] if lines[k][1].startswith("Posted")}
+    assert len(posted) == 1 and len({t for _, t, *_ in told[0]}) > 12
 
 
 def test_blocks_of_lines_go_from_unrelated_documents(spark):
@@ -266,6 +266,13 @@ def test_a_large_copy_group_does_not_hide_a_footer(spark):
     assert [got[k] for k in range(170)] == ["2"] * 20 + ["8"] * 150
 
 
+def test_short_lines_without_variables_go(spark):
+    """One and two words that recur go; short lines with a variable word, and words in two texts only, stay."""
+    texts = [f"{prose(4000 + k, 30)}\nLes.\nAnd ornd.\nPage {k}" + ("\nTwice" if k < 2 else "") for k in range(6)]
+    got = {x.doc_id: x.dropped for x in line_templates.line_report(frame(spark, texts, list(range(6)))).collect()}
+    assert [got[k] for k in range(6)] == ["1,2"] * 6
+
+
 # --- top-k search ---
 
 def plain_top(vectors, queries, k):
