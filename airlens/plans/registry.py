@@ -459,7 +459,7 @@ LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerT
 
 # a store that already holds every day older than the newest week
 STORED_BEFORE_DAYS = 7
-# as many of the newest days are built one at a time
+# as many of the newest days are in the oracle of ``rebuild_day``, which builds all days
 REBUILT_DAYS = 2
 USER_SQL = """
 SELECT code_departement, count(*) AS nb_jours, max(indice_moyen) AS indice_max,
@@ -561,7 +561,7 @@ def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = set(partition_days(spark, air_root))
     tables = rebuild.run_all(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
     ingest.ingest_days(spark, i.raw_air, air_root)
-    for day in sorted(set(partition_days(spark, air_root)) - before)[-REBUILT_DAYS:]:
+    for day in sorted(set(partition_days(spark, air_root)) - before):
         tables = rebuild.run_day(spark, day, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES,
                                  gate=False)
     return flat(tables["mart_atmo_daily_departement"])
