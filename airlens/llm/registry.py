@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, chat_format, line_templates, minmax_dedup, mixing, pii_bootstrap, quality_bands, topk_blocks, toxicity,
-    url_cascade,
+    bpe, chat_format, collocations, line_templates, minmax_dedup, mixing, pii_bootstrap, pivot_links, quality_bands,
+    topk_blocks, toxicity, turn_repair, url_cascade,
 )
 from .common import read_table
 
@@ -62,6 +62,18 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_pivot_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_links.linked_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_report(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -73,6 +85,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_bands": op9_quality_bands,
     "op10_line_templates": op10_line_templates,
+    "op11_pivot_links": op11_pivot_links,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -80,4 +95,6 @@ ORACLE: dict[str, str] = {
     "op4_topk_blocks": topk_blocks.ORACLE_SQL,
     "op5_url_cascade": url_cascade.ORACLE_SQL,
     "op8_chat_format": chat_format.ORACLE_SQL,
+    "op11_pivot_links": pivot_links.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }
