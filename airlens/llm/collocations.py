@@ -35,7 +35,7 @@ from .common import whole, written
 SUPPORT = 100
 LONGEST = 5
 BEST = 2000
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 CHUNK_WORDS = 1 << 18
 BITMAP_BITS = 1 << 28
 BITS_A_CANDIDATE = 64
@@ -121,19 +121,20 @@ class Shard:
     """The words of a shard as hashes in order, and how many words follow in each word's piece."""
 
     def __init__(self, words: list, codes: list):
-        self.names, hashes = [], []
-        for own, code in zip(words, codes):
-            own = np.array([b"", *own], object)
-            code = np.frombuffer(code, _kind(len(own))).astype(np.int64)
-            known = pd.util.hash_array(own, categorize=False)
-            known[0] = 0
-            hashes.append(known[code])
-            self.names.append((own, code))
-        self.hash = np.concatenate(hashes)
-        word = np.concatenate([code > 0 for _, code in self.names])
-        place = np.arange(len(word))
-        ends = np.where(word, len(word), place)
-        self.left = np.minimum.accumulate(ends[::-1])[::-1] - place     # words up to the end of the piece
+        self.names = [(own, np.frombuffer(code, _kind(len(own) + 1))) for own, code in zip(words, codes)]
+        size = sum(len(code) for _, code in self.names)
+        self.hash, self.left = np.empty(size, np.uint64), np.empty(size, np.int32)
+        start = 0
+        for own, code in self.names:
+            known = np.zeros(len(own) + 1, np.uint64)
+            known[1:] = pd.util.hash_array(np.array(list(own), object), categorize=False)
+            end = start + len(code)
+            self.hash[start:end] = known[code]
+            # a chunk ends with a piece: words up to the end of the piece
+            place = np.arange(len(code), dtype=np.int32)
+            ends = np.where(code > 0, np.int32(len(code)), place)
+            self.left[start:end] = np.minimum.accumulate(ends[::-1])[::-1] - place
+            start = end
 
     def places(self, length: int) -> np.ndarray:
         return np.flatnonzero(self.left >= length)
@@ -156,8 +157,20 @@ class Shard:
         return out
 
     def spelled(self, length: int, at: np.ndarray) -> list[bytes]:
-        words = np.concatenate([own[code] for own, code in self.names])
-        return [b" ".join(words[k:k + length]) for k in at]
+        ends = np.cumsum([len(code) for _, code in self.names])
+        out = []
+        for k, chunk in zip(at, np.searchsorted(ends, at, side="right")):
+            own, code = self.names[chunk]
+            k -= ends[chunk] - len(code)
+            out.append(b" ".join([own[c - 1] for c in code[k:k + length]]))
+        return out
+
+
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` are among the sorted ``known``?"""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 class Bits:
@@ -196,9 +209,10 @@ def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> pd.D
                 known = shard.marked(before[shorter.holds(shard.phrases(length - 1, before))])
             at = shard.extending(length, known)
         h = shard.phrases(length, at)
-        found, which, n = np.unique(h, return_inverse=True, return_counts=True)
-        known = shard.marked(at[(n >= least)[which]])
+        found, n = np.unique(h, return_counts=True)
         found, n = found[n >= least], n[n >= least]
+        if length + 1 in lengths:
+            known = shard.marked(at[_is_in(h, found)])
         out.append(pd.DataFrame({"length": np.full(len(n), length), "hash": found.view(np.int64), "more": n - (least - 1)}))
     return pd.concat(out)
 
