@@ -5,7 +5,7 @@ piece ends), dealt into shards of about ``SHARD_WORDS`` words. A shard with the
 words mines completely at the support ceil(SUPPORT * w): a phrase that is frequent in the whole reaches its proportional
 support in at least one shard. Mining goes by length: words and pairs first, then 3, 4 and 5
 words, each only where both parts that are one word shorter are still candidates. After each length the shards' reports
-are put together: a shard that is silent on a phrase holds at most its support less one of it, so a
+(ordered hashes and counts, packed by ranges of the hash) are put together range by range: a shard that is silent on a phrase holds at most its support less one of it, so a
 phrase whose reported and possible silent occurrences stay below SUPPORT is no candidate anywhere; each shard gets back the
 candidates among its own reports. Where shards are so many that their support is one, reports
 are complete counts and nothing but frequent phrases goes on to the next length.
@@ -37,6 +37,7 @@ LONGEST = 5
 BEST = 2000
 SHARD_WORDS = 1 << 21
 CHUNK_WORDS = 1 << 18
+BUCKET_WORDS = 1 << 24
 BITMAP_BITS = 1 << 28
 BITS_A_CANDIDATE = 64
 CHUNKS = "lang string, words array<binary>, codes binary, n long"
@@ -196,10 +197,10 @@ class Bits:
         return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> pd.DataFrame:
-    """length, hash, more: the phrases of ``lengths`` with at least ``least`` occurrences; ``more`` is what they have
-    beyond ``least`` - 1. ``shorter`` holds the candidates that are one word shorter than the first length."""
-    out, known = [], None
+def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, hashes in order, more) of the phrases of ``lengths`` with at least ``least`` occurrences; ``more`` is what
+    they have beyond ``least`` - 1. ``shorter`` holds the candidates that are one word shorter than the first length."""
+    known = None
     for length in lengths:
         if length == 1:
             at = shard.places(1)
@@ -211,10 +212,29 @@ def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> pd.D
         h = shard.phrases(length, at)
         found, n = np.unique(h, return_counts=True)
         found, n = found[n >= least], n[n >= least]
-        if length + 1 in lengths:
-            known = shard.marked(at[_is_in(h, found)])
-        out.append(pd.DataFrame({"length": np.full(len(n), length), "hash": found.view(np.int64), "more": n - (least - 1)}))
-    return pd.concat(out)
+        known = shard.marked(at[_is_in(h, found)]) if length + 1 in lengths else None
+        yield length, found, n - (least - 1)
+
+
+def in_buckets(hashes: np.ndarray, more: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, hashes, more) of the ranges of ordered hashes, as bytes; empty ranges are left out."""
+    width = np.uint64(2**64 // buckets)
+    ends = np.searchsorted(hashes, np.arange(1, buckets, dtype=np.uint64) * width)
+    for k, (a, b) in enumerate(zip(np.r_[0, ends], np.r_[ends, len(hashes)])):
+        if a < b:
+            yield k, hashes[a:b].tobytes(), more[a:b].astype(np.int64).tobytes()
+
+
+def merged(key: tuple, rows: pd.DataFrame, support: int) -> pd.DataFrame:
+    """length, hash of the phrases of a bucket that can be frequent: reported, and possibly silent, occurrences."""
+    hashes = np.concatenate([np.frombuffer(b, np.uint64) for b in rows["hashes"]])
+    more = np.concatenate([np.frombuffer(b, np.int64) for b in rows["more"]])
+    order = np.argsort(hashes, kind="stable")
+    hashes, more = hashes[order], more[order]
+    first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    held = np.add.reduceat(more, first) + int(rows["silent"].iat[0]) >= support
+    found = hashes[first][held]
+    return pd.DataFrame({"length": np.full(len(found), key[1], np.int32), "hash": found.view(np.int64)})
 
 
 def counted(shard: Shard, candidates: list[Bits], longest: int) -> pd.DataFrame:
@@ -257,17 +277,20 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
     # what silent shards can hold of a phrase; below the support by itself
     silent = written(shards.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("silent")), "silent")
 
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = 1 << max(4, (words // BUCKET_WORDS).bit_length())
+
     def candidates(lengths: range, shorter) -> DataFrame:
         def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for lang_, words, codes, least in _rows(frames, "lang", "words", "codes", "least"):
-                out = mine(Shard(words, codes), lengths, int(least), shorter.value if shorter else None)
-                out.insert(0, "lang", lang_)
-                yield out
-
-        told = shards.mapInPandas(report, "lang string, length int, hash long, more long")
-        sums = told.groupBy("lang", "length", "hash").agg(F.sum("more").alias("more"))
-        return written(sums.join(F.broadcast(silent), "lang").where(F.col("more") + F.col("silent") >= support)
-                       .select("length", "hash"), "candidates")
+            for lang_, words_, codes, least in _rows(frames, "lang", "words", "codes", "least"):
+                out = [(lang_, length, *part)
+                       for length, found, more in mine(Shard(words_, codes), lengths, int(least), shorter.value if shorter else None)
+                       for part in in_buckets(found, more, buckets)]
+                yield pd.DataFrame(out, columns=["lang", "length", "bucket", "hashes", "more"])
+
+        told = shards.mapInPandas(report, "lang string, length int, bucket long, hashes binary, more binary")
+        return written(told.join(F.broadcast(silent), "lang").groupBy("lang", "length", "bucket").applyInPandas(
+            lambda key, rows: merged(key, rows, support), "length int, hash long"), "candidates")
 
     known = []
     for lengths in [range(1, 3), *(range(k, k + 1) for k in range(3, longest + 1))]:
