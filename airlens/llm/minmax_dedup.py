@@ -7,15 +7,17 @@ hash evaluations give the same signature length, with less variance. Bands of
 ``ROWS`` values make a document's keys; at similarity 0.8 two documents share none of the
 32 keys with a probability below 5e-8.
 
-Documents with one set are one node, named by the smallest id. In each group of nodes with a
-common key all are compared with the smallest, on full sets; nodes that the confirmed links
+Documents with one set are one node, named by the smallest id. The smallest node of each group of nodes with a
+common key is the group's hub. Every node is compared, on full sets, with the smallest of its hubs; then, in groups
+that hold several components still, with the hubs of other components. Nodes that the confirmed links
 join already need no more, so large groups of copies cost one comparison for each member. Where a
-group still falls into several components, a link that does not touch the smallest could be missing: all
+group still falls into several components, a link that does not touch the hub could be missing: all
 nodes of such groups that overlap are joined by their full sets, across components, in blocks of
 about ``CELL_SHINGLES`` shingles. A task takes two blocks, finds common shingles through postings and
 returns links only, never pairs that fail.
 
-Cases: null and empty texts have an empty set and link with nothing; texts with fewer words than
+Cases: a text of any length is one set (its hashes are taken in chunks; memory holds the set once); of equal
+sizes or similarities nothing is chosen, the smallest id names a group; null and empty texts have an empty set and link with nothing; texts with fewer words than
 ``width`` have one shingle; rows that repeat an id are one document (its texts are linked through it); a null id links
 with nothing and is its own, null component; an empty table gives an empty result; extra columns are
 not read.
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import WORD, ranges, roughly_in, whole, written
+from .graph import components
 
 PERMUTATIONS = 64
 ROWS = 4
@@ -183,13 +186,13 @@ def links_in_cell(node: np.ndarray, component: np.ndarray, block: np.ndarray, se
 def links_across(open_: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between components among the nodes of groups (key, node, n, component) that hold several.
 
-    Groups that share nodes form one cluster, so that each node's set is there once for each of the
-    cluster's blocks.
+    Groups that share components form one cluster, so that each node's set is there once for each of the
+    cluster's blocks; the clusters are found over components, not nodes.
     """
-    hubs = open_.groupBy("key").agg(F.min("node").alias("a"))
-    cluster = components(open_.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b"))).select(
-        "node", F.col("component").alias("cluster"))
-    nodes = open_.select("node", "n", "component").distinct().join(cluster, "node")
+    lowest = open_.groupBy("key").agg(F.min("component").alias("a"))
+    cluster = components(open_.select("key", "component").distinct().join(lowest, "key").select(
+        "a", F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    nodes = open_.select("node", "n", "component").distinct().join(cluster, "component")
     parts = nodes.groupBy("cluster").agg(
         F.greatest(F.ceil(F.sum("n") / CELL_SHINGLES), F.lit(1)).cast("int").alias("parts"))
     nodes = written(nodes.join(parts, "cluster").withColumn(
@@ -207,28 +210,17 @@ def links_across(open_: DataFrame, docs: DataFrame) -> DataFrame:
     return written(cells.groupBy("cluster", "low", "high").applyInPandas(cell, "a long, b long").distinct(), "links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, component (smallest node reachable) for every node of the undirected ``links`` (a, b).
+def still_open(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``groups`` whose key holds several components, with their own and their hub's."""
+    placed = written(groups.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                      F.min_by("component", "node").alias("of_hub")).where("low <> high")
+    return written(placed.join(split.select("key", "of_hub"), "key"), "open")
 
-    Each round takes the smallest label among the neighbours, then the label's own label; it ends when
-    nothing changes.
-    """
-    ends = written(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                   .where("a <> b").distinct(), "ends")
-    labels = written(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")),
-                     "labels")
-    while True:
-        near = ends.join(labels.withColumnsRenamed({"node": "b", "component": "label"}), "b").groupBy(
-            F.col("a").alias("node")).agg(F.min("label").alias("label"))
-        stepped = labels.join(near, "node").select(
-            "node", F.col("component").alias("old"), F.least("component", "label").alias("component"))
-        up = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        jumped = written(
-            stepped.join(up, "component", "left").select(
-                "node", "old", F.least("component", F.coalesce("above", "component")).alias("component")), "labels")
-        if jumped.where("component <> old").isEmpty():
-            return jumped.select("node", "component")
-        labels = jumped.select("node", "component")
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component after more links (a, b); what is joined already counts as one link for each node."""
+    return components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b").unionAll(links))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,22 +238,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     groups = written(keyed.join(hubs, "key").select("key", "node", "n", "hub", "members"), "groups")
     texts = d.withColumnRenamed("doc_id", "node")
 
+    # each node against the smallest of its groups' smallest only, then against those it is not joined with yet
     starred = groups.where(F.col("node") > F.col("hub.node")).where(sizes_allow(F.col("n"), F.col("hub.n")))
-    links = confirmed(starred.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), texts)
+    links = confirmed(starred.groupBy(F.col("node").alias("b")).agg(F.min("hub.node").alias("a")).select("a", "b"), texts)
     labels = components(links)
+    open_ = still_open(groups, labels)
+    rest = open_.where(F.col("component") != F.col("of_hub")).where(F.col("node") > F.col("hub.node")).where(
+        sizes_allow(F.col("n"), F.col("hub.n"))).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+    labels = joined(labels, confirmed(rest, texts))
 
     # groups that the links did not join; of two nodes, the pair has just been compared
-    placed = groups.where("members > 2").join(labels, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
-        "low <> high").select("key")
-    open_ = written(placed.join(split, "key", "left_semi").select("key", "node", "n", "component"), "open")
-    more = links_across(open_, texts)
+    more = links_across(still_open(groups.where("members > 2"), labels), texts)
 
     # an id with several texts is one document
     shared = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     again = own.join(shared.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
-    labels = components(links.unionAll(more).unionAll(again))
+    labels = joined(labels, more.unionAll(again))
     of_doc = own.join(labels, "node", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "node")).alias("component_id"))
     out = rows.join(of_doc, "doc_id", "left")
