@@ -4,7 +4,7 @@ A line is parsed as log parsers do: split at white space, tokens that hold a dig
 ``<*>``, and the line goes down a tree of fixed depth, by its number of tokens and its first
 ``DEPTH`` tokens. In a leaf, lines whose tokens agree at ``SIMILAR`` of the positions or more share a
 template; the positions at which they differ are variable, too. The lines of a leaf that holds more than
-``LEAF_LINES`` distinct ones are dealt over parts of that size, and templates start in rounds: one task takes
+``LEAF_LINES`` distinct ones (fewer, if these have more than ``LEAF_TOKENS`` tokens) are dealt over parts of that size, and templates start in rounds: one task takes
 the first ``LEAF_LINES`` lines without a template, every part compares its lines with the templates these
 start, and the next round takes what is left. This gives the templates one task would find, at any ``LEAF_LINES``.
 
@@ -41,6 +41,7 @@ SIMILAR = 0.8
 MIN_DOCS = 3
 MIN_CONSTANT = 3
 LEAF_LINES = 2048
+LEAF_TOKENS = 1 << 19
 BITMAP = 1 << 23
 SALTS = 32
 WINDOW = 24
@@ -174,7 +175,7 @@ def _wanted_lines(texts: DataFrame, leaves: DataFrame) -> DataFrame:
 def _token_ids(*texts: list[str]) -> list[np.ndarray]:
     """A matrix of token numbers for each list of lines (all with as many tokens)."""
     words: dict[str, int] = {}
-    return [np.array([[words.setdefault(t, len(words)) for t in line.split(" ")] for line in lines], np.int64)
+    return [np.array([[words.setdefault(t, len(words)) for t in line.split(" ")] for line in lines], np.int32)
             for lines in texts]
 
 
@@ -232,23 +233,30 @@ def _near_seeds(lines: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
     return lines.assign(seed=seed, vary=vary)
 
 
+def part_lines(tokens: Column) -> Column:
+    """How many lines of so many tokens a task may hold."""
+    return F.greatest(F.lit(1), F.least(F.lit(LEAF_LINES), F.expr(f"{LEAF_TOKENS}L") / tokens)).cast("long")
+
+
 def _full_leaves(lines: DataFrame) -> DataFrame:
-    """leaf, line, told of leaves with more than ``LEAF_LINES`` lines; no task holds more than that of a leaf."""
+    """leaf, line, told of leaves with more than ``part_lines`` lines; no task holds more than that of a leaf."""
     # places follow the order of the leaf's lines; a part is a run of places
     left = written(lines.orderBy("leaf", F.desc("n_texts"), "masked").withColumn(
-        "place", F.monotonically_increasing_id()), "places").select(
-        "leaf", F.expr(f"place div {LEAF_LINES}").alias("part"), "place", "line", "masked")
-    schema, done = "leaf long, part long, place long, line long, masked string, seed long, vary array<int>", None
+        "place", F.monotonically_increasing_id()), "places").withColumn(
+        "size", part_lines(F.size(F.split("masked", " ")))).select(
+        "leaf", F.expr("place div size").alias("part"), "size", "place", "line", "masked")
+    schema = "leaf long, part long, size long, place long, line long, masked string, seed long, vary array<int>"
+    done = None
     while not left.isEmpty():
-        parts = written(left.groupBy("leaf", "part").count().withColumn(
+        parts = written(left.groupBy("leaf", "part", "size").count().withColumn(
             "upto", F.sum("count").over(Window.partitionBy("leaf").orderBy("part"))), "parts")
-        front = parts.where(F.col("upto") <= LEAF_LINES).select("leaf", "part")
+        front = parts.where(F.col("upto") <= F.col("size")).select("leaf", "part")
         seeds = written(left.join(front, ["leaf", "part"], "left_semi").groupBy("leaf").applyInPandas(
             _seeds, "leaf long, seed long, said string"), "seeds")
         dealt = parts.select("leaf", "part").join(seeds, "leaf")
         near = written(left.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part")).applyInPandas(
             _near_seeds, schema), "near")
-        left = near.where("seed < 0").select("leaf", "part", "place", "line", "masked")
+        left = near.where("seed < 0").select("leaf", "part", "size", "place", "line", "masked")
         near = near.where("seed >= 0")
         done = near if done is None else done.unionByName(near)
     vary = done.select("leaf", "seed", F.explode("vary").alias("at")).distinct().groupBy("leaf", "seed").agg(
@@ -265,7 +273,8 @@ def templates_of(lines: DataFrame) -> DataFrame:
     tokens = F.size(F.split("masked", " "))
     alone = (tokens - 1) / tokens < SIMILAR  # similar to equal lines only
     longer = lines.where(~alone)
-    full = written(longer.groupBy("leaf").count().where(F.col("count") > LEAF_LINES).select("leaf"), "full")
+    full = written(longer.groupBy("leaf").agg(F.count("*").alias("n"), F.max(tokens).alias("tokens")).where(
+        F.col("n") > part_lines(F.col("tokens"))).select("leaf"), "full")
     told = lines.where(alone).select("leaf", "line", F.col("masked").alias("told"))
     if full.isEmpty():
         small = longer
@@ -282,11 +291,16 @@ def templates_of(lines: DataFrame) -> DataFrame:
         F.array_contains(F.split("told", " "), VARIABLE).alias("varies"))
 
 
-def _unlike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _least_alike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each batch the text of a template that is least like its leaders (the likest of them counts)."""
     for f in frames:
         if len(f):
-            a, b = (np.frombuffer(b"".join(f[c]), np.uint8).reshape(-1, BUCKETS) for c in ("sketch", "leader"))
-            yield f.loc[resemblance(a, b) < COPIES, ["template", "t1", "t2", "sketch"]]
+            x = np.frombuffer(b"".join(f["sketch"]), np.uint8).reshape(-1, BUCKETS)
+            # the leaders of a row stand one behind the other
+            leaders = np.frombuffer(b"".join(f["leaders"]), np.uint8).reshape(len(f), -1, BUCKETS)
+            alike = np.max([resemblance(x, leaders[:, k]) for k in range(leaders.shape[1])], axis=0)
+            found = f[["template", "sketch"]].assign(alike=alike).sort_values(["template", "alike", "sketch"])
+            yield found.drop_duplicates("template")[["template", "alike", "sketch"]]
 
 
 def _salted(templates: DataFrame) -> DataFrame:
@@ -295,17 +309,24 @@ def _salted(templates: DataFrame) -> DataFrame:
 
 
 def spread_templates(votes: DataFrame) -> DataFrame:
-    """template: those with ``MIN_DOCS`` texts of which no two are copies (votes: template, t1, t2, sketch).
+    """template: those with ``MIN_DOCS`` texts of which no two are copies (votes: template, sketch).
 
-    The first text leads; those unlike it stay, the first of them leads, and so on.
+    The texts are taken farthest first: the one least like the text of the smallest sketch, then again the one least like those
+    taken (of equals, the smallest sketch), so what is found follows from the texts alone, in whatever order they come.
+    All that is taken has to be unlike; where ``MIN_DOCS`` texts lie twice as far apart as copies may, such are found.
     """
-    for _ in range(MIN_DOCS - 1):
-        leader = votes.groupBy("template").agg(F.min_by("sketch", F.struct("t1", "t2")).alias("leader"))
-        votes = written(
-            votes.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int")).join(_salted(leader), ["template", "salt"])
-            .select("template", "t1", "t2", "sketch", "leader")
-            .mapInPandas(_unlike, "template long, t1 long, t2 long, sketch binary"), "unlike")
-    return votes.select("template").distinct()
+    votes = votes.withColumn("salt", F.pmod(F.xxhash64("sketch"), F.lit(SALTS)).cast("int"))
+    leaders = votes.groupBy("template").agg(F.min("sketch").alias("leaders"))
+    for taken in range(MIN_DOCS):
+        dealt = votes.join(_salted(leaders), ["template", "salt"]).select("template", "sketch", "leaders")
+        least = dealt.mapInPandas(_least_alike, "template long, alike double, sketch binary").groupBy("template").agg(
+            F.min(F.struct("alike", "sketch")).alias("x"))
+        far = least if not taken else least.where(F.col("x.alike") < COPIES)
+        # the text of the smallest sketch only leads to the first one
+        leaders = far.select("template", F.col("x.sketch").alias("leaders")) if not taken else far.join(
+            leaders, "template").select("template", F.concat("leaders", "x.sketch").alias("leaders"))
+        leaders = written(leaders, "far")
+    return leaders.select("template")
 
 
 def boilerplate(texts: DataFrame) -> DataFrame:
@@ -323,7 +344,8 @@ def boilerplate(texts: DataFrame) -> DataFrame:
     found = written(known.where(F.col("sketch").isNotNull()).join(
         told.where(~F.col("varies") | (F.col("constants") >= MIN_CONSTANT)), "line").select(
         "t1", "t2", "line_no", "template", "sketch"), "found")
-    votes = found.groupBy("template", "t1", "t2").agg(F.min_by("sketch", "line_no").alias("sketch"))
+    votes = written(found.groupBy("template", "t1", "t2").agg(F.min_by("sketch", "line_no").alias("sketch"))
+                    .select("template", "sketch"), "votes")
     lines = found.withColumn("salt", F.pmod("t1", F.lit(SALTS)).cast("int"))
     return lines.join(_salted(spread_templates(votes)), ["template", "salt"], "left_semi").select(
         "t1", "t2", "line_no").distinct()
