@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_PATTERN, groups, ranges, whole
+from .common import WORD_PATTERN, groups, ranges, whole, written
 
 #: Words as the model sees them: letters and digits, lower-cased.
 TOKEN = re.compile(r"[^\W_]+")
@@ -271,7 +271,9 @@ def score_report(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -
         seen.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * s.per_class)
         for k in (0, 1)
     ]
-    model = fit(d.join(F.broadcast(drawn[0].unionAll(drawn[1]).distinct()), "doc_id"), "text", "toxic", s)
+    # stored, so that words are counted in the sample alone and the documents are read once for it
+    sample = written(d.join(F.broadcast(drawn[0].unionAll(drawn[1]).distinct()), "doc_id"), "labelled")
+    model = fit(sample, "text", "toxic", s)
     return d.select(
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"),
         toxicity("text", model, docs.sparkSession).alias("score"),
