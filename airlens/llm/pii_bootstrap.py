@@ -12,7 +12,12 @@ tokens on both sides. Spark holds the graph of patterns and instances and scores
 After ``ROUNDS`` the instances that patterns alone score ``ACCEPT`` or more, in patterns of ``SUPPORT``
 distinct instances or more, are personal data wherever they occur, unless a base span covers them.
 
-Cases: null and empty texts have no spans; very long texts are read whole, in linear time; repeated rows
+The digits only open the search. The texts are read once more for the slots of the patterns that passed: any token there is a
+candidate then, of whatever letters, and a member of the pattern, so a slot that ordinary words fill, too, loses its
+confidence. What the patterns score ``ACCEPT`` or more with all their members is personal data in these slots. A bitmap of
+``SLOT_BITS`` bits tells which words may stand in front of a slot; an exact join follows.
+
+Cases: a token in slots of several kinds takes the best score, of equals the first kind; null and empty texts have no spans; very long texts are read whole, in linear time; repeated rows
 count as one instance in a pattern and all get their spans; an empty table gives an empty result; extra columns are
 not read.
 """
@@ -22,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -37,6 +43,7 @@ SUPPORT = 5
 ACCEPT = 0.7
 FAINT = 0.3
 CONTEXT = 64
+SLOT_BITS = 1 << 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -49,12 +56,18 @@ _TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _TOKEN = re.compile(r"[A-Za-z0-9@._%+:/-]*")
 _HEX = re.compile(r"(?=[^a-fA-F]*[a-fA-F])[0-9a-f]{32,}|(?=[^a-fA-F]*[a-fA-F])[0-9A-F]{32,}")
 _OPEN = "\"'([{<"
+_EDGE = "@._%+:/-"
+_SPACED = re.compile(r"\S+")
+_RUN = re.compile(r"[A-Za-z0-9@._%+:/-]+")
 
 _SPAN = StructType([StructField("start", IntegerType(), False), StructField("kind", IntegerType(), False),
                     StructField("end", IntegerType(), False)])
 _SEEN = StructType([StructField("start", IntegerType(), False), StructField("end", IntegerType(), False),
                     StructField("kind", IntegerType(), False), StructField("instance", LongType(), False),
-                    StructField("patterns", ArrayType(LongType(), False), False)])
+                    StructField("patterns", ArrayType(LongType(), False), False),
+                    StructField("word", LongType(), False)])
+_SLOT = StructType([StructField("start", IntegerType(), False), StructField("end", IntegerType(), False),
+                    StructField("instance", LongType(), False), StructField("patterns", ArrayType(LongType(), False), False)])
 FOUND = StructType([StructField("base", ArrayType(_SPAN, False), False),
                     StructField("seen", ArrayType(_SEEN, False), False)])
 
@@ -114,8 +127,8 @@ def identifiers(text: str) -> list[tuple[int, int]]:
             start -= 1
         done = _TOKEN.match(text, m.start()).end()
         token = text[start:done]
-        a = start + len(token) - len(token.lstrip("@._%+:/-"))
-        b = start + len(token.rstrip("@._%+:/-"))
+        a = start + len(token) - len(token.lstrip(_EDGE))
+        b = start + len(token.rstrip(_EDGE))
         if b - a >= 6 and sum("0" <= c <= "9" for c in text[a:b]) >= 3 and "://" not in token:
             out.append((a, b))
     return out
@@ -136,13 +149,20 @@ def contexts(text: str, start: int, end: int) -> list[int]:
     return [_key(f"{before[0]} {before[1]} {opening}_"), _key(f"{before[1]} {opening}_{' '.join(after)}")]
 
 
+def left_word(text: str, start: int) -> str:
+    """The word in front of a slot, as its patterns have it."""
+    bare = text[max(0, start - CONTEXT):start].rstrip(_OPEN)
+    return _DIGITS.sub("0", (bare.lower().split() or [""])[-1])
+
+
 def find(text: str) -> tuple[list, list]:
     """Base spans, and every seed and identifier-like token with its patterns."""
     base = base_spans(text)
     seen, covered = [], []
     for start, kind, end in base:
         covered.append((start, end))
-        seen.append((start, end, kind, _key(text[start:end].lower()), contexts(text, start, end)))
+        seen.append((start, end, kind, _key(text[start:end].lower()), contexts(text, start, end),
+                     _key(left_word(text, start))))
     covered.sort()
     k, reach = 0, 0
     for start, end in identifiers(text):
@@ -152,7 +172,8 @@ def find(text: str) -> tuple[list, list]:
         if reach > start:  # a base span covers a part of it
             continue
         kind = SECRET if _HEX.fullmatch(text, start, end) else -1
-        seen.append((start, end, kind, _key(text[start:end].lower()), contexts(text, start, end)))
+        seen.append((start, end, kind, _key(text[start:end].lower()), contexts(text, start, end),
+                     _key(left_word(text, start))))
     return base, seen
 
 
@@ -162,27 +183,109 @@ def _found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         rows = [find(t) for t in texts]
         yield pd.DataFrame({
             "base": [[dict(zip(("start", "kind", "end"), s)) for s in base] for base, _ in rows],
-            "seen": [[dict(zip(("start", "end", "kind", "instance", "patterns"), s)) for s in seen] for _, seen in rows],
+            "seen": [[dict(zip(("start", "end", "kind", "instance", "patterns", "word"), s)) for s in seen] for _, seen in rows],
         })
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """instance, kind, score by patterns alone, from distinct ``edges`` (instance, pattern, kind; -1: unknown)."""
+class Words:
+    """Which words may stand in front of a slot: the bit of each is looked up once."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.known = bits, {}
+
+    def __contains__(self, word: str) -> bool:
+        told = self.known.get(word)
+        if told is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            at = _key(word) % SLOT_BITS
+            told = self.known[word] = bool(self.bits[at >> 3] >> (at & 7) & 1)
+        return told
+
+
+def slots(text: str, before: Words) -> list[tuple]:
+    """(start, end, instance, patterns) of every token that follows one of the words, itself of whatever form."""
+    out, last = [], ""
+    for m in _SPACED.finditer(text):
+        word, start = m[0], m.start()
+        # the token at the beginning of the word, and those behind a sign within it
+        places = [start + len(word) - len(word.lstrip(_OPEN))] if last in before else []
+        if not _TOKEN.fullmatch(word):
+            places += [start + t.start() for t in _RUN.finditer(word) if t.start()]
+        for at in dict.fromkeys(places):
+            token = _TOKEN.match(text, at)[0]
+            a, b = at + len(token) - len(token.lstrip(_EDGE)), at + len(token.rstrip(_EDGE))
+            if a < b and "://" not in token and left_word(text, a) in before:
+                out.append((a, b, _key(text[a:b].lower()), contexts(text, a, b)))
+        last = _DIGITS.sub("0", word[-CONTEXT:].rstrip(_OPEN).lower())
+    return out
+
+
+def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(instance, kind, score by patterns alone) and (pattern, kind, held) of the patterns that passed in the last round, from
+    distinct ``edges`` (instance, pattern, kind; -1: unknown)."""
     edges = written(edges, "graph")
     members = edges.groupBy("pattern").agg(F.count("*").alias("members"))
     seeds = edges.where("kind >= 0").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    scores, told = seeds, None
+    scores, told, passed = seeds, None, None
     links = edges.select("instance", "pattern")
     for _ in range(rounds):
         held = links.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("held"))
-        confidence = held.join(members, "pattern").where(F.col("members") >= SUPPORT).select(
-            "pattern", "kind", (F.col("held") / (F.col("members") + SMOOTHING)).alias("confidence")).where(
-            F.col("confidence") >= FAINT)
-        told = written(
-            links.join(confidence, "pattern").groupBy("instance", "kind").agg(
-                (1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score")), "scores")
+        passed = written(held.join(members, "pattern").where(F.col("members") >= SUPPORT).select(
+            "pattern", "kind", "held", confidence(F.col("held"), F.col("members")).alias("confidence")).where(
+            F.col("confidence") >= FAINT), "confidence")
+        told = written(by_patterns(links.join(passed, "pattern")), "scores")
         scores = told.join(seeds.select("instance"), "instance", "left_anti").unionByName(seeds)
-    return told
+    return told, passed
+
+
+def confidence(held: Column, members: Column) -> Column:
+    return held / (members + SMOOTHING)
+
+
+def by_patterns(rows: DataFrame) -> DataFrame:
+    """instance, kind, score: the noisy-or of the confidences (instance, pattern, kind, confidence)."""
+    return rows.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"))
+
+
+def slot_words(words: DataFrame) -> np.ndarray:
+    """Bits of the words' keys (word); what reaches the driver is bounded by SLOT_BITS."""
+    at = F.pmod("word", F.lit(SLOT_BITS)) + 1
+    parts = words.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = np.zeros((SLOT_BITS >> 15, 4096), np.uint8)
+    for r in parts.toLocalIterator():
+        out[r["part"] - 1] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def discovered(texts: DataFrame, passed: DataFrame, words: DataFrame) -> DataFrame:
+    """row, start, end, kind, score of the tokens in slots of the ``passed`` patterns, of whatever form.
+
+    ``texts`` has row, text; ``words`` (word) the keys of the words in front of the slots. What the patterns held was
+    counted over identifiers; here every token in their slots is a member.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(slot_words(words))
+
+    @F.pandas_udf(ArrayType(_SLOT))
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        before = Words(shared.value)
+        for batch in batches:
+            yield pd.Series([[dict(zip(("start", "end", "instance", "patterns"), s)) for s in slots(t, before)]
+                             for t in batch], dtype=object)
+
+    seen = texts.select("row", F.explode(look("text")).alias("s")).select("row", "s.*")
+    seen = written(seen.withColumn("pattern", F.explode("patterns")).drop("patterns")
+                   .join(passed.select("pattern").distinct(), "pattern", "left_semi"), "slots")
+    links = seen.select("instance", "pattern").distinct()
+    members = links.groupBy("pattern").agg(F.count("*").alias("members"))
+    sure = passed.select("pattern", "kind", "held").join(members, "pattern").select(
+        "pattern", "kind", confidence(F.col("held"), F.greatest("members", F.ceil("held"))).alias("confidence")).where(
+        F.col("confidence") >= FAINT)
+    best = by_patterns(links.join(sure, "pattern")).where(F.col("score") >= ACCEPT)
+    # in these slots, not wherever the token occurs
+    found = seen.join(best, "instance").join(sure.select("pattern", "kind"), ["pattern", "kind"], "left_semi")
+    return found.select("row", "start", "end", "kind", "score")
 
 
 def _spans(spans: Column) -> Column:
@@ -193,18 +296,27 @@ def _spans(spans: Column) -> Column:
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added for each row."""
-    rows = written(
-        docs.select(F.col(key).alias("doc_id"), _found(whole(text)).alias("f")).select(
-            "doc_id", "f.*", F.monotonically_increasing_id().alias("row")), "spans")
+    # equal texts have equal spans, so a text's digest is its name in both passes
+    texts = docs.select(F.col(key).alias("doc_id"), whole(text).alias("text")).withColumn(
+        "row", F.unhex(F.md5(F.col("text").cast("binary"))))
+    rows = written(texts.select("doc_id", "row", _found("text").alias("f")).select("doc_id", "row", "f.*"), "spans")
     seen = rows.select("row", F.inline("seen"))
-    edges = seen.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("instance", "pattern").agg(
-        F.max("kind").alias("kind"))
-    scores = score_graph(edges).where(F.col("score") >= ACCEPT)
-    best = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best")).select(
-        "instance", (-F.col("best.kind")).cast("int").alias("best"))
-    unseen = seen.where(~F.col("kind").between(EMAIL, PHONE)).join(best, "instance")
-    added = written(unseen.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", F.col("best").alias("kind"), "end"))).alias("added")), "added")
+    sides = seen.select("instance", "kind", "word", F.explode("patterns").alias("pattern"))
+    edges = sides.groupBy("instance", "pattern").agg(F.max("kind").alias("kind"))
+    scores, passed = score_graph(edges)
+    words = sides.select("pattern", "word").join(passed.select("pattern").distinct(), "pattern", "left_semi").select(
+        "word").distinct()
+    best = scores.where(F.col("score") >= ACCEPT).groupBy("instance").agg(
+        F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
+    unseen = seen.where(~F.col("kind").between(EMAIL, PHONE)).join(best, "instance").select("row", "start", "end", "best")
+    more = discovered(texts.select("row", "text"), passed, words).select(
+        "row", "start", "end", F.struct("score", (-F.col("kind")).alias("kind")).alias("best"))
+    # each place once, with its best kind; places that a base span touches are told already
+    places = unseen.unionByName(more).groupBy("row", "start", "end").agg((-F.max("best")["kind"]).cast("int").alias("kind"))
+    free = places.join(rows.select("row", "base").dropDuplicates(["row"]), "row").where(~F.exists(
+        "base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
+    added = written(free.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("added")), "added")
     out = rows.drop("seen").join(added, "row", "left").withColumn(
         "added", F.coalesce("added", F.array().cast(ArrayType(_SPAN))))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
