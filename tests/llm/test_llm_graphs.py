@@ -5,7 +5,7 @@ import os
 import random
 import sys
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pandas as pd
@@ -105,62 +105,88 @@ def test_components_of_a_long_chain(spark):
 
 # --- line templates ---
 
-def least(text, number):
-    """Smallest hash of the 24-byte windows that start in a line (its line end counts)."""
+def window_numbers(text, number):
+    """Hashes of the 24-byte windows that start in a line (its line end counts; none at the end of the text)."""
     raw, lines = text.encode() + bytes(40), text.split("\n")
     start = sum(len(x.encode()) + 1 for x in lines[:number])
     odd, mask, out = 0x9E3779B97F4A7C15, 2**64 - 1, []
-    for at in range(start, start + len(lines[number].encode()) + 1):
+    for at in range(start, min(start + len(lines[number].encode()) + 1, len(text.encode()))):
         h = odd
         for k in (0, 8, 16):
             h = ((h ^ int.from_bytes(raw[at + k:at + k + 8], "little")) * odd) & mask
             h ^= h >> 29
-        out.append((h * odd) & mask if at < len(text.encode()) else mask)
-    return min(out)
+        out.append((h * odd) & mask)
+    return out
+
+
+def plain_sketch(windows):
+    """128 buckets by the first bits; of each the smallest window tells a byte, 0 where there is none."""
+    least = {}
+    for h in windows:
+        least[h >> 57] = min(least.get(h >> 57, h), h)
+    return bytes((least[b] & 0xFFFF) % 255 + 1 if b in least else 0 for b in range(128))
+
+
+def plain_resemblance(a, b):
+    return sum(x == y != 0 for x, y in zip(a, b)) / max(1, sum(x + y > 0 for x, y in zip(a, b)))
+
+
+def far_apart(sketches):
+    """Three texts, each the least like those before (the first: the least like the smallest sketch): no two copies?"""
+    taken = [min(sketches, key=lambda s: (plain_resemblance(s, min(sketches)), s))]
+    while len(taken) < 3:
+        near, found = min((max(plain_resemblance(s, t) for t in taken), s) for s in sketches)
+        if near >= 0.6:
+            return False
+        taken.append(found)
+    return True
 
 
 def plain_boilerplate(texts):
-    """Line numbers to drop for each text: every line against every other of its leaf."""
-    docs = sorted({t or "" for t in texts})
-    parsed = {}
-    for t in docs:
+    """Line numbers to drop for each text: every line against every other of its leaf, every text against every other."""
+    parsed, windows = {}, {}
+    for t in sorted({t or "" for t in texts}):
         rows = []
         for no, line in enumerate(t.split("\n")):
             tokens = ["<*>" if any("0" <= c <= "9" for c in w) else w for w in line.split()]
             if tokens:
                 rows.append((no, " ".join(tokens)))
         parsed[t] = rows
-    leaves, count = defaultdict(set), Counter()
+    leaves, count, leaf_texts = defaultdict(set), Counter(), defaultdict(set)
+    leaf_of = lambda line: (line.count(" "), tuple(line.split(" ")[:3]))
     for t, rows in parsed.items():
         for line in {line for _, line in rows}:
             count[line] += 1
-            w = line.split(" ")
-            leaves[len(w), tuple(w[:3])].add(line)
+            leaves[leaf_of(line)].add(line)
+            leaf_texts[leaf_of(line)].add(t)
     template = {}
     for leaf, lines in leaves.items():
+        if len(leaf_texts[leaf]) < 3:
+            continue
         todo = sorted(lines, key=lambda x: (-count[x], x))
         while todo:
             first = todo[0].split(" ")
             near = [x for x in todo if x == todo[0]
-                    or sum(a == b for a, b in zip(first, x.split(" "))) / len(first) >= line_templates.SIMILAR]
+                    or sum(a == b for a, b in zip(first, x.split(" "))) / len(first) >= 0.8]
             fixed = [t[0] if len(set(t)) == 1 else "<*>" for t in zip(*(x.split(" ") for x in near))]
             for x in near:
                 template[x] = (leaf, " ".join(fixed))
             todo = [x for x in todo if x not in near]
-    in_texts, in_bodies, body = defaultdict(set), defaultdict(set), {}
+    votes, where = defaultdict(dict), defaultdict(list)
     for t, rows in parsed.items():
-        for k, (no, line) in enumerate(rows):
-            others = [least(t, n) for j, (n, _) in enumerate(rows) if j != k]
-            body[t, no] = min(others) if others else None
-            in_texts[template[line]].add(t)
-            in_bodies[template[line]].add(body[t, no])
-    out = {}
-    for t, rows in parsed.items():
-        out[t] = [no for no, line in rows if body[t, no] is not None
-                  and sum(w != "<*>" for w in template[line][1].split(" ")) >= 3 and len(in_texts[template[line]]) >= 3
-                  and len(in_bodies[template[line]] - {None}) >= 3
-                  and 2 * len(in_bodies[template[line]] - {None}) >= len(in_texts[template[line]])]
-    return [out[t or ""] for t in texts]
+        for no, line in rows:
+            told = template.get(line, (None, "<*>"))[1].split(" ")
+            others = {n for n, other in rows if other != line}
+            if not others or "<*>" in told and sum(w != "<*>" for w in told) < 3:
+                continue
+            for n in others:
+                if (t, n) not in windows:
+                    windows[t, n] = window_numbers(t, n)
+            if t not in votes[template[line]]:      # the first such line of a text speaks for it
+                votes[template[line]][t] = plain_sketch([h for n in others for h in windows[t, n]])
+            where[template[line]].append((t, no))
+    gone = {x for key, sketch in votes.items() if far_apart(list(sketch.values())) for x in where[key]}
+    return [[no for no, _ in parsed[t or ""] if (t or "", no) in gone] for t in texts]
 
 
 def pages():
@@ -210,15 +236,6 @@ def test_edited_copies_keep_their_lines(spark):
     assert [got[k] for k in range(38)] == [0] * 30 + [2] * 8
 
 
-def test_full_leaves_are_parsed_deeper(spark, monkeypatch):
-    monkeypatch.setattr(line_templates, "LEAF_LINES", 4)
-    lines = [f"a b c {x} {y} tail end" for x in "pqr" for y in "stuvw"]
-    rows = spark.createDataFrame([(1, k, line, 1) for k, line in enumerate(lines)],
-                                 "leaf long, line long, masked string, n_texts long")
-    got = {r.line: r.template for r in line_templates.templates_of(rows).collect()}
-    assert len(got) == 15 and len(set(got.values())) == 15  # five lines below each a b c x: deeper still
-
-
 def test_templates_are_the_same_at_any_leaf_size(spark, monkeypatch):
     """Also where the variable word is early, and where templates chain."""
     r = random.Random(41)
@@ -238,6 +255,21 @@ def test_templates_are_the_same_at_any_leaf_size(spark, monkeypatch):
     assert len(posted) == 1 and len({t for _, t, *_ in told[0]}) > 12
 
 
+def test_three_unlike_texts_are_found_in_any_order(spark):
+    """A is like B, C and D, which are unlike each other: found whatever text comes first, and not without D."""
+    r = np.random.default_rng(7)
+    a = r.integers(1, 200, 128).astype(np.uint8)
+    other = [(0, 51), (43, 94), (77, 128)]
+    near = [np.where((np.arange(128) >= x) & (np.arange(128) < y), 201 + k, a).astype(np.uint8).tobytes()
+            for k, (x, y) in enumerate(other)]
+    assert all(plain_resemblance(a.tobytes(), x) >= 0.6 for x in near)
+    assert all(plain_resemblance(x, y) < 0.6 for x, y in combinations(near, 2))
+    rows = [(8 * k + j, bytearray(order[j])) for k, order in enumerate(permutations([a.tobytes(), *near])) for j in range(4)]
+    rows = [(n // 8, s) for n, s in rows] + [(99, bytearray(s)) for s in (a.tobytes(), *near[:2])]
+    got = line_templates.spread_templates(spark.createDataFrame(rows, "template long, sketch binary"))
+    assert sorted(x.template for x in got.collect()) == list(range(24))
+
+
 def test_blocks_of_lines_go_from_unrelated_documents(spark):
     """Header and footer lines of half and of two thirds of the text, whichever window hash is smallest."""
     texts, expected = [], []

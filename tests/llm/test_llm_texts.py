@@ -177,6 +177,49 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert pii_bootstrap.personal_data(docs.limit(0)).count() == 0
 
 
+def test_slots_of_sure_patterns_take_any_token(spark):
+    """Letter-only and short identifiers are found in a slot that secrets fill, not in one that words fill, too."""
+    secrets = [hashlib.sha256(str(k).encode()).hexdigest()[:40] for k in range(80)]
+    texts = [f'{prose(k, 20)} token = "{s}" {prose(k + 99, 10)}' for k, s in enumerate(secrets[:40])]
+    texts += [f"{prose(k, 20)} value is {s} {prose(k + 99, 10)}" for k, s in enumerate(secrets[40:])]
+    texts += [f"{prose(k, 10)} value is w{chr(97 + k % 26)}{chr(97 + k // 26)}q {prose(k + 7, 10)}" for k in range(200)]
+    planted = ["PLURAL-ALPHA-KEY", "ab-12-XYZ", "q7", "zz9-81-PLURAL-7"]
+    texts += [f'{prose(700 + k, 10)} (token = "{w}"), {prose(800 + k, 10)} {w}' for k, w in enumerate(planted)]
+    docs = frame(spark, texts + texts[:3], list(range(len(texts) + 3)))
+    got = {r.doc_id: r for r in pii_bootstrap.personal_data(docs).collect()}
+    for k, w in enumerate(planted):
+        text = texts[280 + k]
+        at = text.index(w)
+        assert f"secret:{at}:{at + len(w)}" in got[280 + k].spans.split(","), w
+    assert [got[k].n_added for k in range(40)] == [1] * 40 == [got[k].n_added for k in (len(texts), 1, 2)] + [1] * 37
+    assert sum(got[k].n_added for k in range(80, 280)) == 0
+
+
+def test_graph_scores_match_plain_rounds(spark):
+    r = random.Random(12)
+    kinds = {i: r.choice([-1, -1, 0, 4]) for i in range(40)}
+    edges = {(i, p): kinds[i] for i, p in ((r.randrange(40), r.randrange(9)) for _ in range(150))}
+    rows = spark.createDataFrame([(i, p, k) for (i, p), k in edges.items()], "instance long, pattern long, kind int")
+    scores, passed = pii_bootstrap.score_graph(rows)
+    members = {p: {i for i, q in edges if q == p} for _, p in edges}
+    seeds = {(i, k): 1.0 for (i, _), k in edges.items() if k >= 0}
+    seeded, now = {i for i, _ in seeds}, dict(seeds)
+    for _ in range(pii_bootstrap.ROUNDS):
+        sure = {}
+        for p, held in members.items():
+            for kind in (0, 4):
+                total = sum(now.get((i, kind), 0) for i in held)
+                if len(held) >= 5 and total / (len(held) + 1) >= 0.3:
+                    sure[p, kind] = total / (len(held) + 1)
+        told = {}
+        for (p, kind), c in sure.items():
+            for i in members[p]:
+                told[i, kind] = 1 - (1 - told.get((i, kind), 0)) * (1 - c)
+        now = {**{x: v for x, v in told.items() if x[0] not in seeded}, **seeds}
+    assert {(x.instance, x.kind): round(x.score, 9) for x in scores.collect()} == {x: round(v, 9) for x, v in told.items()}
+    assert {(x.pattern, x.kind): round(x.confidence, 9) for x in passed.collect()} == {x: round(v, 9) for x, v in sure.items()}
+
+
 # --- toxicity ---
 
 def toxic_docs(n, seed, words=("blargh", "vexitol")):
