@@ -69,6 +69,7 @@ def main(argv=None) -> int:
     from airlens.plans import daily, rebuild, sqlapi
     from airlens.sources.ingest import read_centroids
     from airlens.sources.schemas import WEATHER_PAYLOAD
+    from airlens.sources.store import open_table
 
     if args.cmd == "daily-air":
         communes, epci = _dims(spark, args)
@@ -90,10 +91,9 @@ def main(argv=None) -> int:
         tables = {}
         for name in sqlapi.PUBLISHED_VIEWS:
             try:
-                tables[name] = spark.read.parquet(f"{args.out.rstrip('/')}/{name}")
-            except Exception as e:  # noqa: BLE001 - a table not built (no weather yet) is not published
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
+                tables[name] = open_table(spark, f"{args.out.rstrip('/')}/{name}")
+            except FileNotFoundError:
+                pass    # a table not built (no weather yet) is not published
         sqlapi.publish(tables)
         out = sqlapi.run_console(spark, args.query)
         res = {k: out[k] for k in ("ok", "columns", "n_rows", "n_columns", "error")}

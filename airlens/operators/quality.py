@@ -61,48 +61,68 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def check_table(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Run the rules of one table in one scan.
+BROKEN = "model string, column_name string, test string, value string, n long"
+
+
+def broken_values(df: DataFrame, rules: Sequence[Rule], *keys: str) -> DataFrame:
+    """What the rules of one table find, in one scan: (model, column_name, test, value, n), counted per ``keys``.
 
     A row emits a (rule, value) pair for each null of a not-null column, for each value outside
     its list, and for each value of a unique column; normally few rows emit any (unique
-    columns belong to small tables). Pairs are counted in two partial aggregates, (rule, value),
-    then rule, and joined to the rule list, so rules that nothing violates appear with 0.
+    columns belong to small tables). Counts of different days add up, so a day's findings can be kept.
     """
-    def pair(i: int, r: Rule) -> F.Column:
+    def pair(r: Rule) -> F.Column:
         c = F.col(r.column)
-        broken = {"not_null": c.isNull(), "accepted_values": ~c.isin(*r.values), "unique": c.isNotNull()}[r.test]
-        return F.when(broken, F.struct(F.lit(i).alias("rule"), c.cast("string").alias("value")))
+        found = {"not_null": c.isNull(), "accepted_values": ~c.isin(*r.values), "unique": c.isNotNull()}[r.test]
+        return F.when(found, F.struct(F.lit(r.model).alias("model"), F.lit(r.column).alias("column_name"),
+                                      F.lit(r.test).alias("test"), c.cast("string").alias("value")))
+
+    emitted = F.filter(F.array(*[pair(r) for r in rules]), lambda x: x.isNotNull())
+    return (df.select(*keys, F.explode(emitted).alias("b")).select(*keys, "b.*")
+            .groupBy(*keys, "model", "column_name", "test", "value").agg(F.count(F.lit(1)).alias("n")))
+
 
-    emitted = F.filter(F.array(*[pair(i, r) for i, r in enumerate(rules)]), lambda x: x.isNotNull())
-    counted = (df.select(F.explode(emitted).alias("b")).groupBy("b.rule", "b.value").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("rule").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
+def report_of(broken: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The report of ``rules``, those that nothing breaks included, from what was found (any number of parts)."""
+    names = ["model", "column_name", "test"]
+    counted = (broken.groupBy(*names, "value").agg(F.sum("n").alias("n"))
+               .groupBy(*names).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
                                     F.count_if(F.col("n") > 1).alias("repeated")))
-    listed = df.sparkSession.createDataFrame(
-        [(i, r.model, r.column, r.test, r.severity) for i, r in enumerate(rules)],
-        "rule int, model string, column_name string, test string, severity string")
+    listed = broken.sparkSession.createDataFrame(
+        [(r.model, r.column, r.test, r.severity) for r in rules],
+        "model string, column_name string, test string, severity string")
     failures = (F.when(F.col("test") == "not_null", F.col("rows")).when(F.col("test") == "unique", F.col("repeated"))
                 .otherwise(F.col("values")))
     # at most one row per rule
-    return (listed.join(F.broadcast(counted), "rule", "left")
+    return (listed.join(F.broadcast(counted), names, "left")
             .select("model", "column_name", "test", "severity",
                     F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))
             .withColumn("status", F.when(F.col("failures") == 0, F.lit("pass"))
                         .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail"))))
 
 
+def check_table(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Run the rules of one table in one scan."""
+    return report_of(broken_values(df, rules), rules)
+
+
+def rules_of(model: str, rules: Sequence[Rule] = RULES) -> list[Rule]:
+    return [r for r in rules if r.model == model]
+
+
 def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES) -> DataFrame:
     """All rules over the given tables (rules of absent tables are skipped)."""
-    out = None
+    out, mine = None, []
     for model, df in tables.items():
-        mine = [r for r in rules if r.model == model]
-        if not mine:
+        own = rules_of(model, rules)
+        if not own:
             continue
-        part = check_table(df, mine)
+        part = broken_values(df, own)
         out = part if out is None else out.unionByName(part)
+        mine += own
     if out is None:
         return SparkSession.getActiveSession().createDataFrame([], REPORT_SCHEMA)
-    return out
+    return report_of(out, mine)
 
 
 def failed(report: DataFrame) -> DataFrame:

@@ -57,6 +57,27 @@ def resolve_department(code: F.Column, commune_dept: F.Column, epci_dept: F.Colu
     return F.coalesce(*parts)
 
 
+def zone_departments(communes: DataFrame, epci: DataFrame, overrides: Mapping[str, str] = K.ZONE_OVERRIDES) -> DataFrame:
+    """(code_zone, dept) of every code that the reference tables or the overrides name: what staging resolves it to."""
+    named = _zone_rows(communes, epci)
+    if overrides:
+        by_hand = communes.sparkSession.createDataFrame([(c,) for c in sorted(overrides)], "code_zone string")
+        named = named.unionByName(by_hand, allowMissingColumns=True)
+    zones = named.where(F.col("code_zone").isNotNull()).groupBy("code_zone").agg(
+        F.min("commune_dept").alias("commune_dept"), F.min("epci_dept").alias("epci_dept"))
+    dept = resolve_department(F.col("code_zone"), F.col("commune_dept"), F.col("epci_dept"), overrides)
+    return zones.select("code_zone", dept.alias("dept"))
+
+
+def changed_zones(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Codes that resolve to another département after than before (code_zone, dept); an unnamed code to its first letters."""
+    a = before.select("code_zone", F.col("dept").alias("old"), F.lit(True).alias("had"))
+    b = after.select("code_zone", F.col("dept").alias("new"), F.lit(True).alias("has"))
+    short = F.left("code_zone", F.lit(2))
+    old, new = F.when(F.col("had"), F.col("old")).otherwise(short), F.when(F.col("has"), F.col("new")).otherwise(short)
+    return a.join(b, "code_zone", "full").where(~old.eqNullSafe(new)).select("code_zone")
+
+
 # order among readings of one (code, name, day): worst index first, then every
 # other published column so the kept row does not depend on the input order
 DEDUPE_TIE_BREAKERS = ("source_aasqa", "type_zone", "lib_qual", "coul_qual", "code_no2", "code_o3",

@@ -8,10 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from airlens.functions import constants as K
-from airlens.plans.rebuild import rebuild_weather, run_all, run_day
+from airlens.plans.rebuild import days_to_build, rebuild_weather, run_all, run_days
 from airlens.sources import ingest
 from airlens.sources.payload import flatten_series
 from airlens.sources.schemas import RAW_WEATHER
@@ -26,13 +25,15 @@ def daily_air_run(spark: SparkSession, csv_path: str, day: str, air_root: str, c
     rebuild the tables, then stop on a CRITICAL monitor.
 
     By default every table is rebuilt from all stored days; ``incremental``
-    rebuilds only what the new day changes (:func:`~airlens.plans.rebuild.run_day`).
+    rebuilds only what the new days change (:func:`~airlens.plans.rebuild.run_days`): the run day and every
+    stored day that is not built from its present files.
     """
     result = ingest.ingest_day(spark, csv_path, air_root, day, expected_columns)
     has_weather = weather_root is not None and partition_days(spark, weather_root)
     weather = weather_root if has_weather else None
     if incremental:
-        tables = run_day(spark, day, air_root, weather, communes, epci, out_root, overrides, gate=True)
+        new = {day, *days_to_build(spark, air_root, weather, out_root)}
+        tables = run_days(spark, new, air_root, weather, communes, epci, out_root, overrides, gate=True)
     else:
         tables = run_all(spark, air_root, weather, communes, epci, out_root, overrides, gate=True)
     return {"ingest": result, "tables": sorted(tables)}
@@ -47,7 +48,7 @@ def daily_weather_run(spark: SparkSession, payload: DataFrame, locations: DataFr
         return {"day": day, "status": "skipped"}
     saved = ingest.store_day(ingest.keep_day(flatten_series(payload, locations), day), weather_root, day)
     if json_root is not None:
-        stored = ingest.read_store(spark, weather_root, RAW_WEATHER).filter(F.col("date_ech") == day)
+        stored = ingest.read_store(spark, weather_root, RAW_WEATHER, [day])
         ingest.write_json(stored, json_root, by_day=True)
     if partition_days(spark, f"{out_root.rstrip('/')}/mart_atmo_daily_departement"):
         rebuild_weather(spark, weather_root, out_root, day)

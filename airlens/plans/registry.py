@@ -22,7 +22,6 @@ from airlens.plans.models import Models, flat
 from airlens.session import fresh_path
 from airlens.sources import fixtures, ingest, payload
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
-from airlens.sources.store import partition_days
 from airlens.streaming.file_ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,149 +230,6 @@ SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_decl
 FROM stg_atmo_daily WHERE code_departement IN ({_sql_values(DEPARTMENT_LIST)})"""),
     "index_ranges": O.with_models(f"""
 SELECT {', '.join(f"{fn}({c}) AS {fn}_{c.removeprefix('code_')}" for c in K.SUB_INDEX_COLUMNS for fn in ('min', 'max'))}
-FROM stg_atmo_daily"""),
-    "department_centroids": _on(lambda m: A.department_centroids(m.stg_atmo_daily)),
-    # rankings and selections
-    "zone_selection": _on(lambda m: A.profile_selection(m.mart_atmo_commune)),
-    "best_zones": _on(lambda m: A.best_zones(m.mart_atmo_commune)),
-    "best_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=False)),
-    "worst_named_zones": _on(lambda m: A.ranked_named_zones(m.mart_atmo_commune, worst=True)),
-    "search_zones": _on(lambda m: A.search_zones(m.mart_atmo_commune, SEARCH_TERM)),
-    "national_selection": _on(lambda m: A.national_selection(m.mart_atmo_daily_national)),
-    "department_selection": _on(lambda m: A.department_selection(m.mart_atmo_daily_departement)),
-    "worst_departments_of_day": _on(lambda m: A.worst_departments_of_day(marts.daily_department(m.stg_today), m.today)),
-    "mean_of_day": _on(lambda m: A.mean_of_day(marts.daily_department(m.stg_today), m.today)),
-    "dominant_of_day": _on(lambda m: A.dominant_of_day(marts.daily_department(m.stg_today), m.today)),
-    "headline": _on(lambda m: A.headline(marts.daily_national(m.stg_today))),
-    "available_days": _on(lambda m: A.available_days(staging.days(m.raw_air))),
-    # weather
-    "weather_code_profile": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement)),
-    "pm10_by_weather_code": _on(lambda m: A.weather_code_profile(m.mart_atmo_meteo_daily_departement, "PM10")),
-    "index_band_weather": _on(lambda m: A.index_band_weather(m.mart_atmo_meteo_daily_departement)),
-    "wind_band_index": _on(lambda m: A.wind_band_index(m.mart_atmo_meteo_daily_departement)),
-    "temperature_band_o3": _on(lambda m: A.temperature_band_o3(m.mart_atmo_meteo_daily_departement)),
-    "temperature_vs_index": _on(lambda m: A.temperature_vs_index(m.mart_atmo_meteo_daily_departement)),
-}
-
-
-# --- oracle ------------------------------------------------------------------------------
-
-_ARRAYS = {
-    "stg_atmo_daily": ["polluants_declencheurs"],
-    "mart_atmo_commune": ["polluants_dominants"],
-    "mart_atmo_daily_departement": ["polluants_dominants_departement"],
-    "mart_atmo_daily_national": ["polluants_dominants_national"],
-    "mart_atmo_meteo_daily_departement": ["polluants_dominants_departement"],
-}
-
-
-def _select_all(table: str) -> str:
-    arrays = ", ".join(f"{O.arr(c)} AS {c}" for c in _ARRAYS.get(table, []))
-    return O.with_models(f"SELECT * REPLACE ({arrays}) FROM {table}" if arrays else f"SELECT * FROM {table}")
-
-
-def _sql_values(values) -> str:
-    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-
-
-def _quality_sql() -> str:
-    parts = []
-    for r in quality.RULES:
-        head = f"SELECT '{r.model}' AS model, '{r.column}' AS column_name, '{r.test}' AS test, '{r.severity}' AS severity"
-        if r.test == "not_null":
-            parts.append(f"{head}, count(*) FILTER (WHERE {r.column} IS NULL) AS failures FROM {r.model}")
-        elif r.test == "accepted_values":
-            parts.append(f"{head}, count(DISTINCT CASE WHEN {r.column} NOT IN ({_sql_values(r.values)}) "
-                         f"THEN {r.column} END) AS failures FROM {r.model}")
-        else:
-            parts.append(f"{head}, count(*) AS failures FROM (SELECT {r.column} FROM {r.model} "
-                         f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} HAVING count(*) > 1)")
-    union = "\nUNION ALL\n".join(parts)
-    return O.with_models(f"""
-SELECT model, column_name, test, severity, cast(failures AS bigint) AS failures,
-  CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
-FROM ({union}) q""")
-
-
-_MD = "mart_atmo_meteo_daily_departement"
-_DEP_NEWEST = "(SELECT max(date_ech) FROM mart_atmo_daily_departement)"
-
-
-def _band_desc(col, bands, other):
-    return "CASE " + " ".join(f"WHEN {col} >= {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
-
-
-def _band_asc(col, bands, other):
-    return "CASE " + " ".join(f"WHEN {col} < {b} THEN '{label}'" for label, b in bands) + f" ELSE '{other}' END"
-
-
-ORACLE: dict[str, str] = {
-    "air_staging": _select_all("stg_atmo_daily"),
-    "weather_staging": _select_all("stg_meteo_daily"),
-    "zone_profile": _select_all("mart_atmo_commune"),
-    "daily_department": _select_all("mart_atmo_daily_departement"),
-    "daily_national": _select_all("mart_atmo_daily_national"),
-    "daily_with_weather": _select_all(_MD),
-    "zone_coverage": _select_all("mon_commune_coverage"),
-    "missing_departments": _select_all("mon_departement_manquant"),
-    "missing_zones": O.with_models("SELECT code_insee, 'MANQUANT' AS statut FROM cov_missing"),
-    "global_status": O.with_models("""
-SELECT c.date_check, c.statut AS statut_couverture, d.statut_departements,
-  CASE WHEN c.statut = 'CRITICAL' OR d.statut_departements = 'CRITICAL' THEN 'CRITICAL'
-       WHEN c.statut = 'WARN' OR d.statut_departements = 'WARN' THEN 'WARN' ELSE 'OK' END AS statut_global,
-  c.nb_communes_aujourd_hui, c.nb_communes_hier, c.nb_communes_manquantes,
-  coalesce(d.nb_dep, 0)::bigint AS nb_departements_manquants
-FROM mon_commune_coverage c,
-     (SELECT max(statut_global) AS statut_departements, max(nb_departements_manquants) AS nb_dep
-      FROM mon_departement_manquant) d"""),
-    "missing_department_table": O.with_models("""
-SELECT strftime(date_check, '%Y-%m-%d') AS date_check, code_departement, statut, statut_global
-FROM mon_departement_manquant WHERE code_departement IS NOT NULL"""),
-    "quality_report": _quality_sql(),
-    "duplicate_zone_codes": O.with_models("""
-SELECT * REPLACE (array_to_string(polluants_dominants, '|') AS polluants_dominants)
-FROM mart_atmo_commune
-WHERE code_insee IN (SELECT code_insee FROM mart_atmo_commune GROUP BY code_insee HAVING count(*) > 1)"""),
-    "unnamed_zones": O.with_models("""
-SELECT code_insee, nom_commune, count(*) AS nb_lignes FROM stg_atmo_daily
-WHERE nom_commune IS NULL OR nom_commune = '' GROUP BY code_insee, nom_commune"""),
-    "zones_lost": O.with_models("""
-SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
-FROM stg_atmo_daily s1
-WHERE s1.date_ech < (SELECT max(date_ech) FROM stg_atmo_daily)
-  AND NOT EXISTS (SELECT 1 FROM stg_atmo_daily s2
-                  WHERE s2.date_ech = s1.date_ech + 1 AND s2.code_insee = s1.code_insee)"""),
-    "zones_lost_between": O.with_models(f"""
-SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
-WHERE date_ech = DATE '{LOST_BETWEEN[0]}' AND (code_insee IS NULL OR code_insee NOT IN (
-  SELECT code_insee FROM stg_atmo_daily WHERE date_ech = DATE '{LOST_BETWEEN[1]}' AND code_insee IS NOT NULL))"""),
-    "zone_history": O.with_models(f"""
-SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs) FROM stg_atmo_daily
-WHERE code_insee = '{HISTORY_CODE}'"""),
-    "gate_alerts": O.with_models("""
-SELECT 'zone coverage' AS moniteur, statut, nb_communes_manquantes::bigint AS nb_manquants,
-       nb_communes_hier::bigint AS nb_reference
-FROM mon_commune_coverage WHERE statut = 'CRITICAL'
-UNION ALL
-SELECT DISTINCT 'missing départements', statut_global, nb_departements_manquants::bigint, NULL::bigint
-FROM mon_departement_manquant WHERE statut_global = 'CRITICAL'"""),
-    "odd_codes": O.with_models(f"""
-SELECT DISTINCT code_insee, nom_commune, left(cast(code_insee AS varchar), 2) AS debut
-FROM stg_atmo_daily
-WHERE length(cast(code_insee AS varchar)) > {ODD_CODE_MIN_LENGTH}
-  AND left(cast(code_insee AS varchar), {len(ODD_CODE_EXCLUDED_PREFIX)}) != '{ODD_CODE_EXCLUDED_PREFIX}'
-ORDER BY code_insee, nom_commune NULLS LAST
-LIMIT 20"""),
-    "zones_of_type": O.with_models(f"""
-SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
-FROM stg_atmo_daily WHERE type_zone = '{ZONE_TYPE}'"""),
-    "zones_in_departments": O.with_models(f"""
-SELECT * REPLACE (array_to_string(polluants_declencheurs, '|') AS polluants_declencheurs)
-FROM stg_atmo_daily WHERE code_departement IN ({_sql_values(DEPARTMENT_LIST)})"""),
-    "index_ranges": O.with_models("""
-SELECT min(code_no2) AS min_no2, max(code_no2) AS max_no2, min(code_o3) AS min_o3, max(code_o3) AS max_o3,
-  min(code_pm10) AS min_pm10, max(code_pm10) AS max_pm10, min(code_pm25) AS min_pm25, max(code_pm25) AS max_pm25,
-  min(code_so2) AS min_so2, max(code_so2) AS max_so2
 FROM stg_atmo_daily"""),
     "department_centroids": O.with_models("""
 SELECT code_departement, round(avg(longitude), 4) AS lon, round(avg(latitude), 4) AS lat
@@ -459,8 +315,6 @@ LANDING_SCHEMA = T.StructType(RAW_AIR.fields + [T.StructField("drop", T.IntegerT
 
 # a store that already holds every day older than the newest week
 STORED_BEFORE_DAYS = 7
-# as many of the newest days are in the oracle of ``rebuild_day``, which builds all days
-REBUILT_DAYS = 2
 USER_SQL = """
 SELECT code_departement, count(*) AS nb_jours, max(indice_moyen) AS indice_max,
        CAST(sum(nb_communes) AS BIGINT) AS nb_lignes
@@ -554,16 +408,13 @@ def _rebuild_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days but the newest week built in full, then each day of that week ingested and built alone."""
+    """All days but the newest week built in full, then that week ingested and its days built in one pass."""
     i = fixtures.Inputs.load(spark, sf_dir)
     air_root, out = fresh_path(spark, "store-air"), fresh_path(spark, "rebuild-day")
     ingest.ingest_days(spark, _older_days(i.raw_air), air_root)
-    before = set(partition_days(spark, air_root))
-    tables = rebuild.run_all(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    rebuild.run_all(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
     ingest.ingest_days(spark, i.raw_air, air_root)
-    for day in sorted(set(partition_days(spark, air_root)) - before):
-        tables = rebuild.run_day(spark, day, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES,
-                                 gate=False)
+    tables = rebuild.run_missing(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
     return flat(tables["mart_atmo_daily_departement"])
 
 
@@ -622,12 +473,7 @@ _OLDER = (f"cast(date_ech AS date) < (SELECT max(cast(date_ech AS date)) FROM ra
           f"- INTERVAL {STORED_BEFORE_DAYS} DAY")
 
 ORACLE.update({
-    "rebuild_day": O.with_models(f"""
-SELECT * REPLACE (array_to_string(polluants_dominants_departement, '|') AS polluants_dominants_departement)
-FROM mart_atmo_daily_departement
-WHERE date_ech IN (SELECT date_ech FROM (SELECT DISTINCT date_ech FROM stg_atmo_daily) ORDER BY date_ech DESC
-                   LIMIT {REBUILT_DAYS})
-   OR date_ech < (SELECT max(cast(date_ech AS date)) FROM raw_air_l) - INTERVAL {STORED_BEFORE_DAYS} DAY"""),
+    "rebuild_day": _select_all("mart_atmo_daily_departement"),
     "rebuild_values": _select_all("mart_atmo_commune"),
     "ingest_outcomes": O.with_models("""
 SELECT * FROM (VALUES ('header', 'SchemaError', NULL), ('no_row', 'EmptyDayError', NULL), ('stored_day', 'skipped', NULL))

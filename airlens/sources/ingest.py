@@ -1,21 +1,21 @@
 """Ingest of dated raw files: header check, day filter, idempotent writes by day.
 
-The processed store is one Parquet folder partitioned by ``date_ech``: a day
-is a partition, so "is this day stored" is a partition lookup, a re-run
-overwrites only its own day (dynamic partition overwrite), and readers prune
-days they do not need.
+The processed store keeps its rows by ``date_ech`` behind a commit log (:mod:`airlens.sources.manifest`): "is
+this day stored" is a look at the newest snapshot, a re-run replaces only its own day, a run that dies leaves
+the days as they were, and readers prune days they do not need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, NumericType
 
 from airlens.functions import constants as K
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
+from airlens.sources import manifest
 from airlens.sources.store import partition_days, rebalanced
 
 
@@ -144,19 +144,17 @@ def new_days_only(incoming: DataFrame, stored: DataFrame) -> DataFrame:
                                                                                    "left_anti")
 
 
-def write_days(df: DataFrame, root: str, observation: Observation | None = None, *metrics) -> None:
-    """Write rows into the store, one partition per day; only the days present are replaced.
+def write_days(df: DataFrame, root: str) -> dict[str, int]:
+    """Write rows into the store; the days present are replaced, all by one commit. Returns the rows of each.
 
     Rows are rebalanced on the day (AQE splits a day with a large share of the
-    rows over several tasks), so each task writes few files. An observation,
-    if given, counts the written rows.
+    rows over several tasks), so each task writes few files.
     """
-    out = rebalanced(df, ["date_ech"])
-    if observation is not None:
-        out = out.observe(observation, *metrics)
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy("date_ech").parquet(root))
+    base = manifest.snapshot(df.sparkSession, root)
+    entries = manifest.store(rebalanced(df, ["date_ech"]), root, manifest.new_commit())
+    if entries:
+        manifest.publish(df.sparkSession, base, {**base.days, **entries})
+    return {d: e["rows"] for d, e in entries.items()}
 
 
 def ingest_days(spark: SparkSession, incoming: DataFrame, root: str) -> dict:
@@ -183,8 +181,8 @@ def ingest_day(spark: SparkSession, csv_path: str, root: str, day: str,
     """Daily air quality ingest: check the header, keep the run day, skip a day already
     stored, else write its partition; fail when the file has no row for the day.
 
-    The row count is observed during the write itself (no second pass); with no
-    row nothing is written, so the failure leaves the store unchanged.
+    The rows are counted from the footers of the written files; without one nothing is
+    published, so the failure leaves the store unchanged.
     """
     if day in partition_days(spark, root):
         return {"day": day, "status": "skipped", "rows": None}
@@ -192,18 +190,16 @@ def ingest_day(spark: SparkSession, csv_path: str, root: str, day: str,
 
 
 def store_day(rows: DataFrame, root: str, day: str) -> dict:
-    """Write the rows of one day and count them on the way; no row is an error."""
-    obs = Observation("ingest")
-    write_days(rows, root, obs, F.count(F.lit(1)).alias("rows"))
-    n = obs.get["rows"]
+    """Write the rows of one day; no row is an error, and nothing is published."""
+    n = write_days(rows, root).get(day, 0)
     if n == 0:
         raise EmptyDayError(f"0 rows for {day}: check the source")
     return {"day": day, "status": "saved", "rows": n}
 
 
-def read_store(spark: SparkSession, root: str, schema=RAW_AIR) -> DataFrame:
-    """The whole store as one DataFrame, typed by ``schema`` (``date_ech`` from the partitions)."""
-    return spark.read.schema(schema).parquet(root)
+def read_store(spark: SparkSession, root: str, schema=RAW_AIR, days: Sequence[str] | None = None) -> DataFrame:
+    """The whole store, or the given days, as one DataFrame typed by ``schema``."""
+    return manifest.read(spark, root, schema, days)
 
 
 def write_json(df: DataFrame, path: str, by_day: bool = False) -> None:

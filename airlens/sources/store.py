@@ -1,16 +1,13 @@
-"""Stored tables: Parquet folders in the shared work folder, optionally partitioned by day."""
+"""Stored tables: published ones behind a commit log, private ones as Parquet folders in the shared work folder."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-from urllib.parse import unquote
+from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from airlens.session import fresh_path
+from airlens.sources import manifest
 
 
 def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -24,34 +21,32 @@ def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-_DAY = re.compile(r"/date_ech=([^/]+)/[^/]*$")
-
-
 def partition_days(spark: SparkSession, root: str) -> list[str]:
-    """The days of a stored table, from the names of its files: no row is read.
+    """The days of a stored table, from its newest snapshot: no file is listed and no row read.
 
-    The list has one entry per calendar day. An absent or empty table holds no day.
+    An absent or empty table holds no day.
     """
-    try:
-        files = spark.read.parquet(root).inputFiles()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
-        raise
-    found = {m[1] for m in map(_DAY.search, files) if m}
-    return sorted(unquote(d) for d in found if d != "__HIVE_DEFAULT_PARTITION__")
-
-
-def replace_day(df: DataFrame, path: str, day: str) -> DataFrame:
-    """Make ``df`` (rows of ``day`` only) the whole partition of that day; without rows the day goes."""
-    spark, folder = df.sparkSession, f"{path.rstrip('/')}/date_ech={day}"
-    written = Observation("day")
-    (rebalanced(df.drop("date_ech").observe(written, F.count(F.lit(1)).alias("rows"))).write.mode("overwrite")
-     .option("compression", "snappy").parquet(folder))
-    if not written.get["rows"]:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return read_table(spark, path, df)
+    return manifest.snapshot(spark, root).day_list()
+
+
+def save_days(df: DataFrame, path: str, days: Iterable[str] | None = None) -> DataFrame:
+    """Make ``df`` the content of ``days`` (``None``: the whole table by day) in one job and one commit; read it back."""
+    state = manifest.replace_days(rebalanced(df, ["date_ech"]), path, days)
+    return manifest.read(df.sparkSession, path, df.schema, at=state)
+
+
+def save_whole(df: DataFrame, path: str) -> DataFrame:
+    """Make ``df`` the content of a table that is not kept by day; read it back."""
+    state = manifest.replace_whole(df, path)
+    return manifest.read(df.sparkSession, path, df.schema, at=state)
+
+
+def open_table(spark: SparkSession, path: str, days: Iterable[str] | None = None) -> DataFrame:
+    """A stored table with the columns of its files; an absent one is an error."""
+    state = manifest.snapshot(spark, path)
+    if not state.days:
+        raise FileNotFoundError(f"no stored table in {path}")
+    return spark.read.option("basePath", f"{state.root}/{manifest.DATA}").parquet(*state.folders(days)).drop(manifest.COMMIT)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",

@@ -2,27 +2,21 @@
 
 Raw day files land in a folder; a file stream with ``availableNow`` processes
 every file not seen before and stops. The checkpoint (in the shared folder)
-records the files already taken, so a re-run takes nothing twice. The store has the batch
-ingest's layout, one partition per day; the batch a row came with is a data column (null for rows
-of the batch ingest). A micro-batch replaces the days it holds by what they held before plus its own
-rows, from a copy staged beside the checkpoint: a batch retried after a failure, even in the midst of
-the write, finds the copy and writes the same rows again.
+records the files already taken, so a re-run takes nothing twice. The store is the batch ingest's:
+a micro-batch adds its files beside those that its days already hold and publishes them by one commit, named
+after the stream and the batch. A batch retried after a failure finds its commit in the log, or writes the same
+files again; files of earlier batches are never touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.sources.ingest import is_day, write_days
+from airlens.sources.ingest import is_day
+from airlens.sources.manifest import append_days
 from airlens.sources.schemas import RAW_AIR
-from airlens.sources.store import partition_days
-
-
-def _complete(spark: SparkSession, folder: str) -> bool:
-    """Was a write into the folder committed?"""
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+from airlens.sources.store import rebalanced
 
 
 def stream_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
@@ -38,20 +32,10 @@ def stream_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint
     batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        staged = f"{checkpoint.rstrip('/')}-staged/batch-{batch_id}"
-        rows = (batch.withColumn("date_ech", F.col("date_ech").cast("string")).where(is_day(F.col("date_ech")))
-                .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        if not _complete(session, staged):
-            days = [r[0] for r in rows.select("date_ech").distinct().collect()]   # calendar days
-            if set(days) & set(partition_days(session, store_root)):
-                stored = session.read.schema(rows.schema).parquet(store_root).where(F.col("date_ech").isin(days))
-                rows = rows.unionByName(stored.where(F.coalesce(F.col("batch_id") != batch_id, F.lit(True))))
-            rows.write.mode("overwrite").parquet(staged)
-        out = session.read.schema(rows.schema).parquet(staged)
-        written = Observation(f"batch-{batch_id}")
-        write_days(out, store_root, written, F.count_if(F.col("batch_id") == batch_id).alias("n"))
-        if written.get["n"]:
+        # the id that the checkpoint gave the stream: a stream that begins anew has another one
+        name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch.withColumn("date_ech", F.col("date_ech").cast("string")).where(is_day(F.col("date_ech")))
+        if append_days(rebalanced(rows, ["date_ech"]), store_root, f"{name}-{batch_id:012d}"):
             batches.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(write_batch)

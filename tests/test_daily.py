@@ -7,6 +7,7 @@ from airlens.plans import registry
 from airlens.plans.daily import backfill_weather, daily_air_run, daily_weather_run
 from airlens.sources import ingest
 from airlens.sources.schemas import RAW_WEATHER, WEATHER_PAYLOAD
+from airlens.sources.store import open_table
 from tests import frames as fx
 from tests.conftest import SF_SMALL
 from tools.compare import TABLES, digest
@@ -32,7 +33,7 @@ def test_daily_air_run_rebuilds_and_gates(spark, tmp_store):
     with pytest.raises(MonitoringAlert, match="CRITICAL"):
         daily_air_run(spark, tmp_store + "/d2", "2024-03-04", tmp_store + "/air", communes, fx.epci(spark),
                       tmp_store + "/out")
-    nat = spark.read.parquet(tmp_store + "/out/mart_atmo_daily_national").orderBy("date_ech").collect()
+    nat = open_table(spark, tmp_store + "/out/mart_atmo_daily_national").orderBy("date_ech").collect()
     assert [r.nb_communes for r in nat] == [5, 2]
 
 
@@ -81,7 +82,7 @@ def test_daily_weather_run_saves_and_rebuilds_join(spark, tmp_store):
                             tmp_store + "/out", tmp_store + "/json")
     assert res["status"] == "saved"
     joined = {r.code_departement: (r.indice_moyen, r.temperature_max, r.weathercode)
-              for r in spark.read.parquet(tmp_store + "/out/mart_atmo_meteo_daily_departement").collect()}
+              for r in open_table(spark, tmp_store + "/out/mart_atmo_meteo_daily_departement").collect()}
     assert joined == {"01": (2.0, 15.0, 61), "02": (4.0, 13.0, 1)}
     assert ingest.stored_days(spark, tmp_store + "/w").count() == 1
 

@@ -106,6 +106,46 @@ def test_console_reads_published_tables_only(spark):
     assert sqlapi.run_console(spark, "WITH t AS (SELECT n FROM mart_atmo_commune) SELECT max(n) FROM t")["ok"]
 
 
+def test_console_names_are_checked_where_they_lead(spark, tmp_store):
+    """Names built at run time, hidden by a WITH elsewhere, or of another kind of view."""
+    spark.range(3).selectExpr("id AS n").createOrReplaceTempView("mart_atmo_commune")
+    spark.range(7).createOrReplaceTempView("private_view")
+    spark.range(5).createOrReplaceGlobalTempView("mart_atmo_commune")
+    spark.range(3).write.parquet(tmp_store)
+    spark.udf.register("mine", lambda x: x, "long")
+    for bad in [f"SELECT * FROM IDENTIFIER('par' || 'quet.`{tmp_store}`')", f"SELECT * FROM parquet.`{tmp_store}`",
+                f"SELECT * FROM IDENTIFIER/**/('parquet.`{tmp_store}`')",
+                "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'getProperty', 'user.name')",
+                "SELECT * FROM private_view WHERE id IN (WITH private_view AS (SELECT 1 AS id) SELECT id FROM private_view)",
+                "SELECT (SELECT max(id) FROM private_view)", "SELECT * FROM global_temp.mart_atmo_commune",
+                "SELECT 1 WHERE EXISTS (SELECT 1 FROM private_view)", "SELECT mine(n) FROM mart_atmo_commune",
+                "WITH a AS (WITH private_view AS (SELECT 1 AS id) SELECT * FROM private_view) SELECT * FROM a, private_view",
+                "SELECT system.builtin.reflect('java.lang.System', 'getProperty', 'user.name')"]:
+        res = sqlapi.run_console(spark, bad)
+        assert not res["ok"] and ("NotAllowed" in res["error"] or "private_view" not in bad and "[" in res["error"]), bad
+    for good in ["WITH private_view AS (SELECT 1 AS id) SELECT * FROM private_view", "SELECT 1", "VALUES (1), (2)",
+                 "SELECT n FROM mart_atmo_commune WHERE n = (SELECT max(n) FROM mart_atmo_commune)",
+                 "SELECT a.n, b.n FROM mart_atmo_commune a JOIN mart_atmo_commune b USING (n)"]:
+        assert sqlapi.run_console(spark, good)["ok"], good
+
+
+def test_console_runs_a_query_once_and_keeps_its_order(spark):
+    touched = spark.sparkContext.accumulator(0)
+
+    def touch(frames):
+        for f in frames:
+            touched.add(len(f))
+            yield f
+
+    spark.range(5_000).selectExpr("id AS n").mapInPandas(touch, "n long").createOrReplaceTempView("mart_atmo_commune")
+    res = sqlapi.run_console(spark, "SELECT n FROM mart_atmo_commune WHERE n >= 0")
+    assert res["n_rows"] == 5_000 and res["data"].count() == 5_000 and touched.value == 5_000
+    res = sqlapi.run_console(spark, "SELECT n, n, NULL AS x FROM mart_atmo_commune ORDER BY n DESC")
+    assert res["ok"] and res["n_rows"] == 5_000 and res["columns"] == ["n", "n", "x"]
+    assert [r[0] for r in sqlapi.page(res["data"], 2, 100).collect()] == list(range(4799, 4699, -1))
+    assert [r[0] for r in res["data"].toLocalIterator()] == list(range(4999, -1, -1))
+
+
 def test_csv_headers_of_all_files_are_checked(spark, tmp_store):
     import os
     os.makedirs(tmp_store)
