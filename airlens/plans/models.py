@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 from collections.abc import Mapping
 
@@ -37,6 +37,10 @@ class Models:
         i = fixtures.Inputs.load(spark, sf_dir)
         return cls(i.raw_air, i.communes, i.epci, i.raw_weather, dict(fixtures.FIXTURE_ZONE_OVERRIDES), stored)
 
+    def with_outage(self) -> "Models":
+        """The same with most zones missing on the newest day."""
+        return replace(self, raw_air=fixtures.with_outage(self.raw_air))
+
     @cached_property
     def today(self):
         """The newest day, from the raw rows."""

@@ -18,10 +18,12 @@ from airlens.operators import analysis as A
 from airlens.operators import marts, monitoring, quality, staging
 from airlens.plans import oracle as O
 from airlens.plans import rebuild, sqlapi
+from airlens.plans.daily import daily_air_run
 from airlens.plans.models import Models, flat
 from airlens.session import fresh_path
 from airlens.sources import fixtures, ingest, payload
 from airlens.sources.schemas import RAW_AIR, RAW_WEATHER
+from airlens.sources.store import open_table
 from airlens.streaming.file_ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +53,10 @@ def _model(name: str) -> Query:
     return _on(lambda m: getattr(m, name))
 
 
+def _alerts(m: Models) -> DataFrame:
+    return monitoring.gate_alerts(m.mon_commune_coverage, m.mon_departement_manquant)
+
+
 QUERIES: dict[str, Query] = {
     # models
     "air_staging": _model("stg_atmo_daily"),
@@ -65,7 +71,9 @@ QUERIES: dict[str, Query] = {
     "missing_zones": _on(lambda m: monitoring.missing_zones(m.stg_atmo_daily, m.today)),
     "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)),
     "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant)),
-    "gate_alerts": _on(lambda m: monitoring.gate_alerts(m.mon_commune_coverage, m.mon_departement_manquant)),
+    "gate_alerts": _on(lambda m: _alerts(m)),
+    "gate_alerts_outage": _on(lambda m: _alerts(m.with_outage())),
+    "missing_departments_outage": _on(lambda m: m.with_outage().mon_departement_manquant),
     "quality_report": _on(lambda m: quality.quality_report(m.tables()), stored=True),
     # anomalies
     "duplicate_zone_codes": _on(lambda m: A.duplicate_zone_codes(m.mart_atmo_commune)),
@@ -165,6 +173,13 @@ def _weather_by(key: str, *means: str, index: bool = True, only: str | None = No
     return O.with_models(f"SELECT {', '.join(picked)} FROM {_MD}{where} GROUP BY ALL")
 
 
+def _with_outage(sql: str) -> str:
+    """The query over readings of which the newest day holds a few zones only."""
+    return sql.replace("  FROM raw_base\n),", f"""  FROM raw_base
+  WHERE cast(ts AS date) < (SELECT max(cast(ts AS date)) FROM events) OR user_id % {fixtures.OUTAGE_KEEPS} = 0
+),""")
+
+
 ORACLE: dict[str, str] = {
     "air_staging": _select_all("stg_atmo_daily"),
     "weather_staging": _select_all("stg_meteo_daily"),
@@ -418,6 +433,29 @@ def _rebuild_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(tables["mart_atmo_daily_departement"])
 
 
+def _rebuild_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything built with older reference tables, then only the days that hold a zone whose département changed."""
+    i = fixtures.Inputs.load(spark, sf_dir)
+    air_root, out = fresh_path(spark, "store-air"), fresh_path(spark, "rebuild-references")
+    ingest.ingest_days(spark, i.raw_air, air_root)
+    rebuild.run_all(spark, air_root, None, fixtures.former_communes(i.communes), i.epci, out,
+                    fixtures.FIXTURE_ZONE_OVERRIDES, gate=False)
+    tables = rebuild.run_references(spark, air_root, None, i.communes, i.epci, out, fixtures.FIXTURE_ZONE_OVERRIDES,
+                                    gate=False)
+    return flat(tables["mart_atmo_daily_departement"])
+
+
+def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run of the newest day, told by its day and paths: the day's file, the store, the tables."""
+    i = fixtures.Inputs.load(spark, sf_dir)
+    csv, air_root, out = (fresh_path(spark, n) for n in ("csv-air", "store-air", "daily-run"))
+    i.raw_air.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv)
+    day = i.raw_air.agg(F.max("date_ech")).first()[0]
+    daily_air_run(spark, csv, day, air_root, i.communes, i.epci, out, overrides=fixtures.FIXTURE_ZONE_OVERRIDES,
+                  expected_columns=len(i.raw_air.columns))
+    return flat(open_table(spark, f"{out}/mart_atmo_daily_national"))
+
+
 def _ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the daily ingest says of one file: wrong column count, a day without rows, a new day, a stored day."""
     raw = fixtures.raw_readings(fixtures.table(spark, sf_dir, "events"))
@@ -453,7 +491,9 @@ def _centroid_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({
+    "daily_run": _daily_run,
     "rebuild_day": _rebuild_day,
+    "rebuild_references": _rebuild_references,
     "rebuild_values": _rebuild_values,
     "ingest_outcomes": _ingest_outcomes,
     "csv_export": _csv_export,
@@ -473,7 +513,11 @@ _OLDER = (f"cast(date_ech AS date) < (SELECT max(cast(date_ech AS date)) FROM ra
           f"- INTERVAL {STORED_BEFORE_DAYS} DAY")
 
 ORACLE.update({
+    "gate_alerts_outage": _with_outage(ORACLE["gate_alerts"]),
+    "missing_departments_outage": _with_outage(ORACLE["missing_departments"]),
+    "daily_run": _select_all("mart_atmo_daily_national") + " WHERE date_ech = (SELECT max(date_ech) FROM stg_atmo_daily)",
     "rebuild_day": _select_all("mart_atmo_daily_departement"),
+    "rebuild_references": _select_all("mart_atmo_daily_departement"),
     "rebuild_values": _select_all("mart_atmo_commune"),
     "ingest_outcomes": O.with_models("""
 SELECT * FROM (VALUES ('header', 'SchemaError', NULL), ('no_row', 'EmptyDayError', NULL), ('stored_day', 'skipped', NULL))

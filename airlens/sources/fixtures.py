@@ -25,6 +25,8 @@ DEPARTMENT_COUNT = 25
 # zone overrides used with the derived data: the real one plus a code that has
 # readings and is in neither reference table at sf0.01, so the branch is taken
 FIXTURE_ZONE_OVERRIDES = {"200096675": "56", "105": "56"}
+# an outage: of the newest day only the zones whose number this divides have sent their readings
+OUTAGE_KEEPS = 200
 # -------------------------------------------------------------------------------
 
 
@@ -93,6 +95,18 @@ def raw_readings(events: DataFrame) -> DataFrame:
             .withColumn("coul_qual", _label(F.col("code_qual"), K.INDEX_COLOURS)))
 
 
+def with_outage(raw: DataFrame) -> DataFrame:
+    """The readings of a day on which most zones failed to report (the monitors are CRITICAL from sf0.01 on)."""
+    newest = raw.select(F.max("date_ech")).scalar()
+    return raw.where((F.col("date_ech") < newest) | (F.col("code_zone").cast("bigint") % OUTAGE_KEEPS == 0))
+
+
+def former_communes(communes: DataFrame) -> DataFrame:
+    """An older reference table: every tenth commune still in the département of the next number."""
+    moved = F.lpad(((F.col("DEP").cast("int") + 1) % DEPARTMENT_COUNT).cast("string"), 2, "0")
+    return communes.withColumn("DEP", F.when(F.col("COM").cast("bigint") % 10 == 0, moved).otherwise(F.col("DEP")))
+
+
 def communes(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     return customer.select(
