@@ -17,7 +17,7 @@ candidate then, of whatever letters, and a member of the pattern, so a slot that
 confidence. What the patterns score ``ACCEPT`` or more with all their members is personal data in these slots. A bitmap of
 ``SLOT_BITS`` bits tells which words may stand in front of a slot; an exact join follows.
 
-Cases: a token in slots of several kinds takes the best score, of equals the first kind; null and empty texts have no spans; very long texts are read whole, in linear time; repeated rows
+Cases: base spans of several kinds may overlap and are all kept; a token in slots of several kinds takes the best score, of equals the first kind; null and empty texts have no spans; very long texts are read whole, in linear time; repeated rows
 count as one instance in a pattern and all get their spans; an empty table gives an empty result; extra columns are
 not read.
 """

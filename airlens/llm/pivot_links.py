@@ -47,6 +47,7 @@ PIVOT_VALUES = 1 << 20
 SAMPLE = 4
 APART = 0.9
 BLOCK_ROWS = 1024
+BUNDLE_BLOCKS = 4
 CHUNK = 1 << 20
 
 
@@ -94,15 +95,16 @@ def nearest(units: list[bytes], pivots: np.ndarray, depth: int = DEPTH) -> np.nd
 
 
 def described(nodes: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``nodes`` with ``near``, the ordered description."""
+    """``nodes`` with ``near``, the ordered description (bytes of pivot numbers), and ``pivots``, the first of it."""
     shared = nodes.sparkSession.sparkContext.broadcast(pivots)   # at most PIVOT_VALUES numbers
 
-    @F.pandas_udf("array<int>")
-    def near(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("near binary, pivots array<int>")
+    def near(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for units in batches:
-            yield pd.Series(list(nearest(list(units), shared.value)), dtype=object)
+            found = nearest(list(units), shared.value)
+            yield pd.DataFrame({"near": [row.tobytes() for row in found], "pivots": list(found[:, :LISTED])})
 
-    return nodes.withColumn("near", near("unit"))
+    return nodes.withColumn("d", near("unit")).select(*nodes.columns, "d.near", "d.pivots")
 
 
 def links_in_cell(pivot: int, node: np.ndarray, copies: np.ndarray, block: np.ndarray, near: np.ndarray,
@@ -143,22 +145,29 @@ def links_in_cell(pivot: int, node: np.ndarray, copies: np.ndarray, block: np.nd
 
 def found_links(index: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """node, root, links: one row for each vector with links in a cell; ``index`` has label, node, copies, unit, near."""
-    listed = index.withColumn("dim", F.length("unit")).withColumn("pivot", F.explode(F.slice("near", 1, LISTED)))
+    listed = index.withColumn("dim", F.length("unit")).withColumn("pivot", F.explode("pivots")).drop("pivots")
     keys = ["label", "dim", "pivot"]
-    lists = listed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(
-        *keys, F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
-    placed = listed.join(lists, keys).withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    lists = written(listed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(
+        *keys, F.ceil(F.col("n") / block_rows).cast("int").alias("parts"), "n"), "lists")
+    rows = lists.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0
+    bundles = max(1, rows // (BUNDLE_BLOCKS * block_rows))
+    placed = listed.join(lists.drop("n"), keys).withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         *keys, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "node", "copies", "block", "near", "unit")
 
-    def cell(rows: pd.DataFrame) -> pd.DataFrame:
-        return links_in_cell(
-            int(rows["pivot"].iat[0]), rows["node"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64),
-            rows["block"].to_numpy(np.int64), np.stack(rows["near"].to_list()),
-            np.stack([np.frombuffer(u, np.float64) for u in rows["unit"]]), cosine)
-
-    return cells.groupBy(*keys, "low", "high").applyInPandas(cell, "node long, root long, links long")
+    def bundle(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, _, pivot, _, _), cell in rows.groupby([*keys, "low", "high"], sort=False):
+            out.append(links_in_cell(
+                int(pivot), cell["node"].to_numpy(np.int64), cell["copies"].to_numpy(np.int64),
+                cell["block"].to_numpy(np.int64), np.frombuffer(b"".join(cell["near"]), np.int32).reshape(len(cell), -1),
+                np.frombuffer(b"".join(cell["unit"]), np.float64).reshape(len(cell), -1), cosine))
+        return pd.concat(out)
+
+    # short lists share a task's call
+    number = F.pmod(F.xxhash64(*keys, "low", "high"), F.lit(bundles)).alias("bundle")
+    return cells.groupBy(number).applyInPandas(bundle, "node long, root long, links long")
 
 
 def linked_vectors(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",

@@ -7,8 +7,8 @@ own ratio lies outside its band, or when more than ``MAX_BAD_CHUNKS`` of its ful
 chunks do.
 
 Cases: a null or empty text has no words and fails the base rule; texts below
-``CHUNK_BYTES`` have no full chunk and are judged as a whole; repeated rows are
-judged alike, row by row; an empty table gives an empty result; extra columns are
+``CHUNK_BYTES`` have no full chunk and are judged as a whole; a ratio equal to a limit is within it, and a text as long as a band's end falls into the next band; very
+long texts are compressed whole; repeated rows are judged alike, row by row; an empty table gives an empty result; extra columns are
 left alone (results come as one struct column under a free name).
 """
 

@@ -17,7 +17,8 @@ every document whole. Since map and mean are linear, a word's part in the score
 number; the model sent to the executors is one float for each bucket.
 
 Cases: null, empty and word-less texts score as a window without words (the bias alone);
-repeated rows score alike; without labelled rows of both classes every score is the
+repeated rows score alike and count once in the sample; documents of equal digest are drawn by id, texts by text; a
+document's equally toxic windows are one score, and of them the first is learned from; without labelled rows of both classes every score is the
 share of toxic labels (0 without any); an empty table gives an empty result; extra columns
 are left alone; null labels are no labels.
 """

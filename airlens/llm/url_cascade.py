@@ -14,7 +14,8 @@ Size: keys are dealt into shards by hash so that a shard's filters hold at most
 its rows. With one shard, the usual case, there is one pass.
 
 Cases: a null url or one without ``://`` has an empty host and path and fits no rule; very
-long urls are read whole; repeated rows are judged row by row; an empty list gives a
+long urls are read whole; repeated rows are judged row by row; of fitting rules of
+equal length the last in the list wins; an empty list gives a
 cascade without levels that blocks nothing; an empty table gives an empty result; extra
 columns are not read.
 """

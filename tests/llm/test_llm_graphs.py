@@ -372,6 +372,14 @@ def test_cascade_is_exact_in_any_number_of_shards(spark):
     assert not any(r.listed for r in none)
 
 
+def test_of_equally_long_rules_the_last_wins(spark):
+    table = spark.createDataFrame([(1, "http://a.b.com/aa/")], "page_id long, url string")
+    rules = [url_cascade.Rule("allow", "b.com", "/aa/"), url_cascade.Rule("block", "a.b.com", "/a")]
+    assert len(rules[0].text) == len(rules[1].text)
+    for order, verdict in ((rules, "block"), (rules[::-1], "allow")):
+        assert url_cascade.judge_urls(table, order).first().verdict == verdict
+
+
 # --- chat formatting ---
 
 def test_events_fold_into_messages(spark):

@@ -124,3 +124,9 @@ def test_pipeline_stages_keep_the_columns_and_empty_tables(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.dtypes == docs.dtypes and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_pipeline_without_a_character_count(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").drop("n_chars")
+    out = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert out.columns == docs.columns and 0 < out.count() <= docs.count()

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import os
 import random
 import re
@@ -259,3 +260,51 @@ def test_scores_ignore_held_out_labels(spark):
     none = toxicity.score_report(docs, table(False).limit(0), quick)
     assert {round(r.score, 6) for r in none.collect()} == {0.0}
     assert toxicity.score_report(docs.limit(0), table(False).limit(0), quick).count() == 0
+
+
+def plain_score(text, model):
+    """One document's score by the definition: means of bucket values, runs of one word once, the worst window."""
+    s, mask = model.settings, 2**64 - 1
+
+    def mixed(h):
+        h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & mask
+        return (h ^ (h >> 29)) % s.buckets
+
+    def value(word):
+        code = [ord(c) for c in f"<{word}>"]
+        base, power, total = 0x9E3779B97F4A7C15, 1, 0
+        for c in code:
+            power = power * base & mask
+            total = (total + c * power) & mask
+        buckets = [mixed(total)]
+        for n in range(3, 6):
+            for at in range(len(code) - n + 1):
+                h = n
+                for c in code[at:at + n]:
+                    h = (h * base + c) & mask
+                buckets.append(mixed(h))
+        return sum(float(model.bucket_logits[b]) for b in buckets) / len(buckets)
+
+    words, run = [], ""
+    for c in text.lower() + " ":
+        if c.isalnum():
+            run += c
+        elif run:
+            words += [run] * (run not in words[-1:])
+            run = ""
+    best = 0.0
+    if words:
+        n = len(words)
+        starts = [0] if n <= 16 else [*range(0, n - 16, 8), n - 16]
+        best = max(sum(map(value, words[k:k + 16])) / min(16, n) for k in starts)
+    return 1 / (1 + math.exp(-(best + model.bias)))
+
+
+def test_scores_match_a_plain_scorer(spark):
+    train = toxic_docs(200, 5)
+    model = toxicity.train([t for t, _ in train], [y for _, y in train], toxicity.Settings(epochs=8))
+    texts = [t for t, _ in toxic_docs(12, 6)] + ["", "a", "no no no no yes", "Éa ß ǅ w_x 3.14", prose(7, 400), "x" * 500]
+    docs = frame(spark, texts * 2, list(range(2 * len(texts))))
+    got = {r.doc_id: r.score for r in docs.select("doc_id", toxicity.toxicity("text", model, spark).alias("score")).collect()}
+    for k, text in enumerate(texts):
+        assert abs(got[k] - plain_score(text, model)) < 1e-6 and got[k] == got[k + len(texts)], text
