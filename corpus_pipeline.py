@@ -4,7 +4,12 @@ Quality rules take rejected documents out; line dedup takes recurring boilerplat
 texts (and documents of nothing else); near-duplicate removal keeps the smallest id of each group;
 mixing draws the documents that bring sources, languages and topics to their target
 weights; byte-level BPE turns the rest into token ids. All but the last keep the columns of
-`documents`; an empty table passes through as one.
+`documents`.
+
+Cases: an empty table passes through as one; a null text counts as empty and is rejected by the first stage, as are
+documents of few words; very long texts are read whole in every stage; repeated rows go alike through the first two stages
+and the third keeps the rows of the smallest id (all rows that repeat it); rows without an id are nobody's copy; of equal
+draws all are drawn; extra columns are kept, whatever their names, and `n_chars` is counted anew where there is one.
 """
 
 from __future__ import annotations
@@ -23,11 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without boilerplate lines; a document that consisted of nothing else goes."""
-    return (
-        line_templates.drop_boilerplate(docs)
-        .where("length(trim(text)) > 0")
-        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    )
+    left = line_templates.drop_boilerplate(docs).where("length(trim(text)) > 0")
+    if "n_chars" not in docs.columns:
+        return left
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
