@@ -9,9 +9,10 @@ pass level 2, and so on until no key passes wrongly. A key's first missing level
 which side it is. As the levels are built against the corpus's complete set of distinct
 keys, the answer is exact for every url of the corpus.
 
-Size: keys are dealt into shards by hash so that a shard's filters hold at most about
-``SHARD_KEYS`` keys (tens of megabytes); one shard's cascade is broadcast for the pass over
-its rows. With one shard, the usual case, there is one pass.
+Size: a cascade of at most about ``SHARD_KEYS`` listed keys (tens of megabytes) is broadcast for one pass over the rows.
+Beyond that, keys are dealt into shards of about ``TASK_KEYS`` by hash; a task builds one shard's cascade, and one pass over the
+rows, dealt by shard in parts of ``PART_ROWS`` rows, meets each with its own shard's cascade: two scans and one shuffle of the
+rows, whatever the number of shards.
 
 Cases: a null url or one without ``://`` has an empty host and path and fits no rule; very
 long urls are read whole; repeated rows are judged row by row; of fitting rules of
@@ -27,11 +28,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .common import written
 
 SHARD_KEYS = 4_000_000
+TASK_KEYS = 1_000_000
+PART_ROWS = 1 << 17
 BITS_PER_KEY = 12
 HASHES = 6
 MAX_LEVELS = 40
@@ -173,17 +178,55 @@ def with_membership(rows: DataFrame, key: str, listed: DataFrame, shard_keys: in
     keys = written(listed.select(*key_hashes(F.col(key)), "listed"), "url-keys")
     n = keys.agg(F.count_if("listed").alias("listed"), F.count("*").alias("all")).first()
     # level 1 holds the listed keys, level 2 about a hundredth of the others at most
-    shards = max(1, -(-n["listed"] // shard_keys), -(-n["all"] // (100 * shard_keys)))
     hashed = rows.select("*", *key_hashes(F.col(key)))
-    parts = []
-    for shard in range(shards):
-        own = F.pmod("h1", F.lit(shards)) == shard
-        mine, its_keys = (hashed, keys) if shards == 1 else (hashed.where(own), keys.where(own))
-        parts.append(mine.withColumn("listed", _listed(build_cascade(its_keys), rows)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out.drop("h1", "h2")
+    if n["listed"] <= shard_keys and n["all"] <= 100 * shard_keys:
+        return hashed.withColumn("listed", _listed(build_cascade(keys), rows)).drop("h1", "h2")
+    return _in_shards(hashed, keys, -(-n["all"] // min(shard_keys, TASK_KEYS)))
+
+
+def cascade_in_task(h1: np.ndarray, h2: np.ndarray, listed: np.ndarray) -> Cascade:
+    """The cascade of distinct keys that one task holds."""
+    cascade, sides = Cascade([]), [np.flatnonzero(listed), np.flatnonzero(~listed)]
+    while len(sides[len(cascade.levels) % 2]):
+        level = len(cascade.levels)
+        if level == MAX_LEVELS:
+            raise RuntimeError("two keys share both hashes")
+        own, other = sides[level % 2], sides[(level + 1) % 2]
+        bits = 1 << max(6, int(BITS_PER_KEY * len(own) - 1).bit_length())
+        words, at = np.zeros(bits // 64, np.uint64), positions(h1[own], h2[own], level, bits).ravel()
+        np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        cascade.levels.append(words)
+        sides[(level + 1) % 2] = other[cascade.passes(level, h1[other], h2[other])]
+    return cascade
+
+
+def _in_shards(hashed: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
+    """``hashed`` rows (h1, h2) with ``listed``, each judged by its own shard's cascade."""
+    shard = F.pmod("h1", F.lit(shards)).alias("shard_")
+
+    def build(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        cascade = cascade_in_task(own["h1"].to_numpy(np.int64), own["h2"].to_numpy(np.int64), own["listed"].to_numpy(bool))
+        return pd.DataFrame({"shard_": [key[0]], "levels": [[level.tobytes() for level in cascade.levels]]})
+
+    cascades = keys.groupBy(shard).applyInPandas(build, "shard_ long, levels array<binary>")
+    parts = hashed.groupBy(shard).agg(F.ceil(F.count("*") / PART_ROWS).cast("long").alias("parts"))
+    dealt = written(cascades.join(parts, "shard_"), "cascades")
+    # a shard that holds a common key has more parts
+    left = hashed.withColumns({"shard_": shard, "at_": F.monotonically_increasing_id()}).join(
+        dealt.select("shard_", "parts"), "shard_").withColumn("part_", F.pmod("at_", "parts")).drop("at_", "parts")
+    right = dealt.withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("shard_", "part_", "levels")
+    columns = [c for c in hashed.columns if c not in ("h1", "h2")]
+
+    def judge(rows: pa.Table, held: pa.Table) -> pa.Table:
+        out = rows.select(columns)
+        if not rows.num_rows:
+            return out.append_column("listed", pa.array([], pa.bool_()))
+        cascade = Cascade([np.frombuffer(level, np.uint64) for level in held["levels"][0].as_py()])
+        told = cascade.listed(rows["h1"].to_numpy(), rows["h2"].to_numpy())
+        return out.append_column("listed", pa.array(told, pa.bool_()))
+
+    schema = StructType([*hashed.select(*columns).schema.fields, StructField("listed", BooleanType())])
+    return left.groupBy("shard_", "part_").cogroup(right.groupBy("shard_", "part_")).applyInArrow(judge, schema)
 
 
 def tracked_keys(urls: DataFrame) -> DataFrame:
