@@ -87,6 +87,13 @@ class Models:
     def mon_departement_manquant(self) -> DataFrame:
         return monitoring.missing_departments(self.mart_atmo_daily_departement, self.today)
 
+    def monitors(self) -> tuple[DataFrame, DataFrame]:
+        """Both monitors from one reading of the raw rows: staging of the two days they compare is written once."""
+        day = F.col("date_ech")
+        recent = materialize(self.stg_atmo_daily.filter((day == self.today) | (day == F.date_sub(self.today, 1))), "recent")
+        return (monitoring.zone_coverage(recent, self.today),
+                monitoring.missing_departments(marts.daily_department(recent), self.today))
+
     def tables(self) -> dict[str, DataFrame]:
         """Published tables by name, in dependency order."""
         return {name: getattr(self, name) for name in PUBLISHED}

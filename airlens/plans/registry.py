@@ -54,7 +54,7 @@ def _model(name: str) -> Query:
 
 
 def _alerts(m: Models) -> DataFrame:
-    return monitoring.gate_alerts(m.mon_commune_coverage, m.mon_departement_manquant)
+    return monitoring.gate_alerts(*m.monitors())
 
 
 QUERIES: dict[str, Query] = {
@@ -69,7 +69,7 @@ QUERIES: dict[str, Query] = {
     "zone_coverage": _model("mon_commune_coverage"),
     "missing_departments": _model("mon_departement_manquant"),
     "missing_zones": _on(lambda m: monitoring.missing_zones(m.stg_atmo_daily, m.today)),
-    "global_status": _on(lambda m: monitoring.global_status(m.mon_commune_coverage, m.mon_departement_manquant)),
+    "global_status": _on(lambda m: monitoring.global_status(*m.monitors())),
     "missing_department_table": _on(lambda m: monitoring.missing_department_table(m.mon_departement_manquant)),
     "gate_alerts": _on(lambda m: _alerts(m)),
     "gate_alerts_outage": _on(lambda m: _alerts(m.with_outage())),
