@@ -156,7 +156,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def links_in_cell(node: np.ndarray, component: np.ndarray, block: np.ndarray, sets: list[np.ndarray]) -> list[tuple]:
-    """Links between nodes of different components (and blocks, if the cell has two): one for each node and component.
+    """Links between nodes of different components (and blocks, if the cell has two), as many as it takes to join
+    the components that links of the cell join: fewer than there are components.
 
     One end of such a link lies outside the cell's largest component, so only those nodes look for the other.
     """
@@ -167,19 +168,22 @@ def links_in_cell(node: np.ndarray, component: np.ndarray, block: np.ndarray, se
     posting = owner[np.argsort(code, kind="stable")]
     start = np.cumsum(held) - held
     first = np.cumsum(size) - size
-    names, members = np.unique(component, return_counts=True)
-    largest, two = names[members.argmax()], block.min() != block.max()
+    label, members = np.unique(component, return_inverse=True, return_counts=True)[1:]
+    anchor, two = np.flatnonzero(label == members.argmax())[0], block.min() != block.max()
     out = []
-    for x in np.flatnonzero(component != largest):
+    for x in np.flatnonzero(label != label[anchor]):
+        if label[x] == label[anchor]:
+            continue    # joined by now; whoever else is missing looks for itself
         codes = code[first[x]:first[x] + size[x]]
         codes = codes[held[codes] > 1]
         both = np.bincount(posting[ranges(start[codes], held[codes])], minlength=len(sets))
-        good = (100 * both >= PERCENT * (size[x] + size - both)) & (both > 0) & (component != component[x])
+        good = (100 * both >= PERCENT * (size[x] + size - both)) & (both > 0) & (label != label[x])
         if two:
             good &= block != block[x]
         found = np.flatnonzero(good)
-        for y in found[np.unique(component[found], return_index=True)[1]]:
+        for y in found[np.unique(label[found], return_index=True)[1]]:
             out.append((min(node[x], node[y]), max(node[x], node[y])))
+            label[label == label[y]] = label[x]
     return out
 
 

@@ -77,6 +77,35 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == sorted(plain_groups(list(zip(ids, texts))))
 
 
+def test_links_of_a_cell_join_what_all_pairs_join():
+    """A cell tells fewer links than it has components, and they reach as far as all pairs do."""
+    r = np.random.default_rng(3)
+    for trial in range(40):
+        n, base, sets = 40, [np.unique(r.integers(0, 10**9, 60)) for _ in range(4)], []
+        for _ in range(n):
+            copy, edits = base[r.integers(4)].copy(), r.integers(0, 14)
+            copy[r.choice(len(copy), edits, replace=False)] = r.integers(0, 10**9, edits)
+            sets.append(np.unique(copy))
+        component = r.integers(0, 25, n)
+        block = r.integers(0, 2, n) if trial % 2 else np.zeros(n, np.int64)
+        pairs = []
+        for a, b in combinations(range(n), 2):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and component[a] != component[b] \
+                    and (block[a] != block[b] or not block.any()):
+                pairs.append((a, b))
+
+        def reached(links):
+            low = {c: c for c in component}
+            for _ in range(n):
+                for a, b in links:
+                    low[component[a]] = low[component[b]] = min(low[component[a]], low[component[b]])
+            return low
+
+        got = minmax_dedup.links_in_cell(np.arange(n), component, block, sets)
+        assert set(got) <= set(pairs) and reached(got) == reached(pairs) and len(got) < len(set(component))
+
+
 def test_near_duplicates_without_id_or_rows(spark):
     docs = frame(spark, awkward_texts())
     out = {r.doc_id: r for r in minmax_dedup.near_duplicates(docs).collect()}
