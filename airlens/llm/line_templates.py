@@ -308,25 +308,33 @@ def _salted(templates: DataFrame) -> DataFrame:
     return templates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
 
 
+def _apart(votes: DataFrame, leaders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(template) where ``MIN_DOCS`` texts, each least like those before it, are all unlike; and the first after the leader.
+
+    ``leaders`` (template, leaders) begin; of equally unlike texts the smallest sketch counts.
+    """
+    first = None
+    for _ in range(MIN_DOCS - 1):
+        dealt = votes.join(_salted(leaders), ["template", "salt"]).select("template", "sketch", "leaders")
+        least = dealt.mapInPandas(_least_alike, "template long, alike double, sketch binary").groupBy("template").agg(
+            F.min(F.struct("alike", "sketch")).alias("x")).join(leaders, "template")
+        least = written(least.select("template", "x.*", "leaders"), "far")
+        first = least.select("template", F.col("sketch").alias("leaders")) if first is None else first
+        leaders = least.where(F.col("alike") < COPIES).select("template", F.concat("leaders", "sketch").alias("leaders"))
+    return leaders.select("template"), first
+
+
 def spread_templates(votes: DataFrame) -> DataFrame:
     """template: those with ``MIN_DOCS`` texts of which no two are copies (votes: template, sketch).
 
-    The texts are taken farthest first: the one least like the text of the smallest sketch, then again the one least like those
-    taken (of equals, the smallest sketch), so what is found follows from the texts alone, in whatever order they come.
-    All that is taken has to be unlike; where ``MIN_DOCS`` texts lie twice as far apart as copies may, such are found.
+    The texts are taken farthest first, from the text of the smallest sketch; where that fails, from the one least like it. So
+    what is found follows from the texts alone, in whatever order they come. All that is taken has to be unlike;
+    where ``MIN_DOCS`` texts lie twice as far apart as copies may, such are found.
     """
     votes = votes.withColumn("salt", F.pmod(F.xxhash64("sketch"), F.lit(SALTS)).cast("int"))
-    leaders = votes.groupBy("template").agg(F.min("sketch").alias("leaders"))
-    for taken in range(MIN_DOCS):
-        dealt = votes.join(_salted(leaders), ["template", "salt"]).select("template", "sketch", "leaders")
-        least = dealt.mapInPandas(_least_alike, "template long, alike double, sketch binary").groupBy("template").agg(
-            F.min(F.struct("alike", "sketch")).alias("x"))
-        far = least if not taken else least.where(F.col("x.alike") < COPIES)
-        # the text of the smallest sketch only leads to the first one
-        leaders = far.select("template", F.col("x.sketch").alias("leaders")) if not taken else far.join(
-            leaders, "template").select("template", F.concat("leaders", "x.sketch").alias("leaders"))
-        leaders = written(leaders, "far")
-    return leaders.select("template")
+    found, far = _apart(votes, votes.groupBy("template").agg(F.min("sketch").alias("leaders")))
+    more, _ = _apart(votes, far.join(found, "template", "left_anti"))
+    return found.unionAll(more)
 
 
 def boilerplate(texts: DataFrame) -> DataFrame:

@@ -161,14 +161,18 @@ def plain_resemblance(a, b):
 
 
 def far_apart(sketches):
-    """Three texts, each the least like those before (the first: the least like the smallest sketch): no two copies?"""
-    taken = [min(sketches, key=lambda s: (plain_resemblance(s, min(sketches)), s))]
-    while len(taken) < 3:
-        near, found = min((max(plain_resemblance(s, t) for t in taken), s) for s in sketches)
-        if near >= 0.6:
-            return False
-        taken.append(found)
-    return True
+    """Three texts, each the least like those before, from the smallest sketch or the one least like it: no two copies?"""
+    least = lambda taken: min((max(plain_resemblance(s, t) for t in taken), s) for s in sketches)
+    start = min(sketches)
+    for taken in ([start], [least([start])[1]]):
+        while len(taken) < 3:
+            near, found = least(taken)
+            if near >= 0.6:
+                break
+            taken.append(found)
+        if len(taken) == 3:
+            return True
+    return False
 
 
 def plain_boilerplate(texts):
