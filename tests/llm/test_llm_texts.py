@@ -185,7 +185,7 @@ def test_slots_of_sure_patterns_take_any_token(spark):
     texts += [f"{prose(k, 20)} value is {s} {prose(k + 99, 10)}" for k, s in enumerate(secrets[40:])]
     texts += [f"{prose(k, 10)} value is w{chr(97 + k % 26)}{chr(97 + k // 26)}q {prose(k + 7, 10)}" for k in range(200)]
     planted = ["PLURAL-ALPHA-KEY", "ab-12-XYZ", "q7", "zz9-81-PLURAL-7"]
-    texts += [f'{prose(700 + k, 10)} (token = "{w}"), {prose(800 + k, 10)} {w}' for k, w in enumerate(planted)]
+    texts += [f'{prose(700 + k, 10)} token = "{w}" {prose(800 + k, 10)} {w}' for k, w in enumerate(planted)]
     docs = frame(spark, texts + texts[:3], list(range(len(texts) + 3)))
     got = {r.doc_id: r for r in pii_bootstrap.personal_data(docs).collect()}
     for k, w in enumerate(planted):
