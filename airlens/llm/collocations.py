@@ -216,13 +216,13 @@ def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> Iter
         yield length, found, n - (least - 1)
 
 
-def in_buckets(hashes: np.ndarray, more: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, hashes, more) of the ranges of ordered hashes, as bytes; empty ranges are left out."""
+def bucket_ranges(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of the ranges of ordered hashes; empty ranges are left out."""
     width = np.uint64(2**64 // buckets)
     ends = np.searchsorted(hashes, np.arange(1, buckets, dtype=np.uint64) * width)
     for k, (a, b) in enumerate(zip(np.r_[0, ends], np.r_[ends, len(hashes)])):
         if a < b:
-            yield k, hashes[a:b].tobytes(), more[a:b].astype(np.int64).tobytes()
+            yield k, int(a), int(b)
 
 
 def merged(key: tuple, rows: pd.DataFrame, support: int) -> pd.DataFrame:
@@ -237,18 +237,29 @@ def merged(key: tuple, rows: pd.DataFrame, support: int) -> pd.DataFrame:
     return pd.DataFrame({"length": np.full(len(found), key[1], np.int32), "hash": found.view(np.int64)})
 
 
-def counted(shard: Shard, candidates: list[Bits], longest: int) -> pd.DataFrame:
-    """phrase, length, f: the shard's occurrences of each phrase whose bit is set (one of ``candidates`` a length)."""
-    out, known = [], None
+def counted(shard: Shard, candidates: list[Bits], longest: int, buckets: int) -> Iterator[tuple]:
+    """(length, bucket, phrases, counts) of the shard's phrases whose bit is set (one of ``candidates`` a length)."""
+    known = None
     for length in range(1, longest + 1):
         at = shard.places(1) if length == 1 else shard.extending(length, known)
         h = shard.phrases(length, at)
         hit = candidates[length - 1].holds(h)
         at = at[hit]
         known = shard.marked(at)
-        _, first, n = np.unique(h[hit], return_index=True, return_counts=True)
-        out.append(pd.DataFrame({"phrase": shard.spelled(length, at[first]), "length": np.full(len(n), length), "f": n}))
-    return pd.concat(out)
+        found, first, n = np.unique(h[hit], return_index=True, return_counts=True)
+        for bucket, a, b in bucket_ranges(found, buckets):
+            yield length, bucket, shard.spelled(length, at[first[a:b]]), n[a:b].astype(np.int64).tobytes()
+
+
+def summed(key: tuple, rows: pd.DataFrame, support: int) -> pd.DataFrame:
+    """lang, phrase, length, f of the frequent phrases of a bucket: equal words, whatever their hashes, are one phrase."""
+    phrases = np.array([w for part in rows["phrases"] for w in part], object)
+    n = np.concatenate([np.frombuffer(b, np.int64) for b in rows["counts"]])
+    code, names = pd.factorize(phrases)
+    f = np.zeros(len(names), np.int64)
+    np.add.at(f, code, n)
+    kept = f >= support
+    return pd.DataFrame({"lang": key[0], "phrase": names[kept], "length": np.int32(key[1]), "f": f[kept]})
 
 
 def sharded(docs: DataFrame, text: str, lang: str, shard_words: int, chunk_words: int, support: int) -> tuple[DataFrame, DataFrame]:
@@ -283,9 +294,9 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
     def candidates(lengths: range, shorter) -> DataFrame:
         def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for lang_, words_, codes, least in _rows(frames, "lang", "words", "codes", "least"):
-                out = [(lang_, length, *part)
+                out = [(lang_, length, bucket, found[a:b].tobytes(), more[a:b].astype(np.int64).tobytes())
                        for length, found, more in mine(Shard(words_, codes), lengths, int(least), shorter.value if shorter else None)
-                       for part in in_buckets(found, more, buckets)]
+                       for bucket, a, b in bucket_ranges(found, buckets)]
                 yield pd.DataFrame(out, columns=["lang", "length", "bucket", "hashes", "more"])
 
         told = shards.mapInPandas(report, "lang string, length int, bucket long, hashes binary, more binary")
@@ -299,13 +310,13 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
         known += [context.broadcast(Bits.of(found.where(F.col("length") == k))) for k in lengths]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for lang_, words, codes in _rows(frames, "lang", "words", "codes"):
-            out = counted(Shard(words, codes), [k.value for k in known], longest)
-            out.insert(0, "lang", lang_)
-            yield out
+        for lang_, words_, codes in _rows(frames, "lang", "words", "codes"):
+            out = [(lang_, *part) for part in counted(Shard(words_, codes), [k.value for k in known], longest, buckets)]
+            yield pd.DataFrame(out, columns=["lang", "length", "bucket", "phrases", "counts"])
 
-    partial = shards.mapInPandas(count, "lang string, phrase binary, length int, f long")
-    counts = partial.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    partial = shards.mapInPandas(count, "lang string, length int, bucket long, phrases array<binary>, counts binary")
+    counts = partial.groupBy("lang", "length", "bucket").applyInPandas(
+        lambda key, rows: summed(key, rows, support), "lang string, phrase binary, length int, f long")
     return written(counts.withColumn("phrase", F.col("phrase").cast("string")), "counts"), totals
 
 
