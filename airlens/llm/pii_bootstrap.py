@@ -25,6 +25,7 @@ not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import whole, written
+from .common import groups, whole, written
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 EMAIL, IP, CARD, PHONE, SECRET = range(5)
@@ -59,6 +60,9 @@ _OPEN = "\"'([{<"
 _EDGE = "@._%+:/-"
 _SPACED = re.compile(r"\S+")
 _RUN = re.compile(r"[A-Za-z0-9@._%+:/-]+")
+# words in which a token follows another sign, and words that are longer than a context
+_MIXED = re.compile(r"(?<!\S)[A-Za-z0-9@._%+:/-]*+[^\sA-Za-z0-9@._%+:/-]++[A-Za-z0-9@._%+:/-]\S*")
+_LONG = re.compile(rf"(?<!\S)\S{{{CONTEXT + 1},}}")
 
 _SPAN = StructType([StructField("start", IntegerType(), False), StructField("kind", IntegerType(), False),
                     StructField("end", IntegerType(), False)])
@@ -180,45 +184,47 @@ def find(text: str) -> tuple[list, list]:
 @F.pandas_udf(FOUND)
 def _found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        rows = [find(t) for t in texts]
-        yield pd.DataFrame({
-            "base": [[dict(zip(("start", "kind", "end"), s)) for s in base] for base, _ in rows],
-            "seen": [[dict(zip(("start", "end", "kind", "instance", "patterns", "word"), s)) for s in seen] for _, seen in rows],
-        })
+        # what is found takes many times its text: a group's goes out before the next one is read
+        for group in groups(list(texts)):
+            rows = [find(t) for t in group]
+            yield pd.DataFrame({
+                "base": [[dict(zip(("start", "kind", "end"), s)) for s in base] for base, _ in rows],
+                "seen": [[dict(zip(("start", "end", "kind", "instance", "patterns", "word"), s)) for s in seen]
+                         for _, seen in rows],
+            })
 
 
 class Words:
-    """Which words may stand in front of a slot: the bit of each is looked up once."""
+    """Which words may stand in front of a slot."""
 
     def __init__(self, bits: np.ndarray):
-        self.bits, self.known = bits, {}
+        self.bits = bits
 
-    def __contains__(self, word: str) -> bool:
-        told = self.known.get(word)
-        if told is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            at = _key(word) % SLOT_BITS
-            told = self.known[word] = bool(self.bits[at >> 3] >> (at & 7) & 1)
-        return told
+    def hold(self, words: list[str]) -> list[bool]:
+        at = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) & np.uint64(SLOT_BITS - 1)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0).tolist()
 
 
 def slots(text: str, before: Words) -> list[tuple]:
     """(start, end, instance, patterns) of every token that follows one of the words, itself of whatever form."""
-    out, last = [], ""
-    for m in _SPACED.finditer(text):
-        word, start = m[0], m.start()
-        # the token at the beginning of the word, and those behind a sign within it
-        places = [start + len(word) - len(word.lstrip(_OPEN))] if last in before else []
-        if not _TOKEN.fullmatch(word):
-            places += [start + t.start() for t in _RUN.finditer(word) if t.start()]
-        for at in dict.fromkeys(places):
-            token = _TOKEN.match(text, at)[0]
-            a, b = at + len(token) - len(token.lstrip(_EDGE)), at + len(token.rstrip(_EDGE))
-            if a < b and "://" not in token and left_word(text, a) in before:
-                out.append((a, b, _key(text[a:b].lower()), contexts(text, a, b)))
-        last = _DIGITS.sub("0", word[-CONTEXT:].rstrip(_OPEN).lower())
-    return out
+    words = list(_SPACED.finditer(text))
+    # whole texts are lower-cased and split at once; words that do not fit in a context are cut first
+    forms = [w.rstrip(_OPEN) for w in _DIGITS.sub("0", text.lower()).split()]
+    for m in _LONG.finditer(text):
+        k = bisect_left(words, m.start(), key=re.Match.start)
+        forms[k] = _DIGITS.sub("0", m[0][-CONTEXT:].rstrip(_OPEN).lower())
+    # tokens at the beginning of words, and those behind a sign within a word
+    places = {m.end() - len(m[0].lstrip(_OPEN)) for m, told in zip(words, before.hold(["", *forms])) if told}
+    for m in _MIXED.finditer(text):
+        places.update(m.start() + t.start() for t in _RUN.finditer(m[0]) if t.start())
+    tokens = []
+    for at in sorted(places):
+        token = _TOKEN.match(text, at)[0]
+        a, b = at + len(token) - len(token.lstrip(_EDGE)), at + len(token.rstrip(_EDGE))
+        if a < b and "://" not in token:
+            tokens.append((a, b))
+    told = before.hold([left_word(text, a) for a, _ in tokens])
+    return [(a, b, _key(text[a:b].lower()), contexts(text, a, b)) for (a, b), held in zip(tokens, told) if held]
 
 
 def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -271,8 +277,9 @@ def discovered(texts: DataFrame, passed: DataFrame, words: DataFrame) -> DataFra
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         before = Words(shared.value)
         for batch in batches:
-            yield pd.Series([[dict(zip(("start", "end", "instance", "patterns"), s)) for s in slots(t, before)]
-                             for t in batch], dtype=object)
+            for group in groups(list(batch)):
+                yield pd.Series([[dict(zip(("start", "end", "instance", "patterns"), s)) for s in slots(t, before)]
+                                 for t in group], dtype=object)
 
     seen = texts.select("row", F.explode(look("text")).alias("s")).select("row", "s.*")
     seen = written(seen.withColumn("pattern", F.explode("patterns")).drop("patterns")

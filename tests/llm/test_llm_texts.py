@@ -10,6 +10,7 @@ import sys
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -196,6 +197,48 @@ def test_slots_of_sure_patterns_take_any_token(spark):
     assert sum(got[k].n_added for k in range(80, 280)) == 0
 
 
+def test_found_spans_go_out_in_small_frames():
+    """A batch's spans are not held together: each frame covers a few texts, all of them in order."""
+    texts = [f"{prose(k, 400)} me{k}@x.org" for k in range(60)] * 50
+    sizes = [(len(f), f) for f in pii_bootstrap._found.func(iter([pd.Series(texts)]))]
+    assert sum(n for n, _ in sizes) == len(texts) and len(sizes) >= sum(map(len, texts)) >> 21 > 1
+    spans = [b for _, f in sizes for b in f["base"]]
+    assert [[tuple(x.values()) for x in b] for b in spans] == [pii_bootstrap.base_spans(t) for t in texts]
+
+
+def plain_slots(text, before):
+    out, last = [], ""
+    for m in re.finditer(r"\S+", text):
+        word = m[0]
+        places = [m.start() + len(word) - len(word.lstrip("\"'([{<"))] if last in before else []
+        places += [m.start() + t.start() for t in re.finditer(r"[A-Za-z0-9@._%+:/-]+", word) if t.start()]
+        for at in dict.fromkeys(places):
+            token = re.compile(r"[A-Za-z0-9@._%+:/-]*").match(text, at)[0]
+            a, b = at + len(token) - len(token.lstrip("@._%+:/-")), at + len(token.rstrip("@._%+:/-"))
+            if a < b and "://" not in token and pii_bootstrap.left_word(text, a) in before:
+                out.append((a, b, pii_bootstrap._key(text[a:b].lower()), pii_bootstrap.contexts(text, a, b)))
+        last = re.sub("[0-9]+", "0", word[-64:].rstrip("\"'([{<").lower())
+    return out
+
+
+def test_slots_match_a_plain_search():
+    r = random.Random(4)
+    texts = ["".join(r.choice("aB9 ('<-:é,漢/@ΣİQ\n") for _ in range(200)) for _ in range(200)]
+    texts += ["", " ab 12", "x" * 200 + "9( q1", "z" * 64 + " q1 " + "z" * 65 + "12 q2\x1cq3\x85q4", "foo( (ab1 x='--a:// b"]
+    texts += [" ".join("(" * k + "ab9 " for k in range(60, 70))] + [t for t in awkward_texts() if t is not None and len(t) < 9000]
+    words = sorted({w for t in texts for w in re.sub("[0-9]+", "0", t.lower()).split() if len(w) < 3} | {"z" * 64, "z" * 62 + "0"})[::2] + [""]
+    bits = np.zeros(pii_bootstrap.SLOT_BITS // 8, np.uint8)
+    for w in words:
+        at = pii_bootstrap._key(w) % pii_bootstrap.SLOT_BITS
+        bits[at >> 3] |= 1 << (at & 7)
+    before, n = pii_bootstrap.Words(bits), 0
+    for t in texts:
+        got = pii_bootstrap.slots(t, before)
+        assert got == plain_slots(t, set(words))
+        n += len(got)
+    assert n > 500
+
+
 def test_graph_scores_match_plain_rounds(spark):
     r = random.Random(12)
     kinds = {i: r.choice([-1, -1, 0, 4]) for i in range(40)}
