@@ -34,7 +34,7 @@ from .common import groups, whole
 HEAP_BYTES = 4096
 CELLS = 1 << 20          # cells of one matrix
 PIECES = 200_000         # pieces handled at once
-CACHED = 400_000         # distinct pieces remembered by a worker
+CACHED = 400_000         # distinct pieces remembered by a task
 NONE = np.int32(2**31 - 1)
 
 RESULT = StructType([StructField("n_tokens", LongType(), False),
@@ -246,6 +246,7 @@ def encoded(text: Column, ranks: Broadcast, pattern: str) -> Column:
         for texts in batches:
             yield pd.Series([np.frombuffer(i, "<u4").astype(np.int32)
                              for group in groups(list(texts)) for i in v.encode_all(group)], dtype=object)
+        v.cache.clear()     # a worker that other stages use next keeps the vocabulary only
 
     return ids(whole(text))
 
@@ -273,6 +274,7 @@ def round_trip(text: Column, ranks: Broadcast, pattern: str) -> Column:
                 for group in groups(list(texts)) for ids in v.encode_all(group)
             ]
             yield pd.DataFrame(rows, columns=RESULT.names)
+        v.cache.clear()
 
     return digests(whole(text))
 

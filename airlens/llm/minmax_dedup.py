@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import WORD, ranges, roughly_in, whole, written
+from .common import WORD, groups, ranges, roughly_in, whole, written
 from .graph import components
 
 PERMUTATIONS = 64
@@ -113,20 +113,22 @@ def band_keys(s: np.ndarray) -> np.ndarray:
 @F.pandas_udf(FEATURES)
 def _features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     words = Words()
-    for texts in batches:
-        sets = [shingles(t, words) for t in texts]
-        yield pd.DataFrame({
-            "n": np.array([len(s) for s in sets], np.int64),
-            "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-            "bands": [band_keys(s) for s in sets],
-        })
+    for batch in batches:
+        for texts in groups(list(batch)):     # sets are larger than their texts: a group's are held at once
+            sets = [shingles(t, words) for t in texts]
+            yield pd.DataFrame({
+                "n": np.array([len(s) for s in sets], np.int64),
+                "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                "bands": [band_keys(s) for s in sets],
+            })
 
 
 @F.pandas_udf(ArrayType(LongType(), False))
 def _sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     words = Words()
-    for texts in batches:
-        yield pd.Series([shingles(t, words).view(np.int64) for t in texts], dtype=object)
+    for batch in batches:
+        for texts in groups(list(batch)):
+            yield pd.Series([shingles(t, words).view(np.int64) for t in texts], dtype=object)
 
 
 def alike(a: Column, b: Column, n_a: Column, n_b: Column, percent: int = PERCENT) -> Column:

@@ -106,6 +106,19 @@ def test_links_of_a_cell_join_what_all_pairs_join():
         assert set(got) <= set(pairs) and reached(got) == reached(pairs) and len(got) < len(set(component))
 
 
+def test_sets_go_out_in_small_frames():
+    """A batch's sets are not held together: each frame covers a few texts, all of them in order."""
+    texts = [prose(k, 400) for k in range(60)] * 50
+    words = minmax_dedup.Words()
+    told = [minmax_dedup.shingles(t, words).view(np.int64) for t in texts[:60]] * 50
+    frames = list(minmax_dedup._features.func(iter([pd.Series(texts)])))
+    assert len(frames) >= sum(map(len, texts)) >> 21 > 1
+    assert [n for f in frames for n in f["n"]] == [len(s) for s in told]
+    parts = list(minmax_dedup._sets.func(iter([pd.Series(texts)])))
+    assert len(parts) == len(frames)
+    assert all(np.array_equal(a, b) for a, b in zip([s for p in parts for s in p], told, strict=True))
+
+
 def test_near_duplicates_without_id_or_rows(spark):
     docs = frame(spark, awkward_texts())
     out = {r.doc_id: r for r in minmax_dedup.near_duplicates(docs).collect()}
