@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import whole, written
@@ -40,6 +42,11 @@ CHUNK_WORDS = 1 << 18
 BUCKET_WORDS = 1 << 24
 BITMAP_BITS = 1 << 28
 BITS_A_CANDIDATE = 64
+STEP = 1 << 17
+REPORT = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("bucket", pa.int64()), ("hashes", pa.binary()),
+                    ("more", pa.binary())])
+COUNTS = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("bucket", pa.int64()),
+                    ("phrases", pa.list_(pa.field("element", pa.binary()))), ("counts", pa.binary())])
 CHUNKS = "lang string, words array<binary>, codes binary, n long"
 #: Separators become one sign, which no word holds after that.
 _BREAK = bytes(ord(".") if chr(k) in ".,;:!?\n\x0b\x0c\r" else k for k in range(256))
@@ -119,52 +126,63 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang", chunk_words:
 
 
 class Shard:
-    """The words of a shard as hashes in order, and how many words follow in each word's piece."""
-
-    def __init__(self, words: list, codes: list):
-        self.names = [(own, np.frombuffer(code, _kind(len(own) + 1))) for own, code in zip(words, codes)]
-        size = sum(len(code) for _, code in self.names)
-        self.hash, self.left = np.empty(size, np.uint64), np.empty(size, np.int32)
-        start = 0
-        for own, code in self.names:
-            known = np.zeros(len(own) + 1, np.uint64)
-            known[1:] = pd.util.hash_array(np.array(list(own), object), categorize=False)
+    """The words of a shard as hashes in order, and how many words follow in each word's piece.
+
+    ``words`` (list<list<binary>>, a list for each chunk) and ``codes`` (binary) stay Arrow arrays: of the distinct words of one
+    chunk at a time Python objects are made, and what is as long as the shard is worked on in portions of ``STEP`` places.
+    """
+
+    def __init__(self, words: pa.ListArray, codes: pa.BinaryArray):
+        self.words = words.flatten()
+        known = np.diff(words.offsets.to_numpy())
+        kinds = [np.frombuffer(code.as_buffer(), _kind(n + 1)) for code, n in zip(codes, known.tolist())]
+        size = sum(map(len, kinds))
+        self.hash, self.left, self.word = np.empty(size, np.uint64), np.empty(size, np.int32), np.empty(size, np.int32)
+        start = first = 0
+        for code, n in zip(kinds, known.tolist()):
+            own = np.zeros(n + 1, np.uint64)
+            own[1:] = pd.util.hash_array(self.words.slice(first, n).to_numpy(zero_copy_only=False), categorize=False)
             end = start + len(code)
-            self.hash[start:end] = known[code]
+            self.hash[start:end] = own[code]
+            self.word[start:end] = code
+            self.word[start:end] += first - 1
             # a chunk ends with a piece: words up to the end of the piece
             place = np.arange(len(code), dtype=np.int32)
             ends = np.where(code > 0, np.int32(len(code)), place)
             self.left[start:end] = np.minimum.accumulate(ends[::-1])[::-1] - place
-            start = end
+            start, first = end, first + n
 
-    def places(self, length: int) -> np.ndarray:
-        return np.flatnonzero(self.left >= length)
+    def places(self, length: int, shorter: np.ndarray | None = None) -> np.ndarray:
+        """The places of phrases of ``length`` words (both of whose parts, one word shorter, are marked in ``shorter``)."""
+        held = self.left >= length
+        if shorter is not None:
+            held &= shorter[:-1] & shorter[1:]
+        return np.flatnonzero(held)
 
     def phrases(self, length: int, at: np.ndarray) -> np.ndarray:
         """The hash of the phrase of ``length`` words at each of the places ``at``."""
-        h = np.full(len(at), length, np.uint64)
-        for k in range(length):
-            h = _mix(h * _BASE + self.hash[at + k])
-        return h
+        out = np.empty(len(at), np.uint64)
+        for a in range(0, len(at), STEP):
+            part = at[a:a + STEP]
+            h = np.full(len(part), length, np.uint64)
+            for k in range(length):
+                h = _mix(h * _BASE + self.hash[part + k])
+            out[a:a + STEP] = h
+        return out
 
-    def extending(self, length: int, shorter: np.ndarray) -> np.ndarray:
-        """The places of phrases of ``length`` words both of whose parts, one word shorter, are marked in ``shorter``."""
-        at = self.places(length)
-        return at[shorter[at] & shorter[at + 1]]
+    def held(self, length: int, at: np.ndarray, bits: Bits) -> np.ndarray:
+        """Those of the places ``at`` whose phrase of ``length`` words has its bit set."""
+        parts = [at[a:a + STEP] for a in range(0, len(at), STEP)]
+        return np.concatenate([at[:0], *(part[bits.holds(self.phrases(length, part))] for part in parts)])
 
     def marked(self, at: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.hash) + 1, bool)
         out[at] = True
         return out
 
-    def spelled(self, length: int, at: np.ndarray) -> list[bytes]:
-        ends = np.cumsum([len(code) for _, code in self.names])
-        out = []
-        for k, chunk in zip(at, np.searchsorted(ends, at, side="right")):
-            own, code = self.names[chunk]
-            k -= ends[chunk] - len(code)
-            out.append(b" ".join([own[c - 1] for c in code[k:k + length]]))
-        return out
+    def spelled(self, length: int, at: np.ndarray) -> pa.Array:
+        words = [self.words.take(pa.array(self.word[at + k])) for k in range(length)]
+        return pc.binary_join_element_wise(*words, b" ") if length > 1 else words[0]
 
 
 def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -200,19 +218,16 @@ class Bits:
 def mine(shard: Shard, lengths: range, least: int, shorter: Bits | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, hashes in order, more) of the phrases of ``lengths`` with at least ``least`` occurrences; ``more`` is what
     they have beyond ``least`` - 1. ``shorter`` holds the candidates that are one word shorter than the first length."""
-    known = None
+    known = shard.marked(shard.held(lengths[0] - 1, shard.places(lengths[0] - 1), shorter)) if lengths[0] > 1 else None
     for length in lengths:
-        if length == 1:
-            at = shard.places(1)
-        else:
-            if known is None:
-                before = shard.places(length - 1)
-                known = shard.marked(before[shorter.holds(shard.phrases(length - 1, before))])
-            at = shard.extending(length, known)
+        at = shard.places(length, known)
         h = shard.phrases(length, at)
         found, n = np.unique(h, return_counts=True)
         found, n = found[n >= least], n[n >= least]
-        known = shard.marked(at[_is_in(h, found)]) if length + 1 in lengths else None
+        if length + 1 in lengths:
+            known = shard.marked(np.concatenate([at[:0], *(
+                at[a:a + STEP][_is_in(h[a:a + STEP], found)] for a in range(0, len(at), STEP))]))
+        at = h = None
         yield length, found, n - (least - 1)
 
 
@@ -241,12 +256,9 @@ def counted(shard: Shard, candidates: list[Bits], longest: int, buckets: int) ->
     """(length, bucket, phrases, counts) of the shard's phrases whose bit is set (one of ``candidates`` a length)."""
     known = None
     for length in range(1, longest + 1):
-        at = shard.places(1) if length == 1 else shard.extending(length, known)
-        h = shard.phrases(length, at)
-        hit = candidates[length - 1].holds(h)
-        at = at[hit]
+        at = shard.held(length, shard.places(length, known), candidates[length - 1])
         known = shard.marked(at)
-        found, first, n = np.unique(h[hit], return_index=True, return_counts=True)
+        found, first, n = np.unique(shard.phrases(length, at), return_index=True, return_counts=True)
         for bucket, a, b in bucket_ranges(found, buckets):
             yield length, bucket, shard.spelled(length, at[first[a:b]]), n[a:b].astype(np.int64).tobytes()
 
@@ -292,14 +304,14 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
     buckets = 1 << max(4, (words // BUCKET_WORDS).bit_length())
 
     def candidates(lengths: range, shorter) -> DataFrame:
-        def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for lang_, words_, codes, least in _rows(frames, "lang", "words", "codes", "least"):
-                out = [(lang_, length, bucket, found[a:b].tobytes(), more[a:b].astype(np.int64).tobytes())
-                       for length, found, more in mine(Shard(words_, codes), lengths, int(least), shorter.value if shorter else None)
-                       for bucket, a, b in bucket_ranges(found, buckets)]
-                yield pd.DataFrame(out, columns=["lang", "length", "bucket", "hashes", "more"])
-
-        told = shards.mapInPandas(report, "lang string, length int, bucket long, hashes binary, more binary")
+        def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for lang_, least, shard in _each(batches):
+                for length, found, more in mine(shard, lengths, least, shorter.value if shorter else None):
+                    out = [(bucket, found[a:b].tobytes(), more[a:b].astype(np.int64).tobytes())
+                           for bucket, a, b in bucket_ranges(found, buckets)]
+                    yield _packed(REPORT, lang_, length, out)
+
+        told = shards.mapInArrow(report, "lang string, length int, bucket long, hashes binary, more binary")
         return written(told.join(F.broadcast(silent), "lang").groupBy("lang", "length", "bucket").applyInPandas(
             lambda key, rows: merged(key, rows, support), "length int, hash long"), "candidates")
 
@@ -309,20 +321,34 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
         # at most BITMAP_BITS each
         known += [context.broadcast(Bits.of(found.where(F.col("length") == k))) for k in lengths]
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for lang_, words_, codes in _rows(frames, "lang", "words", "codes"):
-            out = [(lang_, *part) for part in counted(Shard(words_, codes), [k.value for k in known], longest, buckets)]
-            yield pd.DataFrame(out, columns=["lang", "length", "bucket", "phrases", "counts"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang_, _, shard in _each(batches):
+            for length, *part in counted(shard, [k.value for k in known], longest, buckets):
+                yield _packed(COUNTS, lang_, length, [part])
 
-    partial = shards.mapInPandas(count, "lang string, length int, bucket long, phrases array<binary>, counts binary")
+    partial = shards.mapInArrow(count, "lang string, length int, bucket long, phrases array<binary>, counts binary")
     counts = partial.groupBy("lang", "length", "bucket").applyInPandas(
         lambda key, rows: summed(key, rows, support), "lang string, phrase binary, length int, f long")
     return written(counts.withColumn("phrase", F.col("phrase").cast("string")), "counts"), totals
 
 
-def _rows(frames: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
-    for f in frames:
-        yield from zip(*(f[c] for c in columns))
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Shard]]:
+    """lang, least and the shard of each row, one shard at a time."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            words, codes = (batch.column(c)[row].values for c in ("words", "codes"))
+            yield batch.column("lang")[row].as_py(), batch.column("least")[row].as_py(), Shard(words, codes)
+
+
+def _packed(schema: pa.Schema, lang: str, length: int, rows: list) -> pa.RecordBatch:
+    """Rows of one language and length: bucket and two more columns."""
+    columns = [list(c) for c in zip(*rows)] if rows else [[]] * 3
+    if pa.types.is_list(schema.field(3).type):
+        ends = np.cumsum([0, *map(len, columns[1])]).astype(np.int32)
+        columns[1] = pa.ListArray.from_arrays(ends, pa.concat_arrays([pa.array([], pa.binary()), *columns[1]]))
+    columns = [[lang] * len(rows), [length] * len(rows), *columns]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema)],
+                                      schema=schema)
 
 
 def _exact(c: str | Column) -> Column:

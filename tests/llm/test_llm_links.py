@@ -6,11 +6,13 @@ import os
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -345,6 +347,33 @@ def test_collocations_of_empty_tables(spark):
     assert collocations.collocations(frame(spark, []).limit(0)).count() == 0
 
 
+def test_shards_of_a_batch_are_worked_on_one_by_one():
+    """A batch's shards become Python objects one at a time, and work on a shard takes few times its size."""
+    r, n, rows = random.Random(3), 1 << 18, []
+    names = [b"w%d" % k for k in range(300)]
+    for _ in range(4):
+        chunk = collocations._chunk("en", [[names[min(r.randrange(300), r.randrange(300))] for _ in range(n)]])
+        rows.append({"lang": "en", "least": 4, "words": [chunk[1]] * 4, "codes": [chunk[2]] * 4})
+    schema = pa.schema([("lang", pa.string()), ("least", pa.int32()), ("words", pa.list_(pa.list_(pa.binary()))),
+                        ("codes", pa.list_(pa.binary()))])
+    batch = pa.RecordBatch.from_pylist(rows, schema)
+    every = [collocations.Bits(np.full(1 << 12, 255, np.uint8))] * 5
+    tracemalloc.start()
+    seen = 0
+    for lang, least, shard in collocations._each(iter([batch])):
+        seen += len(shard.places(1))
+        for length in range(1, 6):
+            assert sum(len(f) for _, f, _ in collocations.mine(shard, range(length, length + 1), least, every[0])) > 100
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 16 * n and peak < 56 * 4 * n
+    told = [(length, [p.as_py() for p in phrases], np.frombuffer(counts, np.int64).tolist())
+            for length, _, phrases, counts in collocations.counted(shard, [collocations.Bits(np.full(1 << 12, 255, np.uint8))] * 2, 2, 4)]
+    words = [names[int(w[1:])] for w in [shard.words[int(k)].as_py() for k in shard.word[shard.left > 0][:n]]]
+    for length, plain in ((1, Counter(words)), (2, Counter(b" ".join(p) for p in zip(words, words[1:])))):
+        assert {p: c for size, ps, cs in told if size == length for p, c in zip(ps, cs)} == {p: 4 * c for p, c in plain.items()}
+
+
 def test_a_long_text_is_cut_between_pieces_only():
     words = collocations.words_and_breaks(b"a b c. d e f g h i! j k " * 50)
     parts = list(collocations._portions(words, 7))
